@@ -137,7 +137,7 @@ def group_index(
 
 def first_n(
     df: DataFrame,
-    n: int,
+    n: int | Column,
     key: Sequence[str],
     seed: int = 0,
     buckets: int = DEFAULT_BUCKETS,
@@ -148,7 +148,8 @@ def first_n(
     numbering is distributed (:func:`dense_index`), so a large ``n`` does not
     funnel rows through one task the way ``orderBy().limit(n)`` would.
     """
-    return dense_index(df, key, "_pick", seed, buckets).where(F.col("_pick") <= n).drop("_pick")
+    bound = n if isinstance(n, Column) else F.lit(n)
+    return dense_index(df, key, "_pick", seed, buckets).where(F.col("_pick") <= bound).drop("_pick")
 
 
 def exact_sample(df: DataFrame, n: int, key: Sequence[str], seed: int = 0) -> DataFrame:
@@ -369,7 +370,7 @@ def capped_sample(
 
 def near_duplicates(
     df: DataFrame,
-    n: int,
+    n: int | Column,
     key: Sequence[str],
     eligible: Column,
     id_col: str,
