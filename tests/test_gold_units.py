@@ -1,0 +1,143 @@
+"""Band edges and defect decisions of the customer-360 view on inline rows."""
+
+import datetime as dt
+
+import pytest
+
+from tvlens.plans import gold, serving
+
+AS_OF = dt.date(2024, 1, 31)
+
+LOG_SCHEMA = (
+    "log_id string, event_time timestamp_ntz, slot_start_time timestamp_ntz, programme_id string, "
+    "customer_id string, device_type string, os_name string, connection_type string, bitrate_kbps bigint, "
+    "buffer_events bigint, rebuffer_ratio double, watch_seconds bigint, ad_breaks bigint, "
+    "ad_total_seconds bigint, event_type string, isp string, region string, city string"
+)
+CRM_SCHEMA = (
+    "customer_id string, email string, phone string, first_name string, last_name string, gender string, "
+    "profession string, date_joined date, subscription_level string, overlap_type string"
+)
+
+
+def _crm_row(cid, level="BASIC", overlap="NONE"):
+    return (cid, None, None, "f", "l", "Male", "p", dt.date(2020, 1, 1), level, overlap)
+
+
+def _log(i, cid, ts, seconds, device="Web"):
+    slot = ts.replace(minute=0, second=0)
+    return (
+        str(i), ts, slot, f"P-{slot:%Y%m%d%H}", cid, device, "os", "wifi", 2000, 1, 0.01, seconds,
+        None if seconds is None else seconds // 180, None if seconds is None else seconds // 180 * 30,
+        "play", "isp", "r1", "c1",
+    )
+
+
+def _c360(spark, crm_rows, log_rows):
+    crm = spark.createDataFrame(crm_rows, CRM_SCHEMA)
+    logs = spark.createDataFrame(log_rows, LOG_SCHEMA)
+    return {r.customer_id: r for r in gold.customer_360(crm, logs, AS_OF).collect()}
+
+
+@pytest.mark.parametrize(
+    "hours,segment",
+    [(4.99, "Minimal Viewer"), (5, "Light Viewer"), (19.99, "Light Viewer"), (20, "Regular Viewer"),
+     (49.99, "Regular Viewer"), (50, "Heavy Viewer")],
+)
+def test_segment_edges(spark, hours, segment):
+    seconds = int(round(hours * 3600))
+    out = _c360(spark, [_crm_row("a")], [_log(1, "a", dt.datetime(2024, 1, 30, 10), seconds)])
+    assert out["a"].viewer_segment == segment
+
+
+@pytest.mark.parametrize(
+    "days_before,status",
+    [(7, "Active"), (8, "Recently Active"), (30, "Recently Active"), (31, "Inactive"), (-3, "Active")],
+)
+def test_activity_status(spark, days_before, status):
+    last = dt.datetime.combine(AS_OF - dt.timedelta(days=days_before), dt.time(23, 0))
+    out = _c360(spark, [_crm_row("a")], [_log(1, "a", last, 600)])
+    assert out["a"].activity_status == status
+
+
+def test_no_logs(spark):
+    out = _c360(spark, [_crm_row("a"), _crm_row("b")], [_log(1, "b", dt.datetime(2024, 1, 30, 10), 600)])
+    a = out["a"]
+    assert (a.engagement_score, a.estimated_clv, a.viewer_segment, a.activity_status) == (
+        0.0, 0.0, "No Activity", "Never Active"
+    )
+    assert a.total_events == 0 and a.total_watch_hours == 0.0 and a.preferred_device is None
+
+
+def test_unknown_level_clv_zero(spark):
+    out = _c360(spark, [_crm_row("a", level="TRIAL")], [_log(1, "a", dt.datetime(2024, 1, 30, 10), 600)])
+    assert out["a"].estimated_clv == 0.0
+    assert out["a"].engagement_score > 0
+
+
+def test_null_seconds_only(spark):
+    out = _c360(spark, [_crm_row("a")], [_log(1, "a", dt.datetime(2024, 1, 30, 10), None)])
+    assert out["a"].engagement_score == 0.0  # LEAST with NULL is NULL, not 100
+    assert out["a"].viewer_segment == "Minimal Viewer"
+    assert out["a"].total_watch_hours == 0.0
+
+
+@pytest.mark.parametrize("span,clv", [(1, 4.99), (30, 4.99), (60, 9.98)])
+def test_clv_span(spark, span, clv):
+    first = dt.datetime(2024, 1, 1, 10)
+    last = first + dt.timedelta(days=span - 1)
+    out = _c360(spark, [_crm_row("a")], [_log(1, "a", first, 60), _log(2, "a", last, 60)])
+    assert out["a"].viewing_span_days == span
+    assert out["a"].estimated_clv == pytest.approx(clv)
+
+
+def test_score_cap(spark):
+    rows = [_log(i, "a", dt.datetime(2024, 1, 1 + i % 30, 10), 36000) for i in range(60)]
+    out = _c360(spark, [_crm_row("a")], rows)
+    assert out["a"].engagement_score == 100.0
+
+
+def test_span_crosses_midnight(spark):
+    rows = [_log(1, "a", dt.datetime(2024, 1, 10, 23), 60), _log(2, "a", dt.datetime(2024, 1, 11, 1), 60)]
+    out = _c360(spark, [_crm_row("a")], rows)
+    assert out["a"].viewing_span_days == 2
+
+
+def test_customer_type(spark):
+    crm = spark.createDataFrame(
+        [_crm_row("a", overlap="TRIPLE"), _crm_row("b", overlap="DUPLICATE"), _crm_row("c", overlap=None),
+         _crm_row("d", overlap="NAME")],
+        CRM_SCHEMA,
+    )
+    got = {r.customer_id: r.customer_type for r in gold.customer_base(crm).collect()}
+    assert got == {"a": "Cross-Platform", "b": "Platform Only", "c": "Platform Only", "d": "Cross-Platform"}
+
+
+def test_single_join_equals_two_joins(spark):
+    """The score from the one-join plan equals the engagement_scores view."""
+    logs = spark.createDataFrame(
+        [_log(i, str(i % 5), dt.datetime(2024, 1, 1 + i % 28, i % 24), 60 * i) for i in range(200)], LOG_SCHEMA
+    )
+    crm = spark.createDataFrame([_crm_row(str(i)) for i in range(8)], CRM_SCHEMA)
+    c360 = {r.customer_id: r for r in gold.customer_360(crm, logs, AS_OF).collect()}
+    for e in gold.engagement_scores(crm, logs).collect():
+        r = c360[e.customer_id]
+        assert (r.engagement_score, r.estimated_clv, r.viewer_segment) == (
+            e.engagement_score, e.estimated_clv, e.viewer_segment
+        )
+
+
+def test_assert_unique(spark):
+    crm = spark.createDataFrame([_crm_row("a"), _crm_row("a")], CRM_SCHEMA)
+    with pytest.raises(ValueError):
+        gold.assert_unique(crm, "customer_id")
+
+
+def test_future_rows_kept_in_period(spark):
+    """'Last n days' has no upper bound: future days stay in the period."""
+    logs = spark.createDataFrame(
+        [_log(1, "a", dt.datetime(2024, 1, 20, 10), 60), _log(2, "a", dt.datetime(2024, 2, 20, 10), 60)], LOG_SCHEMA
+    )
+    daily = gold.daily_summary(logs)
+    rows = serving.daily_trend(daily, AS_OF, 7).collect()
+    assert [r.summary_date for r in rows] == [dt.date(2024, 2, 20)]
