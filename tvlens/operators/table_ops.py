@@ -41,6 +41,8 @@ DEFAULT_BUCKETS = 1024
 
 # Largest side (rows) joined by broadcast after a size check.
 BROADCAST_MAX_ROWS = 2_000_000
+# Above this estimated size a side is not even counted for a broadcast.
+PLAUSIBLE_BROADCAST_BYTES = 512 * 1024 * 1024
 
 
 # --- size checks and joins ---------------------------------------------------
@@ -54,19 +56,31 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (no job runs), or None."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - estimates are optional
+        return None
+
+
 def join_checked(
     big: DataFrame,
     small: DataFrame,
     on,
     how: str = "left",
     max_rows: int = BROADCAST_MAX_ROWS,
+    plausible_bytes: int = PLAUSIBLE_BROADCAST_BYTES,
 ) -> DataFrame:
     """Join, broadcasting ``small`` only when a bounded count proves it small.
 
-    Beyond the bound the join is a shuffle join; AQE then splits skewed
-    partitions of the streamed side.
+    The count runs only when the optimizer's estimate makes a broadcast
+    plausible, so a large side costs no extra pass.  Otherwise the join is a
+    shuffle join; AQE may still turn it into a broadcast from the measured
+    shuffle size, and splits skewed partitions of the streamed side.
     """
-    if row_count_at_most(small, max_rows):
+    est = estimated_bytes(small)
+    if est is not None and est <= plausible_bytes and row_count_at_most(small, max_rows):
         small = F.broadcast(small)
     return big.join(small, on, how)
 
@@ -80,6 +94,35 @@ def cross_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(one_row))
 
 
+def grouped_with_distinct(
+    df: DataFrame,
+    keys: Sequence[str],
+    plain: Sequence[Column],
+    distinct: Sequence[Column],
+    order: Sequence[str] | None = None,
+    null_safe: bool = True,
+) -> DataFrame:
+    """One row per group with ordinary and exact distinct-count aggregates.
+
+    Spark plans a single aggregate that mixes ``mode``/``median`` with exact
+    distinct counts as an ``Expand`` (one copy of every row per distinct
+    column) followed by a sort-based aggregate.  Two aggregates over the same
+    input - the ordinary one and the distinct counts - joined on the group
+    key are several times faster: both are hash aggregates with map-side
+    partial aggregation, both outputs are hash-partitioned on the key, and
+    the join compares one row per group on each side.  Group keys are joined
+    NULL-safely so a NULL group is kept (``null_safe=False`` when the keys
+    cannot be NULL keeps the join on the raw key, which reuses the
+    aggregates' hash partitioning).
+    """
+    a = df.groupBy(*keys).agg(*plain)
+    d = df.groupBy(*keys).agg(*distinct)
+    d = d.select(*[F.col(k).alias(f"_d_{k}") for k in keys], *[c for c in d.columns if c not in keys])
+    cond = [a[k].eqNullSafe(d[f"_d_{k}"]) if null_safe else a[k] == d[f"_d_{k}"] for k in keys]
+    out = a.join(d, cond, "inner").drop(*[f"_d_{k}" for k in keys])
+    return out.select(*order) if order else out
+
+
 # --- dense numbering ----------------------------------------------------------
 
 def dense_index(

@@ -3,12 +3,13 @@ analytics, daily summary and the ranking views built on them.
 
 Plan notes (checked with ``explain``):
 
-* ``viewing_summary`` is one aggregate over the identified log rows.  The
-  NULL-customer rows (about 70 %) are filtered before the shuffle, and every
-  aggregate is partial (map-side): counts, sums, min/max, ``mode`` (a
-  value -> count map per group) and the three exact distinct counts (Spark
-  expands rows per distinct column and pre-aggregates them), so a customer
-  holding a third of the rows does not ship a third of the rows.
+* ``viewing_summary`` filters the NULL-customer rows (about 70 %) before any
+  shuffle.  Its ordinary aggregates (counts, sums, min/max, ``mode`` as a
+  value -> count map) and its exact distinct counts are two hash aggregates
+  with map-side partial aggregation, joined on the customer key
+  (:func:`grouped_with_distinct`); a customer holding a third of the rows
+  ships one partial row per map task, not a third of the rows.  The same
+  split is used wherever ``mode``/``median`` meet distinct counts.
 * ``customer_360`` joins the CRM with the summary **once**.  The score, CLV
   and segment are functions of the joined row, so the second join of the
   original view (against a second copy of the summary) is not needed.
@@ -22,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tvlens.operators.table_ops import grouped_with_distinct
 from tvlens.functions.columns import (
     day_gap,
     day_name,
@@ -81,20 +83,25 @@ def customer_base(crm: DataFrame, only_label: str = PLATFORM_ONLY) -> DataFrame:
     )
 
 
+VIEWING_SUMMARY_COLUMNS = (
+    "customer_id total_events active_days unique_programmes_watched total_watch_seconds avg_watch_seconds "
+    "total_ad_seconds preferred_device device_types_used preferred_connection avg_bitrate avg_buffer_events "
+    "avg_rebuffer_ratio region city isp first_viewing_date last_viewing_date viewing_span_days"
+).split()
+
+
 def viewing_summary(logs: DataFrame) -> DataFrame:
     """One row per identified customer: volume, variety, QoE, habits, dates."""
-    return (
-        logs.where(F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
-        .agg(
+    identified = logs.where(F.col("customer_id").isNotNull())
+    return grouped_with_distinct(
+        identified,
+        ["customer_id"],
+        [
             F.count(F.lit(1)).alias("total_events"),
-            F.count_distinct(F.to_date("event_time")).alias("active_days"),
-            F.count_distinct("programme_id").alias("unique_programmes_watched"),
             F.sum("watch_seconds").alias("total_watch_seconds"),
             F.avg("watch_seconds").alias("avg_watch_seconds"),
             F.sum("ad_total_seconds").alias("total_ad_seconds"),
             mode_of("device_type").alias("preferred_device"),
-            F.count_distinct("device_type").alias("device_types_used"),
             mode_of("connection_type").alias("preferred_connection"),
             F.avg("bitrate_kbps").alias("avg_bitrate"),
             F.avg("buffer_events").alias("avg_buffer_events"),
@@ -105,7 +112,14 @@ def viewing_summary(logs: DataFrame) -> DataFrame:
             F.min("event_time").alias("first_viewing_date"),
             F.max("event_time").alias("last_viewing_date"),
             day_span("event_time").alias("viewing_span_days"),
-        )
+        ],
+        [
+            F.count_distinct(F.to_date("event_time")).alias("active_days"),
+            F.count_distinct("programme_id").alias("unique_programmes_watched"),
+            F.count_distinct("device_type").alias("device_types_used"),
+        ],
+        VIEWING_SUMMARY_COLUMNS,
+        null_safe=False,
     )
 
 
@@ -229,18 +243,24 @@ def _device_counts() -> list[Column]:
     return [F.count_if(F.col("device_type") == d).alias(f"{d.lower()}_viewers") for d in DEVICE_TYPES]
 
 
+PROGRAMME_COLUMNS = (
+    "programme_id programme_date programme_hour total_events unique_viewers hours_with_activity "
+    "total_watch_seconds avg_watch_seconds median_watch_seconds avg_bitrate avg_buffer_events "
+    "avg_rebuffer_ratio total_ad_seconds avg_ad_breaks smarttv_viewers mobile_viewers web_viewers "
+    "tablet_viewers top_region regions_reached play_starts play_ends pauses seeks completion_rate"
+).split()
+
+
 def programme_analytics(logs: DataFrame) -> DataFrame:
     """Programme x slot date x slot hour: 22 viewing, QoE, ad and event metrics."""
-    return (
-        logs.groupBy(
-            "programme_id",
-            F.to_date("slot_start_time").alias("programme_date"),
-            F.hour("slot_start_time").alias("programme_hour"),
-        )
-        .agg(
+    keyed = logs.withColumn("programme_date", F.to_date("slot_start_time")).withColumn(
+        "programme_hour", F.hour("slot_start_time")
+    )
+    out = grouped_with_distinct(
+        keyed,
+        ["programme_id", "programme_date", "programme_hour"],
+        [
             F.count(F.lit(1)).alias("total_events"),
-            F.count_distinct("customer_id").alias("unique_viewers"),
-            F.count_distinct(F.hour("event_time")).alias("hours_with_activity"),
             F.sum("watch_seconds").alias("total_watch_seconds"),
             F.avg("watch_seconds").alias("avg_watch_seconds"),
             F.median("watch_seconds").alias("median_watch_seconds"),
@@ -251,13 +271,19 @@ def programme_analytics(logs: DataFrame) -> DataFrame:
             F.avg("ad_breaks").alias("avg_ad_breaks"),
             *_device_counts(),
             mode_of("region").alias("top_region"),
-            F.count_distinct("region").alias("regions_reached"),
             F.count_if(F.col("event_type") == "play_start").alias("play_starts"),
             F.count_if(F.col("event_type") == "play_end").alias("play_ends"),
             F.count_if(F.col("event_type") == "pause").alias("pauses"),
             F.count_if(F.col("event_type") == "seek").alias("seeks"),
-        )
-        .withColumn("completion_rate", ratio(F.col("play_ends"), F.col("play_starts")))
+        ],
+        [
+            F.count_distinct("customer_id").alias("unique_viewers"),
+            F.count_distinct(F.hour("event_time")).alias("hours_with_activity"),
+            F.count_distinct("region").alias("regions_reached"),
+        ],
+    )
+    return out.withColumn("completion_rate", ratio(F.col("play_ends"), F.col("play_starts"))).select(
+        *PROGRAMME_COLUMNS
     )
 
 
@@ -297,23 +323,37 @@ def peak_times(logs: DataFrame) -> DataFrame:
     )
 
 
+DEVICE_COLUMNS = (
+    "device_type os_name connection_type total_events unique_users unique_programmes total_watch_seconds "
+    "avg_watch_seconds avg_bitrate avg_buffer_events avg_rebuffer_ratio identified_users identification_rate "
+    "regions_used top_region peak_hour active_days"
+).split()
+
+
 def device_analytics(logs: DataFrame) -> DataFrame:
     """Device x OS x connection: usage, engagement, QoE, identification, habits."""
-    return logs.groupBy("device_type", "os_name", "connection_type").agg(
-        F.count(F.lit(1)).alias("total_events"),
-        F.count_distinct("customer_id").alias("unique_users"),
-        F.count_distinct("programme_id").alias("unique_programmes"),
-        F.sum("watch_seconds").alias("total_watch_seconds"),
-        F.avg("watch_seconds").alias("avg_watch_seconds"),
-        F.avg("bitrate_kbps").alias("avg_bitrate"),
-        F.avg("buffer_events").alias("avg_buffer_events"),
-        F.avg("rebuffer_ratio").alias("avg_rebuffer_ratio"),
-        F.count_if(F.col("customer_id").isNotNull()).alias("identified_users"),
-        share_if(F.col("customer_id").isNotNull()).alias("identification_rate"),
-        F.count_distinct("region").alias("regions_used"),
-        mode_of("region").alias("top_region"),
-        mode_of(F.hour("event_time")).alias("peak_hour"),
-        F.count_distinct(F.to_date("event_time")).alias("active_days"),
+    return grouped_with_distinct(
+        logs,
+        ["device_type", "os_name", "connection_type"],
+        [
+            F.count(F.lit(1)).alias("total_events"),
+            F.sum("watch_seconds").alias("total_watch_seconds"),
+            F.avg("watch_seconds").alias("avg_watch_seconds"),
+            F.avg("bitrate_kbps").alias("avg_bitrate"),
+            F.avg("buffer_events").alias("avg_buffer_events"),
+            F.avg("rebuffer_ratio").alias("avg_rebuffer_ratio"),
+            F.count_if(F.col("customer_id").isNotNull()).alias("identified_users"),
+            share_if(F.col("customer_id").isNotNull()).alias("identification_rate"),
+            mode_of("region").alias("top_region"),
+            mode_of(F.hour("event_time")).alias("peak_hour"),
+        ],
+        [
+            F.count_distinct("customer_id").alias("unique_users"),
+            F.count_distinct("programme_id").alias("unique_programmes"),
+            F.count_distinct("region").alias("regions_used"),
+            F.count_distinct(F.to_date("event_time")).alias("active_days"),
+        ],
+        DEVICE_COLUMNS,
     )
 
 

@@ -8,9 +8,15 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins at runtime (broadcast of a
-# side that turned out small, split of skewed partitions, coalescing of tiny
-# shuffle partitions); UTC keeps timestamp_ntz <-> timestamp casts exact.
+# side whose *measured* shuffle output is small, split of skewed partitions,
+# coalescing of tiny shuffle partitions); UTC keeps timestamp_ntz <->
+# timestamp casts exact.  Static broadcasts from file-size estimates are off:
+# a broadcast is either bounded by construction (explicit hint), proven by a
+# bounded count (operators.table_ops.join_checked) or chosen by AQE from
+# measured sizes.
 DEFAULT_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -112,7 +112,7 @@ def quota_thresholds(count: "F.Column") -> tuple:
 
     25 % of the rows overlap, split 8:10:7 into TRIPLE / EMAIL / PHONE; every
     split is rounded half to even, the last part takes the remainder.
-    Returned as Columns, so the count stays a scalar subquery in the plan.
+    Returned as Columns over the count, so nothing is collected to the driver.
     """
     target = F.bround(count.cast("double") * F.lit(0.25), 0)
     triple = F.bround(target * F.lit(8.0) / F.lit(25.0), 0)
@@ -128,16 +128,18 @@ def crm(customer: DataFrame, as_of=FIXTURE_AS_OF) -> DataFrame:
     and cumulative quotas (see :func:`quota_thresholds`).
     """
     key = F.col("c_custkey")
-    n = customer.select(F.count(F.lit(1))).scalar()
-    t_triple, t_email, t_phone = quota_thresholds(n)
+    # One-row relation of thresholds from one count: a bounded broadcast.
+    quota = customer.agg(F.count(F.lit(1)).alias("_n")).select(
+        *[t.alias(f"_t{i}") for i, t in enumerate(quota_thresholds(F.col("_n")))]
+    )
     ordinal = key + F.lit(1)
     label = (
-        F.when(ordinal <= t_triple, "TRIPLE")
-        .when(ordinal <= t_email, "EMAIL")
-        .when(ordinal <= t_phone, "PHONE")
+        F.when(ordinal <= F.col("_t0"), "TRIPLE")
+        .when(ordinal <= F.col("_t1"), "EMAIL")
+        .when(ordinal <= F.col("_t2"), "PHONE")
         .otherwise("NONE")
     )
-    return customer.select(
+    return customer.crossJoin(F.broadcast(quota)).select(
         key.cast("string").alias("customer_id"),
         F.when(key % F.lit(20) >= F.lit(3), F.concat(F.lit("c"), key.cast("string"), F.lit("@example.com"))).alias(
             "email"
