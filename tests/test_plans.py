@@ -67,3 +67,16 @@ def test_top_k_is_take_ordered(spark):
     logs = viewing_logs(read_table(spark, SF01, "events"))
     c360 = gold.customer_360(crm(read_table(spark, SF01, "customer"), AS_OF), logs, AS_OF)
     assert "TakeOrderedAndProject" in _plan(gold.top_customers(c360, 100))
+
+
+def test_no_registered_query_plans_a_cross_join(spark):
+    """No query pairs rows without a key (cartesian or nested-loop join)."""
+    import __spark_entry__ as entry
+    from conftest import SF001
+
+    offenders = []
+    for name, fn in entry.queries().items():
+        plan = _plan(fn(spark, SF001))
+        if "NestedLoopJoin" in plan or "CartesianProduct" in plan:
+            offenders.append(name)
+    assert offenders == []

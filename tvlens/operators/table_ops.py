@@ -85,13 +85,20 @@ def join_checked(
     return big.join(small, on, how)
 
 
-def cross_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row relation (e.g. a global aggregate).
+def one_row_columns(one_row: DataFrame) -> dict[str, Column]:
+    """The columns of a one-row relation (a global aggregate) as scalar values.
 
-    The right side is an aggregate without grouping, so exactly one row: the
-    broadcast is bounded by construction.
+    All columns travel in one struct-valued scalar subquery; its repeated
+    uses share one execution (Spark reuses identical subqueries), so the
+    aggregate runs once and no join - let alone a cross join - is planned.
     """
-    return df.crossJoin(F.broadcast(one_row))
+    packed = one_row.select(F.struct(*one_row.columns).alias("_row")).scalar()
+    return {c: packed.getField(c) for c in one_row.columns}
+
+
+def cross_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """``a CROSS JOIN one_row``: attach the columns of a one-row relation."""
+    return df.select("*", *[v.alias(k) for k, v in one_row_columns(one_row).items()])
 
 
 def grouped_with_distinct(

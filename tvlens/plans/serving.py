@@ -89,9 +89,8 @@ def platform_kpis(daily: DataFrame, as_of, days: int | None, logs: DataFrame | N
     period_logs = logs if days is None else logs.where(
         F.col("event_time") >= since(as_of, days).cast("timestamp_ntz")
     )
-    viewers = period_logs.agg(F.count_distinct("customer_id").alias("unique_viewers"))
-    # Both sides are global aggregates: one row each.
-    return kpis.crossJoin(F.broadcast(viewers))
+    viewers = period_logs.select(F.count_distinct("customer_id")).scalar()
+    return kpis.withColumn("unique_viewers", viewers)
 
 
 def daily_trend(daily: DataFrame, as_of, days: int | None) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tvlens.functions.columns import cycle, hour_slot, padded, programme_key, value_map
-from tvlens.operators.table_ops import ad_load, assign_quota, attach_fraction, dotted_address
+from tvlens.operators.table_ops import ad_load, assign_quota, attach_fraction, dotted_address, one_row_columns
 
 # Reference date used by the fixtures (the driver data ends on 2024-01-30).
 FIXTURE_AS_OF = _dt.date(2024, 1, 31)
@@ -128,18 +128,20 @@ def crm(customer: DataFrame, as_of=FIXTURE_AS_OF) -> DataFrame:
     and cumulative quotas (see :func:`quota_thresholds`).
     """
     key = F.col("c_custkey")
-    # One-row relation of thresholds from one count: a bounded broadcast.
-    quota = customer.agg(F.count(F.lit(1)).alias("_n")).select(
-        *[t.alias(f"_t{i}") for i, t in enumerate(quota_thresholds(F.col("_n")))]
+    # Thresholds from one count, evaluated once as a scalar subquery.
+    t = one_row_columns(
+        customer.agg(F.count(F.lit(1)).alias("_n")).select(
+            *[v.alias(f"t{i}") for i, v in enumerate(quota_thresholds(F.col("_n")))]
+        )
     )
     ordinal = key + F.lit(1)
     label = (
-        F.when(ordinal <= F.col("_t0"), "TRIPLE")
-        .when(ordinal <= F.col("_t1"), "EMAIL")
-        .when(ordinal <= F.col("_t2"), "PHONE")
+        F.when(ordinal <= t["t0"], "TRIPLE")
+        .when(ordinal <= t["t1"], "EMAIL")
+        .when(ordinal <= t["t2"], "PHONE")
         .otherwise("NONE")
     )
-    return customer.crossJoin(F.broadcast(quota)).select(
+    return customer.select(
         key.cast("string").alias("customer_id"),
         F.when(key % F.lit(20) >= F.lit(3), F.concat(F.lit("c"), key.cast("string"), F.lit("@example.com"))).alias(
             "email"
