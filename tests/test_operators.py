@@ -187,3 +187,18 @@ def test_determinism_across_partitioning(spark):
     a = sorted(map(tuple, jobs.build_crm(base.repartition(3), p, AS_OF).collect()))
     b = sorted(map(tuple, jobs.build_crm(base.repartition(7), p.repartition(2), AS_OF).collect()))
     assert a == b
+
+
+def test_dense_index_hot_duplicate_key(spark, monkeypatch):
+    """A key holding a third of the rows: still 1..N, expanded in chunks."""
+    monkeypatch.setattr(T, "EXPAND_CHUNK", 50)
+    hot = spark.range(0, 1000).select(F.lit(7).cast("long").alias("k"))
+    cold = spark.range(0, 2000).select(F.col("id").alias("k"))
+    df = hot.unionByName(cold)
+    out = T.dense_index(df, ["k"], "rn", seed=5, buckets=32, unique_key=False)
+    rows = out.collect()
+    assert sorted(r.rn for r in rows) == list(range(1, 3001))
+    assert Counter(r.k for r in rows)[7] == 1001
+    again = sorted((r.k, r.rn) for r in T.dense_index(df.repartition(3), ["k"], "rn", seed=5, buckets=32,
+                                                       unique_key=False).collect())
+    assert again == sorted((r.k, r.rn) for r in rows)

@@ -36,8 +36,9 @@ from tvlens.functions.columns import (
 )
 
 # Default number of hash buckets for dense numbering.  Each bucket becomes one
-# window group, so a bucket holds about rows / DEFAULT_BUCKETS rows.
-DEFAULT_BUCKETS = 1024
+# window group, so a bucket holds about rows / DEFAULT_BUCKETS rows; the
+# offsets table has at most this many rows (about 1 MB to broadcast).
+DEFAULT_BUCKETS = 1 << 16
 
 # Largest side (rows) joined by broadcast after a size check.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -138,6 +139,7 @@ def dense_index(
     name: str = "rn",
     seed: int = 0,
     buckets: int = DEFAULT_BUCKETS,
+    unique_key: bool = True,
 ) -> DataFrame:
     """Number the rows 1..N in a stable pseudo-random order.
 
@@ -147,19 +149,18 @@ def dense_index(
     prefix sum of the bucket sizes before it.  The order is
     ``(bucket, hash, key)``, a pure function of the key columns and ``seed``.
     The offsets table has one row per bucket, so its broadcast is bounded.
+
+    With ``unique_key=False`` the key may repeat, even for a third of the
+    rows: identical rows are first collapsed to (row, multiplicity) with a
+    map-side partial aggregate, numbered as one weighted row, and expanded
+    back in chunks of at most ``EXPAND_CHUNK`` rows spread over all tasks.
     """
+    if not unique_key:
+        return _dense_index_weighted(df, key, name, seed, buckets)
     keys = [F.col(k) for k in key]
     h = F.xxhash64(*keys, F.lit(seed))
     tagged = df.withColumn("_h", h).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
-    counts = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per bucket: a single-partition window over at most `buckets` rows.
-    offsets = counts.select(
-        "_b",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_off"),
-    )
+    offsets = _bucket_offsets(tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")))
     within = Window.partitionBy("_b").orderBy(F.col("_h"), *keys)
     numbered = tagged.withColumn("_r", F.row_number().over(within))
     return (
@@ -169,6 +170,47 @@ def dense_index(
     )
 
 
+# Largest number of copies one task expands in the weighted dense index.
+EXPAND_CHUNK = 1_000_000
+
+
+def _bucket_offsets(counts: DataFrame) -> DataFrame:
+    """Prefix sums of per-bucket sizes ``_n`` (one row per bucket)."""
+    return counts.select(
+        "_b",
+        F.coalesce(
+            F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
+            F.lit(0),
+        ).alias("_off"),
+    )
+
+
+def _dense_index_weighted(df: DataFrame, key: Sequence[str], name: str, seed: int, buckets: int) -> DataFrame:
+    cols = df.columns
+    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    keys = [F.col(k) for k in key]
+    others = [F.col(c) for c in cols if c not in key]
+    h = F.xxhash64(*keys, F.lit(seed))
+    tagged = distinct.withColumn("_h", h).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
+    offsets = _bucket_offsets(tagged.groupBy("_b").agg(F.sum("_m").alias("_n")))
+    within = Window.partitionBy("_b").orderBy(F.col("_h"), *keys, *others).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    starts = tagged.withColumn("_before", F.coalesce(F.sum("_m").over(within), F.lit(0))).join(
+        F.broadcast(offsets), "_b"
+    )
+    # Split every run of copies into chunks, spread the chunks, expand them.
+    chunk = F.lit(EXPAND_CHUNK)
+    n_chunks = F.floor((F.col("_m") - F.lit(1)) / chunk).cast("int")
+    chunks = starts.withColumn("_c", F.explode(F.sequence(F.lit(0), n_chunks)))
+    chunks = chunks.withColumn(
+        "_first", F.col("_off") + F.col("_before") + F.col("_c").cast("long") * chunk + F.lit(1)
+    ).withColumn("_len", F.least(chunk, F.col("_m") - F.col("_c").cast("long") * chunk))
+    spread = chunks.repartition(F.col("_first"))
+    out = spread.withColumn("_i", F.explode(F.sequence(F.lit(0), (F.col("_len") - F.lit(1)).cast("int"))))
+    return out.withColumn(name, (F.col("_first") + F.col("_i")).cast("long")).select(*cols, name)
+
+
 def group_index(
     df: DataFrame,
     group: Sequence[str],
