@@ -202,3 +202,33 @@ def test_dense_index_hot_duplicate_key(spark, monkeypatch):
     again = sorted((r.k, r.rn) for r in T.dense_index(df.repartition(3), ["k"], "rn", seed=5, buckets=32,
                                                        unique_key=False).collect())
     assert again == sorted((r.k, r.rn) for r in rows)
+
+
+def test_crm_job_reference_proportions(spark):
+    """Generated base of 3,600 rows: total 4,000 with 320/400/280 overlap rows
+    and 400 duplicates, the stated invariants scaled by 1/1000."""
+    base = jobs.generated_crm_base(spark, 3600, partitions=4)
+    out = jobs.build_crm(base, partner(read_table(spark, SF01, "supplier")), AS_OF)
+    labels = Counter(r.overlap_type for r in out.select("overlap_type").collect())
+    assert labels == {"TRIPLE": 320, "EMAIL": 400, "PHONE": 280, "NONE": 2600, "DUPLICATE": 400}
+    assert out.where(F.col("customer_id").rlike("^ID-[0-9]{10}(_DUP)?$")).count() == 4000
+
+
+def test_event_log_job_invariants(spark):
+    from tvlens.sources.tables import LOG_COLUMNS
+
+    ev = jobs.generated_event_base(spark, 5000, dt.datetime(2024, 1, 8), 2, partitions=3)
+    c = crm(read_table(spark, SF01, "customer"), AS_OF)
+    out = jobs.build_event_logs(ev, c)
+    assert out.columns == LOG_COLUMNS
+    rows = out.select("log_id", "customer_id", "event_time", "ad_breaks", "ad_total_seconds").collect()
+    assert len(rows) == 5000
+    with_cust = {int(r.log_id) for r in rows if r.customer_id is not None}
+    assert with_cust == {i for i in range(1, 5001) if i % 100 < 30}
+    ids = {r.customer_id for r in c.select("customer_id").collect()}
+    assert all(r.customer_id in ids for r in rows if r.customer_id is not None)
+    assert max(r.event_time for r in rows) == dt.datetime(2024, 1, 8) + dt.timedelta(seconds=2 * 4999)
+    # a fixed modulo larger than the pool leaves some events without customer
+    out2 = jobs.build_event_logs(ev, c, sample_percent=10.0, target_modulo=1000)
+    n2 = out2.where(F.col("customer_id").isNotNull()).count()
+    assert 0 < n2 < len(with_cust)

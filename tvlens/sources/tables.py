@@ -61,34 +61,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def viewing_logs(
-    events: DataFrame,
+def event_log_columns(
+    df: DataFrame,
     channel: str = "CH",
-    attach_share: float = 0.30,
     country: str = "FR",
+    id_col: str = "event_id",
+    time_col: str = "event_time",
+    device_col: str | None = None,
 ) -> DataFrame:
-    """The viewing-log table derived from ``events`` (one log row per event).
+    """The 22 log columns of rows that carry an event id, a time and a customer.
 
-    ``customer_id`` is the event's user for ``event_id % 100 < 30`` (30 %),
-    else NULL; device, network, QoE and geography follow ``event_id`` modulo
-    small domains; ``device`` is the event's JSON ``props`` text.
+    Device, network, QoE, event type and geography follow ``event_id`` modulo
+    small domains; the address and its provider come from
+    :func:`dotted_address`; ``device`` is the given JSON column (or NULL).
     """
-    eid = F.col("event_id")
+    eid = F.col(id_col)
     address, provider = dotted_address(eid)
-    base = events.select(
-        "event_id",
-        F.col("ts").alias("event_time"),
-        F.col("user_id").cast("string").alias("_user"),
-        F.col("props"),
-    )
-    logs = attach_fraction(base, "_user", eid, attach_share, "customer_id")
-    logs = logs.select(
+    logs = df.select(
         eid.cast("string").alias("log_id"),
         F.lit(channel).alias("channel"),
-        F.col("event_time").cast("timestamp_ntz").alias("event_time"),
-        hour_slot("event_time").alias("slot_start_time"),
-        programme_key(f"{channel}-", "event_time").alias("programme_id"),
-        "customer_id",
+        F.col(time_col).cast("timestamp_ntz").alias("event_time"),
+        hour_slot(time_col).alias("slot_start_time"),
+        programme_key(f"{channel}-", time_col).alias("programme_id"),
+        F.col("customer_id").cast("string").alias("customer_id"),
         cycle(eid, DEVICE_TYPES).alias("device_type"),
         cycle(eid, OS_NAMES).alias("os_name"),
         cycle(eid, CONNECTION_TYPES).alias("connection_type"),
@@ -102,11 +97,33 @@ def viewing_logs(
         F.lit(country).alias("country"),
         F.concat(F.lit("region_"), (eid % F.lit(8)).cast("string")).alias("region"),
         F.concat(F.lit("city_"), (eid % F.lit(10)).cast("string")).alias("city"),
-        F.col("props").alias("device"),
+        (F.col(device_col) if device_col else F.lit(None).cast("string")).alias("device"),
     )
     return ad_load(logs).select(*LOG_COLUMNS)
 
 
+def viewing_logs(
+    events: DataFrame,
+    channel: str = "CH",
+    attach_share: float = 0.30,
+    country: str = "FR",
+) -> DataFrame:
+    """The viewing-log table derived from ``events`` (one log row per event).
+
+    ``customer_id`` is the event's user for ``event_id % 100 < 30`` (30 %),
+    else NULL; the other columns follow :func:`event_log_columns`; ``device``
+    is the event's JSON ``props`` text.
+    """
+    base = events.select(
+        "event_id",
+        F.col("ts").alias("event_time"),
+        F.col("user_id").cast("string").alias("_user"),
+        F.col("props"),
+    )
+    logs = attach_fraction(base, "_user", "event_id", attach_share, "customer_id")
+    return event_log_columns(logs, channel, country, device_col="props")
+
+
 def quota_thresholds(count: "F.Column") -> tuple:
     """Cumulative overlap thresholds for a table of ``count`` rows.
 
