@@ -435,7 +435,11 @@ def top_programmes(logs: DataFrame, as_of, days: int = 7, k: int = 50, columns=N
 
 
 def peak_hours(logs: DataFrame, as_of, days: int = 7) -> DataFrame:
-    """Hour x weekday averages over the daily rows of the last ``days`` days."""
+    """Hour x weekday averages over the daily rows of the last ``days`` days.
+
+    Unordered: a view's ORDER BY has no effect on its readers, who sort
+    (e.g. :func:`tvlens.plans.serving.busiest_cells`).
+    """
     recent = logs.where(F.col("event_time") >= since(as_of, days).cast("timestamp_ntz"))
     pt = peak_times(recent)
     return (
@@ -446,6 +450,5 @@ def peak_hours(logs: DataFrame, as_of, days: int = 7) -> DataFrame:
             F.avg("smarttv_pct").alias("avg_smarttv_share"),
             F.avg("mobile_pct").alias("avg_mobile_share"),
         )
-        .orderBy("day_of_week", "viewing_hour")
         .drop("day_of_week")
     )
