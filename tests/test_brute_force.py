@@ -1,0 +1,160 @@
+"""Hash-randomised queries against a brute-force Python re-computation.
+
+These queries choose rows by Spark's ``xxhash64`` (no DuckDB equivalent), so
+the driver can only compare their row counts.  Here each one is recomputed
+row by row in Python on the sf0.01 fixture - inputs from DuckDB, hashes from
+the ``xxhash`` package (byte-compatible with Spark's, seeds chained) - and
+the Spark result must be identical.
+"""
+
+import datetime as dt
+import struct
+from collections import defaultdict
+
+import pytest
+import xxhash
+
+import __spark_entry__ as entry
+from conftest import SF01
+from oracle_check import duck_connection
+from tvlens.plans.oracle import CRM, LOGS, PARTNER, with_ctes
+
+BUCKETS = 1 << 16
+
+
+def _bytes(v):
+    if isinstance(v, bool):
+        raise TypeError(v)
+    if isinstance(v, int):
+        return struct.pack("<q", v)
+    return str(v).encode("utf-8")
+
+
+def xxh64(*values, seed: int) -> int:
+    """Spark ``xxhash64(values..., lit(seed))`` (longs, strings; NULLs skipped)."""
+    h = 42
+    for v in values:
+        if v is not None:
+            h = xxhash.xxh64_intdigest(_bytes(v), seed=h)
+    h = xxhash.xxh64_intdigest(struct.pack("<i", seed), seed=h)
+    return h - (1 << 64) if h >= (1 << 63) else h
+
+
+def dense_order(rows, key, seed):
+    """Rows sorted as ``dense_index`` numbers them: (bucket, hash, key)."""
+    def sort_key(r):
+        h = xxh64(*[r[k] for k in key], seed=seed)
+        return (h % BUCKETS, h, tuple(r[k] for k in key))
+
+    return sorted(rows, key=sort_key)
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return duck_connection(SF01)
+
+
+@pytest.fixture(scope="module")
+def crm_rows(duck):
+    rel = duck.sql(with_ctes(CRM) + "SELECT * FROM crm")
+    return [dict(zip(rel.columns, r)) for r in rel.fetchall()]
+
+
+@pytest.fixture(scope="module")
+def log_rows(duck):
+    rel = duck.sql(with_ctes(LOGS) + "SELECT log_id, programme_id, slot_start_time FROM logs")
+    return [dict(zip(rel.columns, r)) for r in rel.fetchall()]
+
+
+def _run(spark, name):
+    return [r.asDict() for r in entry.queries()[name](spark, SF01).collect()]
+
+
+def test_dense_index(spark, duck):
+    keys = [r[0] for r in duck.sql("SELECT c_custkey FROM customer").fetchall()]
+    want = {r["c_custkey"]: i + 1 for i, r in enumerate(dense_order([{"c_custkey": k} for k in keys],
+                                                                    ["c_custkey"], 11))}
+    got = {r["c_custkey"]: r["rn"] for r in _run(spark, "dense_index")}
+    assert got == want
+
+
+def test_null_out(spark, crm_rows):
+    want = {}
+    for r in crm_rows:
+        blank = r["overlap_type"] not in ("TRIPLE", "EMAIL") and (
+            (xxh64(r["customer_id"], seed=5) % 1_000_000) / 1e6 < 0.15
+        )
+        want[r["customer_id"]] = None if blank else r["email"]
+    got = {r["customer_id"]: r["email"] for r in _run(spark, "null_out")}
+    assert got == want
+
+
+def test_fraction_sample(spark, log_rows):
+    want = {r["log_id"] for r in log_rows if xxh64(r["log_id"], seed=21) % 100_000 < 10_000}
+    got = {r["log_id"] for r in _run(spark, "fraction_sample")}
+    assert got == want
+
+
+def test_exact_sample(spark, crm_rows):
+    ordered = sorted(crm_rows, key=lambda r: (xxh64(r["customer_id"], seed=13), r["customer_id"]))
+    want = {r["customer_id"] for r in ordered[:100]}
+    assert {r["customer_id"] for r in _run(spark, "exact_sample")} == want
+
+
+def test_capped_sample(spark, log_rows):
+    groups = defaultdict(list)
+    for r in log_rows:
+        groups[r["programme_id"]].append(r)
+    want = {}
+    for rows in groups.values():
+        rows.sort(key=lambda r: (xxh64(r["log_id"], seed=9), r["log_id"]))
+        cap = rows[0]["slot_start_time"].hour + 5
+        for i, r in enumerate(rows[:cap]):
+            want[r["log_id"]] = i + 1
+    got = {r["log_id"]: r["seq"] for r in _run(spark, "capped_sample")}
+    assert got == want
+
+
+def test_hash_category(spark, log_rows):
+    want = defaultdict(int)
+    for r in log_rows:
+        u = (xxh64(r["log_id"], seed=1) % 1000) / 1000
+        want["SmartTV" if u < 0.45 else "Mobile" if u < 0.70 else "Web" if u < 0.85 else "Tablet"] += 1
+    got = {r["category"]: r["events"] for r in _run(spark, "hash_category")}
+    assert got == dict(want)
+
+
+def test_within_slot(spark, log_rows):
+    want = {
+        r["log_id"]: r["slot_start_time"] + dt.timedelta(seconds=xxh64(r["log_id"], seed=4) % 3600)
+        for r in log_rows
+    }
+    got = {r["log_id"]: r["event_time"] for r in _run(spark, "within_slot")}
+    assert got == want
+
+
+def test_near_duplicates(spark, crm_rows):
+    n = round(len(crm_rows) * 0.1)
+    eligible = [r for r in crm_rows if r["overlap_type"] == "NONE"]
+    picked = dense_order(eligible, ["customer_id"], 7)[:n]
+    want = {r["customer_id"]: (r["email"], r["phone"], r["overlap_type"]) for r in crm_rows}
+    for r in picked:
+        cid = r["customer_id"] + "_DUP"
+        email, phone = r["email"], r["phone"]
+        if email is not None and xxh64(cid, seed=8) % 2 == 0:
+            email = email.replace("@", f"{xxh64(cid, seed=9) % 10}@")
+        if phone is not None and xxh64(cid, seed=10) % 2 == 0:
+            phone = phone[:-1] + str(xxh64(cid, seed=11) % 10)
+        want[cid] = (email, phone, "DUPLICATE")
+    got = {r["customer_id"]: (r["email"], r["phone"], r["overlap_type"]) for r in _run(spark, "near_duplicates")}
+    assert got == want
+
+
+def test_cyclic_lookup_shuffled(spark, duck, crm_rows):
+    rel = duck.sql(with_ctes(PARTNER) + "SELECT email, phone FROM partner")
+    partner = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
+    numbered = {i + 1: r["email"] for i, r in enumerate(dense_order(partner, ["email", "phone"], 3))}
+    n = len(numbered)
+    want = {r["customer_id"]: numbered.get(int(r["customer_id"]) % n + 1) for r in crm_rows}
+    got = {r["customer_id"]: r["email"] for r in _run(spark, "cyclic_lookup_shuffled")}
+    assert got == want
