@@ -39,3 +39,15 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     """``CREATE OR REPLACE VIEW name AS ...`` for the session's SQL."""
     df.createOrReplaceTempView(name)
     return df
+
+
+def fetch(df: DataFrame, max_rows: int = 10_000):
+    """Bring a small result to the client as pandas, never more than ``max_rows``.
+
+    Raises when the result is larger, instead of silently truncating it;
+    errors propagate (an empty frame is never returned for a failure).
+    """
+    rows = df.limit(max_rows + 1).toPandas()
+    if len(rows) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; aggregate or page it")
+    return rows
