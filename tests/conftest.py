@@ -23,6 +23,7 @@ def spark():
         extra_conf={
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tvlens-test-ckpt-"),
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tvlens-test-warehouse-"),
         },
     )
     yield s

@@ -80,3 +80,21 @@ def test_no_registered_query_plans_a_cross_join(spark):
         if "NestedLoopJoin" in plan or "CartesianProduct" in plan:
             offenders.append(name)
     assert offenders == []
+
+
+def test_bucketed_tables_skip_the_customer_shuffles(spark):
+    """Logs and CRM bucketed by customer_id: the ordinary customer aggregate
+    and the CRM join read co-partitioned data (only the distinct-count half,
+    whose Expand drops the partitioning, still shuffles)."""
+    from plan_report import final_only
+    from tvlens.sources.sinks import write_bucketed
+
+    lb = write_bucketed(viewing_logs(read_table(spark, SF01, "events")), "tvlens_logs_b", ["customer_id"], 8)
+    cb = write_bucketed(crm(read_table(spark, SF01, "customer"), AS_OF), "tvlens_crm_b", ["customer_id"], 8)
+    df = gold.customer_360(cb, lb, AS_OF)
+    df.collect()
+    plan = final_only(df._jdf.queryExecution().executedPlan().toString())
+    assert "Bucketed: true" in plan
+    # the two exchanges belong to the distinct-count half only
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "ObjectHashAggregate(keys=[customer_id" in plan
