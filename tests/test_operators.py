@@ -232,3 +232,28 @@ def test_event_log_job_invariants(spark):
     out2 = jobs.build_event_logs(ev, c, sample_percent=10.0, target_modulo=1000)
     n2 = out2.where(F.col("customer_id").isNotNull()).count()
     assert 0 < n2 < len(with_cust)
+
+
+def test_skew_split_join_equals_plain_join(spark):
+    rows = [(i, "hot" if i % 3 == 0 else (None if i % 5 == 0 else f"k{i % 40}")) for i in range(3000)]
+    big = spark.createDataFrame(rows, "id int, key string")
+    small = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("zz", 4)], "key string, v int")
+    want = sorted(map(tuple, big.join(small, "key", "left").select("id", "key", "v").collect()), key=str)
+    got = T.skew_split_join(big, small, "key", "left", hot_divisor=10)
+    assert sorted(map(tuple, got.select("id", "key", "v").collect()), key=str) == want
+    inner = T.skew_split_join(big, small, "key", "inner", hot_divisor=10).count()
+    assert inner == big.join(small, "key").count()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan
+
+
+def test_overlap_without_broadcast_uses_skew_split(spark):
+    c = crm(read_table(spark, SF01, "customer"), AS_OF)
+    p = partner(read_table(spark, SF01, "supplier"))
+    from tvlens.operators.overlap import overlap_flags
+
+    a = overlap_flags(c, p, [("email", "email"), ("phone", "phone")], max_broadcast_rows=0)
+    b = overlap_flags(c, p, [("email", "email"), ("phone", "phone")])
+    assert sorted(map(tuple, a.select("customer_id", "in_partner").collect())) == sorted(
+        map(tuple, b.select("customer_id", "in_partner").collect())
+    )

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tvlens.operators.table_ops import BROADCAST_MAX_ROWS, join_checked
+from tvlens.operators.table_ops import BROADCAST_MAX_ROWS, skew_split_join, small_enough
 
 
 def overlap_flags(
@@ -41,7 +41,12 @@ def overlap_flags(
             .distinct()
             .withColumn(flag, F.lit(True))
         )
-        out = join_checked(out, keys, out[lcol] == keys[f"_k{i}"], "left", max_broadcast_rows).drop(f"_k{i}")
+        if small_enough(keys, max_broadcast_rows):
+            out = out.join(F.broadcast(keys), out[lcol] == keys[f"_k{i}"], "left").drop(f"_k{i}")
+        else:
+            # Too many partner keys to broadcast: keep hot and NULL customer
+            # keys out of the shuffle.
+            out = skew_split_join(out.withColumn(f"_k{i}", F.col(lcol)), keys, f"_k{i}", "left").drop(f"_k{i}")
         flags.append(F.coalesce(F.col(flag), F.lit(False)))
     hit = flags[0]
     for f in flags[1:]:

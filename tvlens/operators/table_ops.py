@@ -65,6 +65,15 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def small_enough(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                 plausible_bytes: int | None = None) -> bool:
+    """A bounded count proves ``df`` small; attempted only when the optimizer's
+    estimate makes it plausible (no extra pass over a large input)."""
+    limit = PLAUSIBLE_BROADCAST_BYTES if plausible_bytes is None else plausible_bytes
+    est = estimated_bytes(df)
+    return est is not None and est <= limit and row_count_at_most(df, max_rows)
+
+
 def join_checked(
     big: DataFrame,
     small: DataFrame,
@@ -80,8 +89,7 @@ def join_checked(
     shuffle join; AQE may still turn it into a broadcast from the measured
     shuffle size, and splits skewed partitions of the streamed side.
     """
-    est = estimated_bytes(small)
-    if est is not None and est <= plausible_bytes and row_count_at_most(small, max_rows):
+    if small_enough(small, max_rows, plausible_bytes):
         small = F.broadcast(small)
     return big.join(small, on, how)
 
@@ -97,6 +105,39 @@ def one_row_columns(one_row: DataFrame) -> dict[str, Column]:
     return {c: packed.getField(c) for c in one_row.columns}
 
 
+def skew_split_join(
+    big: DataFrame,
+    small: DataFrame,
+    key: str,
+    how: str = "left",
+    hot_divisor: int = 1000,
+) -> DataFrame:
+    """Equi-join on ``key`` that keeps hot and NULL keys out of the shuffle.
+
+    ``how`` is ``left`` or ``inner``; ``small`` must have at most one row per
+    key (e.g. a distinct key list with flags).  ``big`` is split three ways:
+
+    * rows with a NULL key cannot match: they get NULL ``small`` columns
+      (left join) without being shuffled;
+    * rows whose key holds more than ``1 / hot_divisor`` of all rows (at most
+      ``hot_divisor`` such keys, so the hot-key list and the matching
+      ``small`` rows are bounded) join by broadcast, where they stay;
+    * all other rows take an ordinary shuffle join, now free of hot keys.
+    """
+    counts = big.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_kn"))
+    total = big.select(F.count(F.lit(1))).scalar()
+    hot_keys = counts.where(F.col("_kn") * F.lit(hot_divisor) > total).select(key)
+    small_hot = small.join(F.broadcast(hot_keys), key, "left_semi")
+    keyed = big.where(F.col(key).isNotNull())
+    hot = keyed.join(F.broadcast(hot_keys), key, "left_semi").join(F.broadcast(small_hot), key, how)
+    cold = keyed.join(F.broadcast(hot_keys), key, "left_anti").join(small, key, how)
+    out = hot.unionByName(cold)
+    if how == "left":
+        extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema.fields if f.name != key]
+        out = out.unionByName(big.where(F.col(key).isNull()).select("*", *extra))
+    return out
+
+
 def cross_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """``a CROSS JOIN one_row``: attach the columns of a one-row relation."""
     return df.select("*", *[v.alias(k) for k, v in one_row_columns(one_row).items()])
