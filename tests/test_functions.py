@@ -98,3 +98,11 @@ def test_programme_key_and_hour_slot(spark):
 def test_week_start_is_monday(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 7, 12),)], "t timestamp_ntz")  # Sunday
     assert df.select(C.week_start("t").alias("w")).collect()[0].w == dt.datetime(2024, 1, 1)
+
+
+def test_cluster_conf_sizes_partitions():
+    from tvlens.session import cluster_conf, shuffle_partitions_for
+
+    assert shuffle_partitions_for(0) == 8
+    assert shuffle_partitions_for(100 * 1024**4) == 409600  # 100 TB / 256 MB
+    assert cluster_conf(10 * 1024**3)["spark.sql.shuffle.partitions"] == "40"

@@ -42,7 +42,7 @@ def build_session(
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra_conf or {})
+    conf.update(extra_conf or {})  # e.g. cluster_conf(...) on a cluster
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -74,3 +74,24 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A location for an intermediate table under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 * 1024 * 1024, minimum: int = 8) -> int:
+    """Initial shuffle partition count for the largest expected shuffle.
+
+    AQE only coalesces partitions (and splits skewed ones); it never raises
+    the count, so the initial value must fit the largest shuffle: about one
+    partition per ``target_bytes`` of shuffled data.
+    """
+    return max(minimum, -(-int(shuffle_bytes) // int(target_bytes)))
+
+
+def cluster_conf(largest_shuffle_bytes: int) -> dict[str, str]:
+    """Settings for a large cluster, to pass as ``build_session(extra_conf=...)``."""
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions_for(largest_shuffle_bytes)),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    }
