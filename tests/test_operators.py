@@ -257,3 +257,12 @@ def test_overlap_without_broadcast_uses_skew_split(spark):
     assert sorted(map(tuple, a.select("customer_id", "in_partner").collect())) == sorted(
         map(tuple, b.select("customer_id", "in_partner").collect())
     )
+
+
+def test_crm_job_checkpointed_equals_lazy(spark):
+    base = jobs.crm_base_from_customers(read_table(spark, SF001, "customer"))
+    p = partner(read_table(spark, SF001, "supplier"))
+    lazy = sorted(map(tuple, jobs.build_crm(base, p, AS_OF).collect()))
+    cut = jobs.build_crm(base, p, AS_OF, checkpoint=True)
+    assert sorted(map(tuple, cut.collect())) == lazy
+    assert "LogicalRDD" in cut._jdf.queryExecution().optimizedPlan().toString()
