@@ -191,7 +191,8 @@ def test_determinism_across_partitioning(spark):
 
 def test_dense_index_hot_duplicate_key(spark, monkeypatch):
     """A key holding a third of the rows: still 1..N, expanded in chunks."""
-    monkeypatch.setattr(T, "EXPAND_CHUNK", 50)
+    import tvlens.operators.numbering as N
+    monkeypatch.setattr(N, "EXPAND_CHUNK", 50)
     hot = spark.range(0, 1000).select(F.lit(7).cast("long").alias("k"))
     cold = spark.range(0, 2000).select(F.col("id").alias("k"))
     df = hot.unionByName(cold)

@@ -1,4 +1,4 @@
-"""Reusable table operators (see :mod:`tvlens.operators.table_ops`)."""
+"""Reusable table operators: joins, numbering, labels, generators, overlap."""
 
 from tvlens.operators.overlap import overlap_flags, overlap_ratio, overlap_ratio_literal  # noqa: F401
 from tvlens.operators.table_ops import (  # noqa: F401
@@ -15,16 +15,20 @@ from tvlens.operators.table_ops import (  # noqa: F401
     first_n,
     fraction_sample,
     group_index,
+    grouped_with_distinct,
     hash_category,
     hour_weight,
     join_checked,
     near_duplicates,
     null_out,
+    one_row_columns,
     padded_key,
     past_date,
     phone_text,
     quota_sizes,
     row_count_at_most,
+    skew_split_join,
+    small_enough,
     spread_events,
     substitute_from_source,
     weighted_cap,

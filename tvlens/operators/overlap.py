@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tvlens.operators.table_ops import BROADCAST_MAX_ROWS, skew_split_join, small_enough
+from tvlens.operators.joins import BROADCAST_MAX_ROWS, skew_split_join, small_enough
 
 
 def overlap_flags(

@@ -1,12 +1,8 @@
-"""General table operators.
+"""All table operators in one namespace.
 
-These are the building blocks the batch jobs are made of: dense numbering of
-rows in a stable pseudo-random order, attaching a lookup row by a cyclic key,
-cumulative quota labels, fractional attachment, NULL injection, near-duplicate
-rows, hash categories, row expansion, per-group caps and samples, and the
-OR-EXISTS overlap test.  All of them are lazy DataFrame transformations.
-
-Scale rules followed throughout:
+The operators live in :mod:`~tvlens.operators.joins`,
+:mod:`~tvlens.operators.numbering`, :mod:`~tvlens.operators.labels` and
+:mod:`~tvlens.operators.generators`.  Scale rules followed throughout:
 
 * no global window (it would pull every row into one partition); dense
   numbering uses hash buckets, per-bucket counts and prefix offsets;
@@ -14,603 +10,54 @@ Scale rules followed throughout:
   partition or changing the partition count gives the same rows;
 * a side is broadcast only when its size is bounded by construction (one-row
   aggregates, one row per bucket) or was checked with a bounded count;
-  otherwise the join shuffles and AQE may still split skewed partitions.
+  otherwise the join shuffles, with hot and NULL keys split off.
 """
 
-from __future__ import annotations
-
-from collections.abc import Sequence
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
-from tvlens.functions.columns import (
-    ColumnLike,
-    _c,
-    bands,
-    hash_bucket,
-    hash_int,
-    hash_unit,
-    padded,
+from tvlens.operators.generators import (  # noqa: F401
+    ADDRESS_PLANS,
+    HOUR_WEIGHT_OTHER,
+    HOUR_WEIGHTS,
+    WEEKEND_FACTOR_TENTHS,
+    ad_load,
+    dotted_address,
+    expand_rows,
+    hour_weight,
+    padded_key,
+    past_date,
+    phone_text,
+    spread_events,
+    weighted_cap,
+    within_slot,
 )
-
-# Default number of hash buckets for dense numbering.  Each bucket becomes one
-# window group, so a bucket holds about rows / DEFAULT_BUCKETS rows; the
-# offsets table has at most this many rows (about 1 MB to broadcast).
-DEFAULT_BUCKETS = 1 << 16
-
-# Largest side (rows) joined by broadcast after a size check.
-BROADCAST_MAX_ROWS = 2_000_000
-# Above this estimated size a side is not even counted for a broadcast.
-PLAUSIBLE_BROADCAST_BYTES = 512 * 1024 * 1024
-
-
-# --- size checks and joins ---------------------------------------------------
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Reads at most ``max_rows + 1`` rows' worth of work, never the whole table
-    into the driver: only one number comes back.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (no job runs), or None."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - estimates are optional
-        return None
-
-
-def small_enough(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                 plausible_bytes: int | None = None) -> bool:
-    """A bounded count proves ``df`` small; attempted only when the optimizer's
-    estimate makes it plausible (no extra pass over a large input)."""
-    limit = PLAUSIBLE_BROADCAST_BYTES if plausible_bytes is None else plausible_bytes
-    est = estimated_bytes(df)
-    return est is not None and est <= limit and row_count_at_most(df, max_rows)
-
-
-def join_checked(
-    big: DataFrame,
-    small: DataFrame,
-    on,
-    how: str = "left",
-    max_rows: int = BROADCAST_MAX_ROWS,
-    plausible_bytes: int = PLAUSIBLE_BROADCAST_BYTES,
-) -> DataFrame:
-    """Join, broadcasting ``small`` only when a bounded count proves it small.
-
-    The count runs only when the optimizer's estimate makes a broadcast
-    plausible, so a large side costs no extra pass.  Otherwise the join is a
-    shuffle join; AQE may still turn it into a broadcast from the measured
-    shuffle size, and splits skewed partitions of the streamed side.
-    """
-    if small_enough(small, max_rows, plausible_bytes):
-        small = F.broadcast(small)
-    return big.join(small, on, how)
-
-
-def one_row_columns(one_row: DataFrame) -> dict[str, Column]:
-    """The columns of a one-row relation (a global aggregate) as scalar values.
-
-    All columns travel in one struct-valued scalar subquery; its repeated
-    uses share one execution (Spark reuses identical subqueries), so the
-    aggregate runs once and no join - let alone a cross join - is planned.
-    """
-    packed = one_row.select(F.struct(*one_row.columns).alias("_row")).scalar()
-    return {c: packed.getField(c) for c in one_row.columns}
-
-
-def skew_split_join(
-    big: DataFrame,
-    small: DataFrame,
-    key: str,
-    how: str = "left",
-    hot_divisor: int = 1000,
-) -> DataFrame:
-    """Equi-join on ``key`` that keeps hot and NULL keys out of the shuffle.
-
-    ``how`` is ``left`` or ``inner``; ``small`` must have at most one row per
-    key (e.g. a distinct key list with flags).  ``big`` is split three ways:
-
-    * rows with a NULL key cannot match: they get NULL ``small`` columns
-      (left join) without being shuffled;
-    * rows whose key holds more than ``1 / hot_divisor`` of all rows (at most
-      ``hot_divisor`` such keys, so the hot-key list and the matching
-      ``small`` rows are bounded) join by broadcast, where they stay;
-    * all other rows take an ordinary shuffle join, now free of hot keys.
-    """
-    counts = big.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_kn"))
-    total = big.select(F.count(F.lit(1))).scalar()
-    hot_keys = counts.where(F.col("_kn") * F.lit(hot_divisor) > total).select(key)
-    small_hot = small.join(F.broadcast(hot_keys), key, "left_semi")
-    keyed = big.where(F.col(key).isNotNull())
-    hot = keyed.join(F.broadcast(hot_keys), key, "left_semi").join(F.broadcast(small_hot), key, how)
-    cold = keyed.join(F.broadcast(hot_keys), key, "left_anti").join(small, key, how)
-    out = hot.unionByName(cold)
-    if how == "left":
-        extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema.fields if f.name != key]
-        out = out.unionByName(big.where(F.col(key).isNull()).select("*", *extra))
-    return out
-
-
-def cross_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """``a CROSS JOIN one_row``: attach the columns of a one-row relation."""
-    return df.select("*", *[v.alias(k) for k, v in one_row_columns(one_row).items()])
-
-
-def grouped_with_distinct(
-    df: DataFrame,
-    keys: Sequence[str],
-    plain: Sequence[Column],
-    distinct: Sequence[Column],
-    order: Sequence[str] | None = None,
-    null_safe: bool = True,
-) -> DataFrame:
-    """One row per group with ordinary and exact distinct-count aggregates.
-
-    Spark plans a single aggregate that mixes ``mode``/``median`` with exact
-    distinct counts as an ``Expand`` (one copy of every row per distinct
-    column) followed by a sort-based aggregate.  Two aggregates over the same
-    input - the ordinary one and the distinct counts - joined on the group
-    key are several times faster: both are hash aggregates with map-side
-    partial aggregation, both outputs are hash-partitioned on the key, and
-    the join compares one row per group on each side.  Group keys are joined
-    NULL-safely so a NULL group is kept (``null_safe=False`` when the keys
-    cannot be NULL keeps the join on the raw key, which reuses the
-    aggregates' hash partitioning).
-    """
-    a = df.groupBy(*keys).agg(*plain)
-    d = df.groupBy(*keys).agg(*distinct)
-    d = d.select(*[F.col(k).alias(f"_d_{k}") for k in keys], *[c for c in d.columns if c not in keys])
-    cond = [a[k].eqNullSafe(d[f"_d_{k}"]) if null_safe else a[k] == d[f"_d_{k}"] for k in keys]
-    out = a.join(d, cond, "inner").drop(*[f"_d_{k}" for k in keys])
-    return out.select(*order) if order else out
-
-
-# --- dense numbering ----------------------------------------------------------
-
-def dense_index(
-    df: DataFrame,
-    key: Sequence[str],
-    name: str = "rn",
-    seed: int = 0,
-    buckets: int = DEFAULT_BUCKETS,
-    unique_key: bool = True,
-) -> DataFrame:
-    """Number the rows 1..N in a stable pseudo-random order.
-
-    This is ``ROW_NUMBER() OVER (ORDER BY RANDOM())`` without the global
-    window: rows are spread over ``buckets`` hash buckets, each bucket is
-    numbered on its own (a window per bucket), and the bucket's offset is the
-    prefix sum of the bucket sizes before it.  The order is
-    ``(bucket, hash, key)``, a pure function of the key columns and ``seed``.
-    The offsets table has one row per bucket, so its broadcast is bounded.
-
-    With ``unique_key=False`` the key may repeat, even for a third of the
-    rows: identical rows are first collapsed to (row, multiplicity) with a
-    map-side partial aggregate, numbered as one weighted row, and expanded
-    back in chunks of at most ``EXPAND_CHUNK`` rows spread over all tasks.
-    """
-    if not unique_key:
-        return _dense_index_weighted(df, key, name, seed, buckets)
-    keys = [F.col(k) for k in key]
-    h = F.xxhash64(*keys, F.lit(seed))
-    tagged = df.withColumn("_h", h).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
-    offsets = _bucket_offsets(tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")))
-    within = Window.partitionBy("_b").orderBy(F.col("_h"), *keys)
-    numbered = tagged.withColumn("_r", F.row_number().over(within))
-    return (
-        numbered.join(F.broadcast(offsets), "_b")
-        .withColumn(name, (F.col("_off") + F.col("_r")).cast("long"))
-        .drop("_h", "_b", "_r", "_off")
-    )
-
-
-# Largest number of copies one task expands in the weighted dense index.
-EXPAND_CHUNK = 1_000_000
-
-
-def _bucket_offsets(counts: DataFrame) -> DataFrame:
-    """Prefix sums of per-bucket sizes ``_n`` (one row per bucket)."""
-    return counts.select(
-        "_b",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_off"),
-    )
-
-
-def _dense_index_weighted(df: DataFrame, key: Sequence[str], name: str, seed: int, buckets: int) -> DataFrame:
-    cols = df.columns
-    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-    keys = [F.col(k) for k in key]
-    others = [F.col(c) for c in cols if c not in key]
-    h = F.xxhash64(*keys, F.lit(seed))
-    tagged = distinct.withColumn("_h", h).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
-    offsets = _bucket_offsets(tagged.groupBy("_b").agg(F.sum("_m").alias("_n")))
-    within = Window.partitionBy("_b").orderBy(F.col("_h"), *keys, *others).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = tagged.withColumn("_before", F.coalesce(F.sum("_m").over(within), F.lit(0))).join(
-        F.broadcast(offsets), "_b"
-    )
-    # Split every run of copies into chunks, spread the chunks, expand them.
-    chunk = F.lit(EXPAND_CHUNK)
-    n_chunks = F.floor((F.col("_m") - F.lit(1)) / chunk).cast("int")
-    chunks = starts.withColumn("_c", F.explode(F.sequence(F.lit(0), n_chunks)))
-    chunks = chunks.withColumn(
-        "_first", F.col("_off") + F.col("_before") + F.col("_c").cast("long") * chunk + F.lit(1)
-    ).withColumn("_len", F.least(chunk, F.col("_m") - F.col("_c").cast("long") * chunk))
-    spread = chunks.repartition(F.col("_first"))
-    out = spread.withColumn("_i", F.explode(F.sequence(F.lit(0), (F.col("_len") - F.lit(1)).cast("int"))))
-    return out.withColumn(name, (F.col("_first") + F.col("_i")).cast("long")).select(*cols, name)
-
-
-def group_index(
-    df: DataFrame,
-    group: Sequence[str],
-    key: Sequence[str],
-    name: str = "seq",
-    seed: int = 0,
-) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY group ORDER BY RANDOM())``, stable.
-
-    The order inside a group is ``(hash(key, seed), key)``.
-    """
-    keys = [F.col(k) for k in key]
-    w = Window.partitionBy(*group).orderBy(F.xxhash64(*keys, F.lit(seed)), *keys)
-    return df.withColumn(name, F.row_number().over(w))
-
-
-def first_n(
-    df: DataFrame,
-    n: int | Column,
-    key: Sequence[str],
-    seed: int = 0,
-    buckets: int = DEFAULT_BUCKETS,
-) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows picked in stable pseudo-random order.
-
-    ``QUALIFY ROW_NUMBER() OVER (ORDER BY RANDOM()) <= n`` for any ``n``:
-    numbering is distributed (:func:`dense_index`), so a large ``n`` does not
-    funnel rows through one task the way ``orderBy().limit(n)`` would.
-    """
-    bound = n if isinstance(n, Column) else F.lit(n)
-    return dense_index(df, key, "_pick", seed, buckets).where(F.col("_pick") <= bound).drop("_pick")
-
-
-def exact_sample(df: DataFrame, n: int, key: Sequence[str], seed: int = 0) -> DataFrame:
-    """``SAMPLE (n ROWS)`` for a small preview ``n`` (a top-k by hash).
-
-    Planned as ``TakeOrderedAndProject``: each partition keeps its best ``n``
-    rows, so at most ``n * partitions`` rows reach the final merge.
-    """
-    keys = [F.col(k) for k in key]
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
-
-
-def fraction_sample(df: DataFrame, percent: float, key: Sequence[str], seed: int = 0) -> DataFrame:
-    """``SAMPLE (p)``: keep about ``p`` percent of rows, chosen by key hash."""
-    keep = int(round(float(Decimal(str(percent)) * 1000)))
-    return df.where(hash_bucket(100_000, *key, seed=seed) < F.lit(keep))
-
-
-# --- lookups ----------------------------------------------------------------
-
-def cyclic_lookup(
-    df: DataFrame,
-    key: ColumnLike,
-    lookup: DataFrame,
-    rn: str = "rn",
-    size: Column | None = None,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-) -> DataFrame:
-    """Attach lookup row number ``key % N + 1`` (``N = MAX(rn)``) to each row.
-
-    ``lookup`` must be numbered 1..N in ``rn`` (see :func:`dense_index`).  An
-    empty lookup gives NULL columns, as ``% NULLIF(MAX(rn), 0)`` does.  ``N``
-    is an uncorrelated scalar subquery, so nothing is collected to build the
-    plan except a bounded size check for the broadcast decision.
-    """
-    n = size if size is not None else lookup.select(F.max(F.col(rn))).scalar()
-    target = _c(key) % F.when(n != 0, n) + F.lit(1)
-    keyed = df.withColumn("_lk", target)
-    joined = join_checked(keyed, lookup, keyed["_lk"] == lookup[rn], "left", max_broadcast_rows)
-    return joined.drop("_lk", rn)
-
-
-# --- labels by ordinal, fraction and hash ------------------------------------
-
-def quota_sizes(total: int, overall_share: float, weights: Sequence[int]) -> list[int]:
-    """Split ``round(total * overall_share)`` by integer weights.
-
-    Every part but the last is ``round(target * w / sum)``; the last takes the
-    remainder so the parts add up exactly.  Python's ``round`` (half to even)
-    is used, as the job that sets the quotas does.
-    """
-    target = int(round(total * overall_share))
-    weight_sum = sum(weights)
-    parts = [int(round(target * w / weight_sum)) for w in weights[:-1]]
-    parts.append(target - sum(parts))
-    return parts
-
-
-def assign_quota(
-    df: DataFrame,
-    ordinal: ColumnLike,
-    quotas: Sequence[tuple[str, int]],
-    default: str,
-    name: str,
-) -> DataFrame:
-    """Label rows by cumulative ordinal thresholds.
-
-    With quotas ``[(A, a), (B, b)]`` rows with ordinal ``<= a`` get A,
-    ``<= a + b`` get B, the rest ``default``.
-    """
-    cases, bound = [], 0
-    for label, size in quotas:
-        bound += size
-        cases.append((_c(ordinal) <= F.lit(bound), label))
-    return df.withColumn(name, bands(cases, default))
-
-
-def attach_fraction(
-    df: DataFrame, value: ColumnLike, key: ColumnLike, fraction: float, name: str
-) -> DataFrame:
-    """Keep ``value`` for about ``fraction`` of rows (by ``key % 100``), else NULL.
-
-    The fraction is clamped to [0, 1] and scaled exactly (decimal), so 0.07
-    means ``key % 100 < 7``, not ``< 7.000000000000001``.
-    """
-    p = min(Decimal(1), max(Decimal(0), Decimal(str(fraction))))
-    threshold = p * 100
-    lit = F.lit(int(threshold)) if threshold == threshold.to_integral_value() else F.lit(float(threshold))
-    return df.withColumn(name, F.when((_c(key) % F.lit(100)) < lit, _c(value)))
-
-
-def null_out(
-    df: DataFrame,
-    column: str,
-    rate: float,
-    key: Sequence[str],
-    protect: Column | None = None,
-    seed: int = 0,
-) -> DataFrame:
-    """Blank ``column`` at about ``rate`` of rows, never where ``protect`` holds."""
-    blank = hash_unit(*key, seed=seed) < F.lit(float(rate))
-    if protect is not None:
-        blank = ~F.coalesce(protect, F.lit(False)) & blank
-    return df.withColumn(column, F.when(blank, F.lit(None).cast(df.schema[column].dataType)).otherwise(F.col(column)))
-
-
-def substitute_from_source(
-    df: DataFrame,
-    label: ColumnLike,
-    targets: dict[str, tuple[Sequence[str], str, str, bool]],
-) -> DataFrame:
-    """Take a source value for the listed labels, else the derived value.
-
-    ``targets`` maps output column -> (labels, source column, derived column,
-    fall_back).  With ``fall_back`` a NULL source value falls back to the
-    derived value (COALESCE); without it the NULL is kept.
-    """
-    out = df
-    for column, (labels, source, derived, fall_back) in targets.items():
-        src = F.col(source)
-        if fall_back:
-            src = F.coalesce(src, F.col(derived))
-        out = out.withColumn(column, F.when(_c(label).isin(list(labels)), src).otherwise(F.col(derived)))
-    return out
-
-
-def hash_category(
-    cols: Sequence[ColumnLike],
-    cuts: Sequence[tuple[float, str]],
-    last: str,
-    seed: int = 0,
-) -> Column:
-    """A stable category: the first ``(cut, label)`` with ``u < cut``, else ``last``.
-
-    ``u`` is ``(hash % 1000) / 1000`` of the key columns and seed.
-    """
-    u = hash_bucket(1000, *cols, seed=seed).cast("double") / F.lit(1000.0)
-    return bands([(u < F.lit(float(cut)), label) for cut, label in cuts], last)
-
-
-# --- row expansion, caps and capped samples -------------------------------------
-
-def expand_rows(df: DataFrame, count: ColumnLike, name: str = "seq") -> DataFrame:
-    """Repeat each row ``count`` times with sequence numbers 1..count.
-
-    Rows with a NULL or non-positive count disappear.  Exactly ``count`` rows
-    are generated, instead of a cross product with a fixed maximum that is
-    cut afterwards.
-    """
-    n = _c(count)
-    seqs = F.when(n >= 1, F.sequence(F.lit(1), n.cast("int"))).otherwise(F.array().cast("array<int>"))
-    return df.withColumn(name, F.explode(seqs))
-
-
-# Audience weight per hour of day (hours 0-23 fully covered).
-HOUR_WEIGHTS = (
-    ((0, 5), 1),
-    ((6, 8), 3),
-    ((9, 12), 4),
-    ((13, 13), 6),
-    ((14, 17), 4),
-    ((18, 19), 6),
-    ((20, 20), 8),
-    ((21, 22), 12),
-    ((23, 23), 4),
+from tvlens.operators.joins import (  # noqa: F401
+    BROADCAST_MAX_ROWS,
+    PLAUSIBLE_BROADCAST_BYTES,
+    cross_one_row,
+    cyclic_lookup,
+    estimated_bytes,
+    grouped_with_distinct,
+    join_checked,
+    one_row_columns,
+    row_count_at_most,
+    skew_split_join,
+    small_enough,
 )
-HOUR_WEIGHT_OTHER = 3
-WEEKEND_FACTOR_TENTHS = 12  # x1.2 on Saturday and Sunday
-
-
-def hour_weight(hour: ColumnLike) -> Column:
-    """Audience weight of an hour of day (fixed table above)."""
-    h = _c(hour)
-    return bands([(h.between(lo, hi), w) for (lo, hi), w in HOUR_WEIGHTS], HOUR_WEIGHT_OTHER)
-
-
-def weighted_cap(
-    hour: ColumnLike,
-    dow: ColumnLike,
-    jitter: ColumnLike,
-    multiplier: int = 1,
-    lo: int = 20,
-    hi: int = 600,
-) -> Column:
-    """``clamp(round((100 + jitter) * w * multiplier / 10), lo, hi)``.
-
-    ``w`` is :func:`hour_weight`, times 1.2 on weekends (``dow`` 0 or 6,
-    Sunday-based).  Computed in integers (weights in tenths) so the half-up
-    rounding is exact.
-    """
-    tenths = F.when(_c(dow).isin(0, 6), F.lit(WEEKEND_FACTOR_TENTHS)).otherwise(F.lit(10))
-    numerator = (F.lit(100) + _c(jitter)).cast("long") * hour_weight(hour) * tenths * F.lit(multiplier)
-    # numerator / 100 rounded half up (all terms are non-negative)
-    rounded = F.floor((numerator + F.lit(50)) / F.lit(100)).cast("long")
-    return F.least(F.lit(hi), F.greatest(F.lit(lo), rounded))
-
-
-def capped_sample(
-    df: DataFrame,
-    group: Sequence[str],
-    cap: ColumnLike,
-    max_cap: int,
-    key: Sequence[str],
-    seed: int = 0,
-    name: str = "seq",
-) -> DataFrame:
-    """At most ``cap`` rows per group, chosen in stable pseudo-random order.
-
-    ``max_cap`` is the largest value ``cap`` can take.  The constant bound lets
-    Spark plan a ``WindowGroupLimit`` before the shuffle, so even a group that
-    holds a third of the rows ships at most ``max_cap`` rows per map task.
-    """
-    out = group_index(df, group, key, name, seed)
-    return out.where(F.col(name) <= F.lit(max_cap)).where(F.col(name) <= _c(cap))
-
-
-# --- text builders ------------------------------------------------------------
-
-def near_duplicates(
-    df: DataFrame,
-    n: int | Column,
-    key: Sequence[str],
-    eligible: Column,
-    id_col: str,
-    email_col: str,
-    phone_col: str,
-    label_col: str,
-    label: str = "DUPLICATE",
-    suffix: str = "_DUP",
-    seed: int = 0,
-) -> DataFrame:
-    """Append exactly ``n`` mutated copies of eligible rows.
-
-    A copy gets ``id || suffix``; with chance 1/2 (when not NULL) a digit is
-    inserted before every ``@`` of the email and the phone's last character is
-    replaced by a digit; its label becomes ``label``.
-    """
-    picked = first_n(df.where(eligible), n, key, seed)
-    k = [F.col(c) for c in key]
-    email = F.col(email_col)
-    phone = F.col(phone_col)
-    digit_e = hash_int(0, 9, *k, seed=seed + 2).cast("string")
-    digit_p = hash_int(0, 9, *k, seed=seed + 4).cast("string")
-    dups = (
-        picked.withColumn(id_col, F.concat(F.col(id_col), F.lit(suffix)))
-        .withColumn(
-            email_col,
-            F.when(
-                (hash_bucket(2, *k, seed=seed + 1) == 0) & email.isNotNull(),
-                F.regexp_replace(email, "@", F.concat(digit_e, F.lit("@"))),
-            ).otherwise(email),
-        )
-        .withColumn(
-            phone_col,
-            F.when(
-                (hash_bucket(2, *k, seed=seed + 3) == 0) & phone.isNotNull(),
-                F.concat(F.expr(f"substr({phone_col}, 1, length({phone_col}) - 1)"), digit_p),
-            ).otherwise(phone),
-        )
-        .withColumn(label_col, F.lit(label))
-    )
-    return df.unionByName(dups)
-
-
-def ad_load(df: DataFrame, watch: str = "watch_seconds", seconds_per_break: int = 30) -> DataFrame:
-    """``ad_breaks = floor(watch / 180)``, ``ad_total_seconds = breaks * 30``."""
-    breaks = F.floor(F.col(watch) / F.lit(180)).cast("long")
-    return df.withColumn("ad_breaks", breaks).withColumn(
-        "ad_total_seconds", breaks * F.lit(seconds_per_break)
-    )
-
-
-# Address plans per provider, chosen by key % 3.
-# (first octet, second octet base, second octet modulus, fourth octet multiplier,
-#  third octet = key % 256 or (key * third_mult) % 256 when third_mult is set)
-ADDRESS_PLANS = (
-    ("Orange", 81, 50, 14, None, 7),
-    ("Free", 82, 70, 50, None, 11),
-    ("Bouygues", 90, None, None, 3, 13),
+from tvlens.operators.labels import (  # noqa: F401
+    assign_quota,
+    attach_fraction,
+    hash_category,
+    near_duplicates,
+    null_out,
+    quota_sizes,
+    substitute_from_source,
+)
+from tvlens.operators.numbering import (  # noqa: F401
+    DEFAULT_BUCKETS,
+    EXPAND_CHUNK,
+    capped_sample,
+    dense_index,
+    exact_sample,
+    first_n,
+    fraction_sample,
+    group_index,
 )
-
-
-def dotted_address(key: ColumnLike) -> tuple[Column, Column]:
-    """An IPv4 text and its provider, both chosen by ``key % 3``.
-
-    Provider ``i`` uses plan ``ADDRESS_PLANS[i]``: for the first two the
-    octets are ``first.(base + key % mod).(key % 256).((key * m4) % 256)``;
-    for the third ``first.(key % 256).((key * m3) % 256).((key * m4) % 256)``.
-    """
-    k = _c(key)
-    addresses, providers = [], []
-    for idx, (provider, first, base, mod, m3, m4) in enumerate(ADDRESS_PLANS):
-        if base is not None:
-            second = (F.lit(base) + k % F.lit(mod)).cast("string")
-            third = (k % F.lit(256)).cast("string")
-        else:
-            second = (k % F.lit(256)).cast("string")
-            third = ((k * F.lit(m3)) % F.lit(256)).cast("string")
-        fourth = ((k * F.lit(m4)) % F.lit(256)).cast("string")
-        text = F.concat_ws(".", F.lit(str(first)), second, third, fourth)
-        addresses.append((k % F.lit(3) == F.lit(idx), text))
-        providers.append((k % F.lit(3) == F.lit(idx), provider))
-    return bands(addresses), bands(providers)
-
-
-def within_slot(slot: ColumnLike, key: Sequence[ColumnLike], width_seconds: int = 1800, seed: int = 0) -> Column:
-    """A stable time inside ``[slot, slot + width)`` (whole seconds)."""
-    offset = hash_int(0, width_seconds - 1, *key, seed=seed)
-    return F.timestamp_add("SECOND", offset, _c(slot))
-
-
-def past_date(as_of, key: Sequence[ColumnLike], max_days: int = 3650, seed: int = 0) -> Column:
-    """A stable date between ``as_of - max_days`` and ``as_of``."""
-    return F.date_sub(F.lit(as_of).cast("date"), hash_int(0, max_days, *key, seed=seed).cast("int"))
-
-
-def spread_events(index: ColumnLike, start, step_seconds: int) -> Column:
-    """Event time ``start + (index - 1) * step`` for a 1-based index."""
-    start_col = start if isinstance(start, Column) else F.lit(start).cast("timestamp_ntz")
-    return F.timestamp_add("SECOND", (_c(index) - F.lit(1)) * F.lit(step_seconds), start_col)
-
-
-def padded_key(index: ColumnLike, prefix: str = "ID-", width: int = 10) -> Column:
-    """``prefix || LPAD(index, width, '0')``."""
-    return F.concat(F.lit(prefix), padded(index, width))
-
-
-def phone_text(key: Sequence[ColumnLike], area: ColumnLike, seed: int = 0) -> Column:
-    """``0<area> dd dd dd dd`` with stable two-digit groups 10..99."""
-    groups = [hash_int(10, 99, *key, seed=seed + i).cast("string") for i in range(4)]
-    return F.concat_ws(" ", F.concat(F.lit("0"), _c(area).cast("string")), *groups)

@@ -23,7 +23,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tvlens.operators.table_ops import grouped_with_distinct
 from tvlens.functions.columns import (
     day_gap,
     day_name,
@@ -39,6 +38,7 @@ from tvlens.functions.columns import (
     strict_least,
     value_map,
 )
+from tvlens.operators.joins import grouped_with_distinct
 
 # Overlap labels that make a customer cross-platform.
 CROSS_PLATFORM_LABELS = ("TRIPLE", "EMAIL", "PHONE", "NAME")
