@@ -106,3 +106,19 @@ def test_cluster_conf_sizes_partitions():
     assert shuffle_partitions_for(0) == 8
     assert shuffle_partitions_for(100 * 1024**4) == 409600  # 100 TB / 256 MB
     assert cluster_conf(10 * 1024**3)["spark.sql.shuffle.partitions"] == "40"
+
+
+def test_round_doubles_matches_duckdb_round(spark):
+    import random
+
+    import duckdb
+
+    from tvlens.plans.catalog import round_doubles
+
+    rng = random.Random(7)
+    values = [2.5e-6, 0.0000125, 1.0000005, 123.4567895, -0.0000025, 0.1234565, 1 / 640, 7 / 1280, 0.0]
+    values += [rng.uniform(-1000, 1000) for _ in range(200)] + [k / 640 for k in range(1, 400)]
+    got = [r.x for r in round_doubles(spark.createDataFrame([(v,) for v in values], "x double")).collect()]
+    con = duckdb.connect()
+    want = [con.execute("SELECT round(?::DOUBLE, 6)", [v]).fetchone()[0] for v in values]
+    assert got == want

@@ -27,9 +27,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every floating column (for cross-engine comparison only)."""
+    """Round every floating column (for cross-engine comparison only).
+
+    Computed as ``round(x * 10^d) / 10^d`` in binary floating point, the way
+    DuckDB's ``round(x, d)`` works, so equal inputs round to bit-equal
+    outputs in both engines (Spark's own ``round(x, d)`` rounds the decimal
+    form and can differ at half-way points).
+    """
+    scale = F.lit(float(10**digits))
     cols = [
-        F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
+        (F.round(F.col(f.name) * scale) / scale).alias(f.name)
+        if isinstance(f.dataType, (DoubleType, FloatType))
+        else F.col(f.name)
         for f in df.schema.fields
     ]
     return df.select(*cols)
