@@ -267,3 +267,11 @@ def test_crm_job_checkpointed_equals_lazy(spark):
     cut = jobs.build_crm(base, p, AS_OF, checkpoint=True)
     assert sorted(map(tuple, cut.collect())) == lazy
     assert "LogicalRDD" in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_size_estimate_and_bounded_count(spark):
+    small = spark.range(10)
+    assert isinstance(T.estimated_bytes(small), int) and T.estimated_bytes(small) > 0
+    assert T.small_enough(small, 10) and not T.small_enough(small, 9)
+    plan = T.join_checked(spark.range(100), small, "id", "left")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan

@@ -40,7 +40,8 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate of ``df`` (no job runs), or None."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
     except Exception:  # noqa: BLE001 - estimates are optional
         return None
 
