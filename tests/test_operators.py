@@ -275,3 +275,17 @@ def test_size_estimate_and_bounded_count(spark):
     assert T.small_enough(small, 10) and not T.small_enough(small, 9)
     plan = T.join_checked(spark.range(100), small, "id", "left")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_log_jobs_deterministic_across_partitioning(spark):
+    logs = viewing_logs(read_table(spark, SF001, "events"))
+    c = crm(read_table(spark, SF001, "customer"), AS_OF)
+    slots = jobs.half_hour_slots(logs)
+    a = sorted(map(tuple, jobs.build_slot_logs(slots.repartition(2), c, AS_OF).collect()))
+    b = sorted(map(tuple, jobs.build_slot_logs(slots.repartition(5), c.repartition(3), AS_OF).collect()))
+    assert a == b
+    ev = jobs.generated_event_base(spark, 2000, dt.datetime(2024, 1, 8), 2, partitions=2)
+    ev2 = jobs.generated_event_base(spark, 2000, dt.datetime(2024, 1, 8), 2, partitions=6)
+    assert sorted(map(tuple, jobs.build_event_logs(ev, c).collect())) == sorted(
+        map(tuple, jobs.build_event_logs(ev2, c.repartition(4)).collect())
+    )

@@ -48,3 +48,23 @@ def register_views(
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return views
+
+
+def publish_gold(
+    spark: SparkSession,
+    crm: DataFrame,
+    logs: DataFrame,
+    as_of,
+    daily_path: str,
+    last_updated=None,
+) -> dict[str, DataFrame]:
+    """Build the analytics layer: materialise the daily summary, register views.
+
+    The daily summary is written once (replaced, partitioned by date so
+    period filters prune files) and the serving views read the written table;
+    every other view stays lazy, recomputed on read.
+    """
+    daily = gold.daily_summary(logs, last_updated)
+    daily.write.mode("overwrite").partitionBy("summary_date").parquet(daily_path)
+    stored = spark.read.parquet(daily_path)
+    return register_views(spark, crm, logs, as_of, daily=stored.select(*daily.columns))
