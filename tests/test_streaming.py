@@ -30,3 +30,22 @@ def test_incremental_daily_refresh(spark):
     write_logs_partitioned(second, logs_path, "append")
     start_daily_refresh(spark, logs_path, daily_path, ckpt).awaitTermination()
     assert _rows(read_daily(spark, daily_path)) == _rows(daily_summary(logs))
+
+
+def test_late_events_update_an_already_summarised_date(spark):
+    root = tempfile.mkdtemp(prefix="tvlens-stream-late-")
+    logs_path, daily_path = os.path.join(root, "logs"), os.path.join(root, "daily")
+    ckpt = os.path.join(root, "ckpt")
+    logs = viewing_logs(read_table(spark, SF001, "events"))
+    on_time = logs.where(F.col("log_id").cast("long") % 2 == 0)
+    late = logs.where(F.col("log_id").cast("long") % 2 == 1)  # same dates, arriving later
+
+    write_logs_partitioned(on_time, logs_path, "overwrite")
+    start_daily_refresh(spark, logs_path, daily_path, ckpt).awaitTermination()
+    first = _rows(read_daily(spark, daily_path))
+    assert first == _rows(daily_summary(on_time))
+
+    write_logs_partitioned(late, logs_path, "append")
+    start_daily_refresh(spark, logs_path, daily_path, ckpt).awaitTermination()
+    assert _rows(read_daily(spark, daily_path)) == _rows(daily_summary(logs))
+    assert read_daily(spark, daily_path).count() == daily_summary(logs).count()
