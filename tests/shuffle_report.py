@@ -79,7 +79,9 @@ def main(argv):
     print(
         "From Spark's event log (`tests/shuffle_report.py`): rows read from parquet (a table read twice "
         "counts twice), bytes written to shuffle files, and the largest shuffle input of a single task "
-        "(the skew signal). Aggregates shuffle partial rows, not input rows.\n"
+        "(the skew signal). Aggregates shuffle partial rows, not input rows.  At this size AQE coalesces "
+        "each shuffle into one or two tasks (advisory partition size 64 MB), so the last column shows "
+        "coalescing rather than skew here; on a cluster it is the number to watch.\n"
     )
     print("| query | rows read | shuffle written KB | largest task shuffle read KB |")
     print("|---|---|---|---|")
