@@ -54,11 +54,31 @@ def _norm(v):
 
 
 def _key(row):
-    return tuple((x is None, str(type(x).__name__), str(x)) for x in row)
-
-
-def compare(spark_df, con, sql: str) -> list[str]:
-    """Return a list of problems (empty when the results agree)."""
+    """Sort key: exact (non-float) values first, so a last-digit float
+    difference cannot reorder rows."""
+    exact = tuple((x is None, type(x).__name__, str(x)) for x in row if not isinstance(x, float))
+    floats = tuple((x is None, str(x)) for x in row if isinstance(x, float))
+    return exact, floats
+
+
+def _close(a, b, tol):
+    if len(a) != len(b):
+        return False
+    for x, y in zip(a, b):
+        if isinstance(x, float) and isinstance(y, float):
+            if abs(x - y) > tol:
+                return False
+        elif x != y:
+            return False
+    return True
+
+
+def compare(spark_df, con, sql: str, tol: float = 0.0) -> list[str]:
+    """Return a list of problems (empty when the results agree).
+
+    With ``tol`` doubles may differ by that much (an exact tie at the 7th
+    decimal can round either way when two engines sum in different orders).
+    """
     problems = []
     rel = con.sql(sql)
     duck_cols = rel.columns
@@ -84,7 +104,8 @@ def compare(spark_df, con, sql: str) -> list[str]:
     d_idx = [duck_cols.index(c) for c in order]
     s = sorted((tuple(_norm(r[i]) for i in s_idx) for r in spark_rows), key=_key)
     d = sorted((tuple(_norm(r[i]) for i in d_idx) for r in duck_rows), key=_key)
-    if s != d:
+    same = s == d if not tol else len(s) == len(d) and all(_close(a, b, tol) for a, b in zip(s, d))
+    if not same:
         diff = [(a, b) for a, b in zip(s, d) if a != b][:3]
         problems.append(f"values differ ({sum(a != b for a, b in zip(s, d))} rows), first: {diff} cols={order}")
     return problems
