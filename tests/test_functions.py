@@ -122,3 +122,23 @@ def test_round_doubles_matches_duckdb_round(spark):
     con = duckdb.connect()
     want = [con.execute("SELECT round(?::DOUBLE, 6)", [v]).fetchone()[0] for v in values]
     assert got == want
+
+
+def test_json_object_drops_null_fields(spark):
+    """Object construction leaves NULL fields out; variant reads them back."""
+    df = spark.createDataFrame([(1, None)], "a int, b string")
+    r = df.select(C.json_object({"a": "a", "b": "b"}).alias("j")).collect()[0]
+    assert r.j == '{"a":1}'
+    v = df.select(F.variant_get(C.to_variant(F.struct("a", "b")), "$.a", "int").alias("a")).collect()[0]
+    assert v.a == 1
+
+
+def test_top_k_puts_null_scores_first(spark):
+    """NULL sorts as the largest value, so a NULL score leads a descending top-k."""
+    from tvlens.plans.gold import top_customers
+
+    df = spark.createDataFrame(
+        [("a", 5.0), ("b", None), ("c", 9.0), ("d", 9.0)], "customer_id string, engagement_score double"
+    )
+    got = [r.customer_id for r in top_customers(df, 3, ["customer_id", "engagement_score"]).collect()]
+    assert got == ["b", "c", "d"]
