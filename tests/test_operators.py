@@ -289,3 +289,29 @@ def test_log_jobs_deterministic_across_partitioning(spark):
     assert sorted(map(tuple, jobs.build_event_logs(ev, c).collect())) == sorted(
         map(tuple, jobs.build_event_logs(ev2, c.repartition(4)).collect())
     )
+
+
+def test_job_entry_points_write_and_preview(spark):
+    import os
+    import tempfile
+
+    root = tempfile.mkdtemp(prefix="tvlens-jobs-")
+    base = jobs.generated_crm_base(spark, 900, partitions=2)
+    p = partner(read_table(spark, SF001, "supplier"))
+    crm_path = os.path.join(root, "crm")
+    preview = jobs.run_crm(base, p, AS_OF, crm_path)
+    assert preview.count() == 100
+    assert spark.read.parquet(crm_path).count() == 1000
+    jobs.run_crm(base, p, AS_OF, crm_path, overwrite=False)  # append: same rows once more
+    assert spark.read.parquet(crm_path).count() == 2000
+
+    written = spark.read.parquet(crm_path).dropDuplicates(["customer_id"])
+    ev = jobs.generated_event_base(spark, 3000, dt.datetime(2024, 1, 8), 2, partitions=3)
+    logs_path = os.path.join(root, "logs")
+    assert jobs.run_event_logs(ev, written, logs_path).count() == 100
+    stored = spark.read.parquet(logs_path)
+    assert stored.count() == 3000 and "event_date" in stored.columns
+    slots = jobs.half_hour_slots(stored.limit(0).unionByName(stored))
+    slot_path = os.path.join(root, "slot_logs")
+    preview = jobs.run_slot_logs(slots, written, AS_OF, slot_path)
+    assert preview.count() == min(100, spark.read.parquet(slot_path).count())
