@@ -158,3 +158,90 @@ def test_cyclic_lookup_shuffled(spark, duck, crm_rows):
     want = {r["customer_id"]: numbered.get(int(r["customer_id"]) % n + 1) for r in crm_rows}
     got = {r["customer_id"]: r["email"] for r in _run(spark, "cyclic_lookup_shuffled")}
     assert got == want
+
+
+def test_event_log_job_customers(spark, duck, crm_rows):
+    """Event i gets CRM-sample customer i % N + 1 (sample numbered in dense
+    order) and keeps it for i % 100 < 30."""
+    pool = [r for r in crm_rows if xxh64(r["customer_id"], seed=31) % 100_000 < 50_000]
+    numbered = {i + 1: r["customer_id"] for i, r in enumerate(dense_order(pool, ["customer_id"], 31))}
+    n = len(numbered)
+    ids = [r[0] + 1 for r in duck.sql("SELECT event_id FROM events").fetchall()]
+    want = {str(i): (numbered[i % n + 1] if i % 100 < 30 else None) for i in ids}
+    got = {r["log_id"]: r["customer_id"] for r in _run(spark, "event_log_job")}
+    assert got == want
+
+
+def _bround(x: float) -> int:
+    """Half-to-even rounding of a double (Spark ``bround``, Python ``round``)."""
+    return int(round(x))
+
+
+def test_crm_job(spark, duck):
+    rel = duck.sql("SELECT c_custkey, c_name, c_nationkey FROM customer")
+    base = [
+        {"row_id": k + 1, "first": name.split("#")[0], "last": f"N{nation:02d}"} for k, name, nation in rel.fetchall()
+    ]
+    rel = duck.sql(with_ctes(PARTNER) + "SELECT email, phone, first_name, last_name FROM partner")
+    source = [
+        {"src_email": e, "src_phone": p, "src_first_name": f, "src_last_name": l}
+        for e, p, f, l in rel.fetchall()
+        if e is not None or p is not None
+    ]
+    key4 = ["src_email", "src_phone", "src_first_name", "src_last_name"]
+    sample = {i + 1: r for i, r in enumerate(dense_order(source, key4, 17))}
+    n = len(base)
+    total = _bround(n / 0.9)
+    ov = _bround(total * 0.25)
+    t0 = _bround(ov * 8 / 25)
+    t1 = t0 + _bround(ov * 10 / 25)
+    dups = total - n
+    levels = ("FREE", "BASIC", "STANDARD", "PREMIUM")
+    as_of = dt.date(2024, 1, 31)
+
+    def h(rid, seed, mod):
+        return xxh64(rid, seed=seed) % mod
+
+    rows = []
+    for b in base:
+        rid = b["row_id"]
+        label = "TRIPLE" if rid <= t0 else "EMAIL" if rid <= t1 else "PHONE" if rid <= ov else "NONE"
+        src = sample[rid % len(sample) + 1]
+        gen_email = f"{b['first'].lower()}.{b['last'].lower()}@mail{rid % 6}.example"
+        gen_phone = " ".join([f"0{1 + rid % 6}"] + [str(h(rid, 17 + i, 90) + 10) for i in range(4)])
+        email = src["src_email"] if label in ("TRIPLE", "EMAIL") else gen_email
+        phone = src["src_phone"] if label in ("TRIPLE", "PHONE") else gen_phone
+        if label not in ("TRIPLE", "EMAIL") and h(rid, 19, 1_000_000) / 1e6 < 0.15:
+            email = None
+        if label not in ("TRIPLE", "PHONE") and h(rid, 20, 1_000_000) / 1e6 < 0.20:
+            phone = None
+        rows.append({
+            "row_id": rid,
+            "customer_id": f"ID-{rid:010d}",
+            "email": email,
+            "phone": phone,
+            "first_name": (src["src_first_name"] or b["first"]) if label == "TRIPLE" else b["first"],
+            "last_name": (src["src_last_name"] or b["last"]) if label == "TRIPLE" else b["last"],
+            "gender": "Male" if rid % 2 == 0 else "Female",
+            "profession": f"profession-{rid % 8}",
+            "date_joined": as_of - dt.timedelta(days=h(rid, 18, 3651)),
+            "subscription_level": levels[rid % 4],
+            "overlap_type": label,
+        })
+    picked = dense_order([r for r in rows if r["overlap_type"] == "NONE"], ["row_id"], 21)[:dups]
+    out = list(rows)
+    for r in picked:
+        rid, d = r["row_id"], dict(r)
+        d["customer_id"] = r["customer_id"] + "_DUP"
+        if d["email"] is not None and h(rid, 22, 2) == 0:
+            d["email"] = d["email"].replace("@", f"{h(rid, 23, 10)}@")
+        if d["phone"] is not None and h(rid, 24, 2) == 0:
+            d["phone"] = d["phone"][:-1] + str(h(rid, 25, 10))
+        d["overlap_type"] = "DUPLICATE"
+        out.append(d)
+    cols = ["customer_id", "email", "phone", "first_name", "last_name", "gender", "profession", "date_joined",
+            "subscription_level", "overlap_type"]
+    want = sorted(tuple(r[c] for c in cols) for r in out)
+    got = sorted(tuple(r[c] for c in cols) for r in _run(spark, "crm_job"))
+    assert len(got) == total
+    assert got == want
