@@ -245,3 +245,59 @@ def test_crm_job(spark, duck):
     got = sorted(tuple(r[c] for c in cols) for r in _run(spark, "crm_job"))
     assert len(got) == total
     assert got == want
+
+
+def _xxh64_typed(values, seed):
+    """Like :func:`xxh64` but values are (value, 'long'|'int'|'str') pairs."""
+    h = 42
+    for v, t in values:
+        data = struct.pack("<q", v) if t == "long" else struct.pack("<i", v) if t == "int" else str(v).encode()
+        h = xxhash.xxh64_intdigest(data, seed=h)
+    h = xxhash.xxh64_intdigest(struct.pack("<i", seed), seed=h)
+    return h - (1 << 64) if h >= (1 << 63) else h
+
+
+def test_slot_log_job(spark, duck, crm_rows):
+    import hashlib
+
+    weights = [1] * 6 + [3] * 3 + [4] * 4 + [6] + [4] * 4 + [6] * 2 + [8] + [12] * 2 + [4]
+    ts = [r[0] for r in duck.sql("SELECT ts FROM events").fetchall()]
+    slots = sorted({t.replace(minute=30 if t.minute >= 30 else 0, second=0, microsecond=0) for t in ts})
+    pool = [r for r in crm_rows if xxh64(r["customer_id"], seed=29) % 100_000 < 2_500]
+    numbered = {i + 1: r["customer_id"] for i, r in enumerate(dense_order(pool, ["customer_id"], 29))}
+    epoch = dt.date(1970, 1, 1)
+    want = {}
+    for s in slots:
+        key = (s.date() - epoch).days * 48 + s.hour * 2 + (1 if s.minute >= 30 else 0)
+        jitter = _xxh64_typed([(key, "long")], 29) % 31
+        dow = (s.weekday() + 1) % 7
+        tenths = 12 if dow in (0, 6) else 10
+        cap = min(600, max(20, ((100 + jitter) * weights[s.hour] * tenths + 50) // 100))
+        for seq in range(1, cap + 1):
+            k = [(key, "long"), (seq, "int")]
+
+            def hv(seed, mod, k=k):
+                return _xxh64_typed(k, seed) % mod
+
+            cust = numbered[(key * 1000 + seq) % len(numbered) + 1] if numbered else None
+            u = hv(31, 1000) / 1000
+            device = "SmartTV" if u < 0.45 else "Mobile" if u < 0.70 else "Web" if u < 0.85 else "Tablet"
+            addr_key = hv(34, 2**31)
+            provider = ("Orange", "Free", "Bouygues")[addr_key % 3]
+            log_id = hashlib.sha256(f"29|{key}|{seq}".encode()).hexdigest()[:32]
+            want[log_id] = (
+                cust if hv(30, 1000) < 300 else None,
+                s + dt.timedelta(seconds=hv(35, 1800)),
+                device,
+                hv(36, 5700) + 800,
+                hv(39, 1770) + 30,
+                provider,
+                f"region_{key % 6}",
+                f"city_{seq % 6}",
+            )
+    got = {
+        r["log_id"]: (r["customer_id"], r["event_time"], r["device_type"], r["bitrate_kbps"], r["watch_seconds"],
+                      r["isp"], r["region"], r["city"])
+        for r in _run(spark, "slot_log_job")
+    }
+    assert got == want
