@@ -9,7 +9,6 @@ functions themselves return full precision.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +16,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from tvlens.operators.overlap import overlap_ratio
-from tvlens.sources.tables import FIXTURE_AS_OF, crm, load_views, partner, read_table, viewing_logs
 from tvlens.plans import gold, serving
-
-AS_OF = FIXTURE_AS_OF
-LAST_UPDATED = _dt.datetime(2024, 1, 31, 0, 0, 0)
+from tvlens.plans.operator_queries import OPERATORS
+from tvlens.plans.shared import (
+    AS_OF,
+    LAST_UPDATED,
+    shared_c360,
+    shared_crm,
+    shared_daily,
+    shared_device,
+    shared_logs,
+    shared_partner,
+)
+from tvlens.sources.tables import load_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,56 +51,12 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
-_VIEW_CACHE: dict[tuple, DataFrame] = {}
-
-
-def _shared(builder):
-    """Build a derived view once per (session, folder) and reuse the lazy plan.
-
-    Only the analysed plan is shared (no data is cached): every query still
-    reads its input files and computes everything; what is saved is building
-    and analysing the same view again for each query.
-    """
-
-    def get(spark: SparkSession, sf: str) -> DataFrame:
-        key = (builder.__name__, spark._jsparkSession.hashCode(), sf)
-        df = _VIEW_CACHE.get(key)
-        if df is None or df.sparkSession is not spark:
-            df = _VIEW_CACHE[key] = builder(spark, sf)
-        return df
-
-    get.__name__ = builder.__name__
-    return get
-
-
-@_shared
-def _logs(spark, sf):
-    return viewing_logs(read_table(spark, sf, "events"))
-
-
-@_shared
-def _crm(spark, sf):
-    return crm(read_table(spark, sf, "customer"), AS_OF)
-
-
-@_shared
-def _partner(spark, sf):
-    return partner(read_table(spark, sf, "supplier"))
-
-
-@_shared
-def _c360(spark, sf):
-    return gold.customer_360(_crm(spark, sf), _logs(spark, sf), AS_OF)
-
-
-@_shared
-def _daily(spark, sf):
-    return gold.daily_summary(_logs(spark, sf), LAST_UPDATED)
-
-
-@_shared
-def _device(spark, sf):
-    return gold.device_analytics(_logs(spark, sf))
+_logs = shared_logs
+_crm = shared_crm
+_partner = shared_partner
+_c360 = shared_c360
+_daily = shared_daily
+_device = shared_device
 
 
 GOLD: dict[str, Query] = {
@@ -140,8 +103,6 @@ SERVING: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
-    from tvlens.plans.operator_queries import OPERATORS
-
     out: dict[str, Query] = {}
     for group in (GOLD, SERVING, OPERATORS):
         out.update(group)

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tvlens.functions.columns import since
+from tvlens.functions.columns import per_hour, since
+from tvlens.plans.gold import top_customers, top_programmes
 
 
 def _period(df: DataFrame, date_col: str, as_of, days: int | None) -> DataFrame:
@@ -127,8 +128,6 @@ def device_distribution(device: DataFrame) -> DataFrame:
 
 def top_customers_table(c360: DataFrame, k: int = 20) -> DataFrame:
     """The customer table of the dashboard: top ``k`` by score, 8 columns."""
-    from tvlens.plans.gold import top_customers
-
     cols = [
         "customer_id",
         "first_name",
@@ -144,9 +143,6 @@ def top_customers_table(c360: DataFrame, k: int = 20) -> DataFrame:
 
 def top_programmes_table(logs: DataFrame, as_of, days: int = 7, k: int = 20) -> DataFrame:
     """The programme table of the dashboard: top ``k`` of the period, 7 columns."""
-    from tvlens.functions.columns import per_hour
-    from tvlens.plans.gold import top_programmes
-
     cols = [
         "programme_id",
         "programme_date",

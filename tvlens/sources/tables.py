@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tvlens.functions.columns import cycle, hour_slot, padded, programme_key, value_map
 from tvlens.operators.generators import ad_load, dotted_address
 from tvlens.operators.joins import one_row_columns
-from tvlens.operators.labels import assign_quota, attach_fraction
+from tvlens.operators.labels import assign_quota, attach_fraction, quota_sizes
 
 # Reference date used by the fixtures (the driver data ends on 2024-01-30).
 FIXTURE_AS_OF = _dt.date(2024, 1, 31)
@@ -179,8 +179,6 @@ def crm(customer: DataFrame, as_of=FIXTURE_AS_OF) -> DataFrame:
 def crm_with_quota(customer: DataFrame, as_of=FIXTURE_AS_OF) -> DataFrame:
     """Same as :func:`crm` but labelled through :func:`assign_quota` with
     Python-side quota sizes (needs the row count, one bounded action)."""
-    from tvlens.operators.labels import quota_sizes
-
     total = customer.count()
     sizes = quota_sizes(total, 0.25, (8, 10, 7))
     base = crm(customer, as_of).drop("overlap_type").withColumn(
