@@ -11,7 +11,6 @@
 """
 
 from __future__ import annotations
-
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -124,32 +123,60 @@ def cross_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.select("*", *[v.alias(k) for k, v in one_row_columns(one_row).items()])
 
 
+def partitioned_by(df: DataFrame, keys: Sequence[str]) -> bool:
+    """True when grouping ``df`` by ``keys`` needs no shuffle.
+
+    That holds when the input is already hash-partitioned on (a subset of)
+    the keys - typically a table bucketed by the group key.  Checked by
+    planning (not running) a count per key and looking for an exchange.
+    """
+    try:
+        plan = df.groupBy(*keys).agg(F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
+    except Exception:  # noqa: BLE001 - cannot plan: assume a shuffle is needed
+        return False
+    return "Exchange" not in plan
+
+
 def grouped_with_distinct(
     df: DataFrame,
     keys: Sequence[str],
     plain: Sequence[Column],
-    distinct: Sequence[Column],
+    distinct: dict[str, Column],
     order: Sequence[str] | None = None,
     null_safe: bool = True,
 ) -> DataFrame:
     """One row per group with ordinary and exact distinct-count aggregates.
 
-    Spark plans a single aggregate that mixes ``mode``/``median`` with exact
-    distinct counts as an ``Expand`` (one copy of every row per distinct
-    column) followed by a sort-based aggregate.  Two aggregates over the same
-    input - the ordinary one and the distinct counts - joined on the group
-    key are several times faster: both are hash aggregates with map-side
-    partial aggregation, both outputs are hash-partitioned on the key, and
-    the join compares one row per group on each side.  Group keys are joined
-    NULL-safely so a NULL group is kept (``null_safe=False`` when the keys
-    cannot be NULL keeps the join on the raw key, which reuses the
-    aggregates' hash partitioning).
+    ``distinct`` maps output names to the expressions whose distinct non-NULL
+    values are counted.  Spark plans a single aggregate that mixes
+    ``mode``/``median`` with exact distinct counts as an ``Expand`` (one copy
+    of every row per distinct column) followed by a sort-based aggregate.  Two
+    aggregates over the same input - the ordinary one and the distinct counts
+    - joined on the group key are several times faster: both are hash
+    aggregates with map-side partial aggregation, both outputs are
+    hash-partitioned on the key, and the join compares one row per group on
+    each side.  Group keys are joined NULL-safely so a NULL group is kept
+    (``null_safe=False`` when the keys cannot be NULL keeps the join on the
+    raw key, which reuses the aggregates' hash partitioning).
+
+    When the input is already partitioned by the keys (a bucketed table),
+    every distinct count is a two-level aggregate - by (keys, value), then by
+    keys - which needs no shuffle at all, whereas ``Expand`` would lose the
+    partitioning.
     """
     a = df.groupBy(*keys).agg(*plain)
-    d = df.groupBy(*keys).agg(*distinct)
-    d = d.select(*[F.col(k).alias(f"_d_{k}") for k in keys], *[c for c in d.columns if c not in keys])
-    cond = [a[k].eqNullSafe(d[f"_d_{k}"]) if null_safe else a[k] == d[f"_d_{k}"] for k in keys]
-    out = a.join(d, cond, "inner").drop(*[f"_d_{k}" for k in keys])
+    if partitioned_by(df, keys):
+        parts = [
+            df.select(*keys, expr.alias("_v")).distinct().groupBy(*keys).agg(F.count("_v").alias(name))
+            for name, expr in distinct.items()
+        ]
+    else:
+        parts = [df.groupBy(*keys).agg(*[F.count_distinct(e).alias(n) for n, e in distinct.items()])]
+    out = a
+    for i, d in enumerate(parts):
+        d = d.select(*[F.col(k).alias(f"_d{i}_{k}") for k in keys], *[c for c in d.columns if c not in keys])
+        cond = [out[k].eqNullSafe(d[f"_d{i}_{k}"]) if null_safe else out[k] == d[f"_d{i}_{k}"] for k in keys]
+        out = out.join(d, cond, "inner").drop(*[f"_d{i}_{k}" for k in keys])
     return out.select(*order) if order else out
 
 

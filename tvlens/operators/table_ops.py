@@ -38,6 +38,7 @@ from tvlens.operators.joins import (  # noqa: F401
     grouped_with_distinct,
     join_checked,
     one_row_columns,
+    partitioned_by,
     row_count_at_most,
     skew_split_join,
     small_enough,

@@ -113,11 +113,11 @@ def viewing_summary(logs: DataFrame) -> DataFrame:
             F.max("event_time").alias("last_viewing_date"),
             day_span("event_time").alias("viewing_span_days"),
         ],
-        [
-            F.count_distinct(F.to_date("event_time")).alias("active_days"),
-            F.count_distinct("programme_id").alias("unique_programmes_watched"),
-            F.count_distinct("device_type").alias("device_types_used"),
-        ],
+        {
+            "active_days": F.to_date("event_time"),
+            "unique_programmes_watched": F.col("programme_id"),
+            "device_types_used": F.col("device_type"),
+        },
         VIEWING_SUMMARY_COLUMNS,
         null_safe=False,
     )
@@ -276,11 +276,11 @@ def programme_analytics(logs: DataFrame) -> DataFrame:
             F.count_if(F.col("event_type") == "pause").alias("pauses"),
             F.count_if(F.col("event_type") == "seek").alias("seeks"),
         ],
-        [
-            F.count_distinct("customer_id").alias("unique_viewers"),
-            F.count_distinct(F.hour("event_time")).alias("hours_with_activity"),
-            F.count_distinct("region").alias("regions_reached"),
-        ],
+        {
+            "unique_viewers": F.col("customer_id"),
+            "hours_with_activity": F.hour("event_time"),
+            "regions_reached": F.col("region"),
+        },
     )
     return out.withColumn("completion_rate", ratio(F.col("play_ends"), F.col("play_starts"))).select(
         *PROGRAMME_COLUMNS
@@ -347,12 +347,12 @@ def device_analytics(logs: DataFrame) -> DataFrame:
             mode_of("region").alias("top_region"),
             mode_of(F.hour("event_time")).alias("peak_hour"),
         ],
-        [
-            F.count_distinct("customer_id").alias("unique_users"),
-            F.count_distinct("programme_id").alias("unique_programmes"),
-            F.count_distinct("region").alias("regions_used"),
-            F.count_distinct(F.to_date("event_time")).alias("active_days"),
-        ],
+        {
+            "unique_users": F.col("customer_id"),
+            "unique_programmes": F.col("programme_id"),
+            "regions_used": F.col("region"),
+            "active_days": F.to_date("event_time"),
+        },
         DEVICE_COLUMNS,
     )
 
