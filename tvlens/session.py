@@ -47,15 +47,18 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local") or spark.conf.get("spark.checkpoint.dir", None):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The folder comes from ``spark.checkpoint.dir``; only when that is unset
-    (local runs and tests) a fresh scratch folder is created for this process.
+    The folder comes from ``spark.checkpoint.dir``.  Only when that is unset
+    and Spark runs in local mode (tests, a laptop) a fresh scratch folder is
+    created for this process; on a cluster a machine-local folder would be
+    invisible to the executors, so an unset setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -65,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         configured = tempfile.mkdtemp(prefix="tvlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
