@@ -315,3 +315,15 @@ def test_job_entry_points_write_and_preview(spark):
     slot_path = os.path.join(root, "slot_logs")
     preview = jobs.run_slot_logs(slots, written, AS_OF, slot_path)
     assert preview.count() == min(100, spark.read.parquet(slot_path).count())
+
+
+def test_slot_log_device_object_has_nine_fields(spark):
+    import json
+
+    logs = viewing_logs(read_table(spark, SF001, "events"))
+    c = crm(read_table(spark, SF001, "customer"), AS_OF)
+    row = jobs.build_slot_logs(jobs.half_hour_slots(logs), c, AS_OF).select("device", "device_type").first()
+    obj = json.loads(row.device)
+    assert list(obj) == ["device_id", "session_id", "app_name", "app_version", "player_version", "resolution",
+                         "drm", "manufacturer", "model"]
+    assert obj["model"] == {"SmartTV": "QE55", "Mobile": "iPhone"}.get(row.device_type, "web")
