@@ -327,3 +327,17 @@ def test_slot_log_device_object_has_nine_fields(spark):
     assert list(obj) == ["device_id", "session_id", "app_name", "app_version", "player_version", "resolution",
                          "drm", "manufacturer", "model"]
     assert obj["model"] == {"SmartTV": "QE55", "Mobile": "iPhone"}.get(row.device_type, "web")
+
+
+def test_slot_log_job_week_total(spark):
+    """336 half-hour slots of one week: 20..600 events each, 15,740..19,950 in total."""
+    week = jobs.generated_rows(spark, 336, "i", partitions=4).select(
+        F.timestamp_add("MINUTE", (F.col("i") - 1) * 30, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias(
+            "slot_start_ts"
+        )
+    )
+    c = crm(read_table(spark, SF001, "customer"), AS_OF)
+    out = jobs.build_slot_logs(week, c, AS_OF)
+    per_slot = [r["count"] for r in out.groupBy("slot_start_time").count().collect()]
+    assert len(per_slot) == 336 and min(per_slot) >= 20 and max(per_slot) <= 600
+    assert 15_740 <= sum(per_slot) <= 19_950
