@@ -20,7 +20,6 @@ from tvlens.plans import gold, serving
 from tvlens.plans.operator_queries import OPERATORS
 from tvlens.plans.shared import (
     AS_OF,
-    LAST_UPDATED,
     shared_c360,
     shared_crm,
     shared_daily,
