@@ -5,12 +5,13 @@ the log table; :func:`start_incremental_daily_refresh` folds each batch into
 per-date state (see :func:`apply_batch_incrementally`).
 
 The summary is a full-refresh table in the source system.  At scale only the
-days that received new events need recomputing: a Structured Streaming query
-watches the log folder, and for every micro-batch ``foreachBatch`` finds the
-dates it touched and recomputes those dates from the whole log table (exact
-distinct counts cannot be merged from partial results), then overwrites just
-those date partitions of the summary.  Recomputing a date is idempotent, so a
-replayed micro-batch after a failure writes the same rows again.
+days that received new events need refreshing: a Structured Streaming query
+watches the log folder and ``foreachBatch`` finds the dates a micro-batch
+touched.  The first mode recomputes those dates from the whole log table
+(exact distinct counts cannot be merged from partial counts), the second
+keeps the distinct (date, key) pairs themselves as state.  Either way only
+those date partitions of the summary are overwritten, and a replayed
+micro-batch after a failure leaves the same rows.
 
 The log table is expected to be stored partitioned by ``event_date`` so the
 recomputation reads only the touched partitions (the date filter is a
