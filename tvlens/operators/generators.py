@@ -83,37 +83,29 @@ def ad_load(df: DataFrame, watch: str = "watch_seconds", seconds_per_break: int
     )
 
 
-# Address plans per provider, chosen by key % 3.
-# (first octet, second octet base, second octet modulus, fourth octet multiplier,
-#  third octet = key % 256 or (key * third_mult) % 256 when third_mult is set)
-ADDRESS_PLANS = (
-    ("Orange", 81, 50, 14, None, 7),
-    ("Free", 82, 70, 50, None, 11),
-    ("Bouygues", 90, None, None, 3, 13),
-)
+# Provider and address pattern by key % 3 (k = key).
+#   0  Orange    81.(50 + k % 14).(k % 256).(k * 7 % 256)
+#   1  Free      82.(70 + k % 50).(k % 256).(k * 11 % 256)
+#   2  Bouygues  90.(k % 256).(k * 3 % 256).(k * 13 % 256)
+PROVIDERS = ("Orange", "Free", "Bouygues")
 
 
 def dotted_address(key: ColumnLike) -> tuple[Column, Column]:
-    """An IPv4 text and its provider, both chosen by ``key % 3``.
-
-    Provider ``i`` uses plan ``ADDRESS_PLANS[i]``: for the first two the
-    octets are ``first.(base + key % mod).(key % 256).((key * m4) % 256)``;
-    for the third ``first.(key % 256).((key * m3) % 256).((key * m4) % 256)``.
-    """
+    """An IPv4 text and its provider, both chosen by ``key % 3`` (table above)."""
     k = _c(key)
-    addresses, providers = [], []
-    for idx, (provider, first, base, mod, m3, m4) in enumerate(ADDRESS_PLANS):
-        if base is not None:
-            second = (F.lit(base) + k % F.lit(mod)).cast("string")
-            third = (k % F.lit(256)).cast("string")
-        else:
-            second = (k % F.lit(256)).cast("string")
-            third = ((k * F.lit(m3)) % F.lit(256)).cast("string")
-        fourth = ((k * F.lit(m4)) % F.lit(256)).cast("string")
-        text = F.concat_ws(".", F.lit(str(first)), second, third, fourth)
-        addresses.append((k % F.lit(3) == F.lit(idx), text))
-        providers.append((k % F.lit(3) == F.lit(idx), provider))
-    return bands(addresses), bands(providers)
+
+    def octet(expr: Column) -> Column:
+        return expr.cast("string")
+
+    patterns = (
+        F.concat_ws(".", F.lit("81"), octet(F.lit(50) + k % 14), octet(k % 256), octet(k * 7 % 256)),
+        F.concat_ws(".", F.lit("82"), octet(F.lit(70) + k % 50), octet(k % 256), octet(k * 11 % 256)),
+        F.concat_ws(".", F.lit("90"), octet(k % 256), octet(k * 3 % 256), octet(k * 13 % 256)),
+    )
+    which = k % 3
+    address = bands([(which == i, p) for i, p in enumerate(patterns)])
+    provider = bands([(which == i, name) for i, name in enumerate(PROVIDERS)])
+    return address, provider
 
 
 def within_slot(slot: ColumnLike, key: Sequence[ColumnLike], width_seconds: int = 1800, seed: int = 0) -> Column:

@@ -14,7 +14,7 @@ The operators live in :mod:`~tvlens.operators.joins`,
 """
 
 from tvlens.operators.generators import (  # noqa: F401
-    ADDRESS_PLANS,
+    PROVIDERS,
     HOUR_WEIGHT_OTHER,
     HOUR_WEIGHTS,
     WEEKEND_FACTOR_TENTHS,
