@@ -252,7 +252,13 @@ PROGRAMME_COLUMNS = (
 
 
 def programme_analytics(logs: DataFrame) -> DataFrame:
-    """Programme x slot date x slot hour: 22 viewing, QoE, ad and event metrics."""
+    """Programme x slot date x slot hour: 22 viewing, QoE, ad and event metrics.
+
+    The exact ``median`` and ``mode`` keep a value -> count map per group and
+    task, merged map-side: its size is the number of distinct watch seconds
+    (whole seconds of one viewing, at most 86,400) or regions, not the number
+    of rows, so a programme holding a third of all rows stays small.
+    """
     keyed = logs.withColumn("programme_date", F.to_date("slot_start_time")).withColumn(
         "programme_hour", F.hour("slot_start_time")
     )
