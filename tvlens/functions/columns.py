@@ -33,7 +33,6 @@ def _c(col: ColumnLike) -> Column:
 
 
 # --- calendar ---------------------------------------------------------------
-
 def dow0(ts: ColumnLike) -> Column:
     """Day of week with Sunday = 0 ... Saturday = 6."""
     return F.dayofweek(_c(ts)) - F.lit(1)
@@ -77,7 +76,6 @@ def since(as_of, days: int) -> Column:
 
 
 # --- NULL-strict arithmetic ---------------------------------------------------
-
 def strict_least(*cols: ColumnLike) -> Column:
     """LEAST that is NULL when any argument is NULL."""
     cs = [_c(c) for c in cols]
@@ -114,7 +112,6 @@ def ratio(num: ColumnLike, den: ColumnLike) -> Column:
 
 
 # --- aggregates ---------------------------------------------------------------
-
 def mode_of(col: ColumnLike) -> Column:
     """Most frequent non-NULL value; the smallest one on ties."""
     return F.mode(_c(col), True)
@@ -135,7 +132,6 @@ def day_span(ts: ColumnLike) -> Column:
 
 
 # --- value maps and bands ----------------------------------------------------
-
 def value_map(col: ColumnLike, mapping: Mapping[Any, Any], default: Any = None) -> Column:
     """Simple CASE: ``CASE col WHEN k THEN v ... [ELSE default] END``.
 
@@ -172,7 +168,6 @@ def cycle(key: ColumnLike, values: Sequence[Any]) -> Column:
 
 
 # --- deterministic randomness ------------------------------------------------
-
 def hash_bucket(n: int, *cols: ColumnLike, seed: int = 0) -> Column:
     """A stable bucket 0..n-1 from a hash of the key columns and a seed.
 

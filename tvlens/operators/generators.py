@@ -20,6 +20,7 @@ from tvlens.functions.columns import (
     padded,
 )
 
+
 def expand_rows(df: DataFrame, count: ColumnLike, name: str = "seq") -> DataFrame:
     """Repeat each row ``count`` times with sequence numbers 1..count.
 

@@ -25,6 +25,7 @@ from tvlens.functions.columns import (
 # offsets table has at most this many rows (about 1 MB to broadcast).
 DEFAULT_BUCKETS = 1 << 16
 
+
 def dense_index(
     df: DataFrame,
     key: Sequence[str],

@@ -61,7 +61,6 @@ DEVICE_TYPES = ("SmartTV", "Mobile", "Web", "Tablet")
 
 
 # --- customer 360 -------------------------------------------------------------
-
 def customer_base(crm: DataFrame, only_label: str = PLATFORM_ONLY) -> DataFrame:
     """CRM columns plus ``customer_type`` from the overlap label.
 
@@ -238,7 +237,6 @@ def assert_unique(df: DataFrame, key: str) -> None:
 
 
 # --- log analytics --------------------------------------------------------------
-
 def _device_counts() -> list[Column]:
     return [F.count_if(F.col("device_type") == d).alias(f"{d.lower()}_viewers") for d in DEVICE_TYPES]
 

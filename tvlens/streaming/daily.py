@@ -82,7 +82,6 @@ def read_daily(spark: SparkSession, daily_path: str) -> DataFrame:
 
 
 # --- incremental refresh: per-epoch deltas and distinct-key tables ------------------
-
 def _sums() -> dict:
     """Additive per-date metrics (Columns are built when a session exists)."""
     return {
