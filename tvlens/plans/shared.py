@@ -21,11 +21,19 @@ LAST_UPDATED = _dt.datetime(2024, 1, 31, 0, 0, 0)
 _VIEW_CACHE: dict[tuple, DataFrame] = {}
 
 
+def _session_key(spark: SparkSession) -> int:
+    """Identity of the session (JVM session for classic Spark, else the object)."""
+    try:
+        return spark._jsparkSession.hashCode()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
+        return id(spark)
+
+
 def _shared(builder):
     """Build a derived view once per (session, folder) and reuse the lazy plan."""
 
     def get(spark: SparkSession, sf: str) -> DataFrame:
-        key = (builder.__name__, spark._jsparkSession.hashCode(), sf)
+        key = (builder.__name__, _session_key(spark), sf)
         df = _VIEW_CACHE.get(key)
         if df is None or df.sparkSession is not spark:
             df = _VIEW_CACHE[key] = builder(spark, sf)
