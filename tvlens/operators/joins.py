@@ -192,8 +192,10 @@ def cyclic_lookup(
 
     ``lookup`` must be numbered 1..N in ``rn`` (see :func:`dense_index`).  An
     empty lookup gives NULL columns, as ``% NULLIF(MAX(rn), 0)`` does.  ``N``
-    is an uncorrelated scalar subquery, so nothing is collected to build the
-    plan except a bounded size check for the broadcast decision.
+    is an uncorrelated scalar subquery - ``MAX(rn)``, or ``size`` when the
+    caller knows a cheaper expression such as the row count of the input
+    before numbering - so nothing is collected to build the plan except a
+    bounded size check for the broadcast decision.
     """
     n = size if size is not None else lookup.select(F.max(F.col(rn))).scalar()
     target = _c(key) % F.when(n != 0, n) + F.lit(1)
