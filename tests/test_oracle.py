@@ -37,3 +37,9 @@ def test_entry_smoke(spark):
     assert len(rows) == 150
     assert df.columns[:2] == ["customer_id", "first_name"]
     assert entry.entry(spark).schema == df.schema
+
+
+def test_every_query_names_its_survey_ids():
+    from tvlens.plans.catalog import SURVEY_IDS
+
+    assert set(SURVEY_IDS) == set(QUERIES)
