@@ -1,0 +1,61 @@
+"""Source mixing: targets by plain water filling, and closeness to them."""
+
+from collections import defaultdict
+
+import pytest
+from llm.support import ODD, docs
+from tvlens.llm import mixing
+
+
+def plain_targets(sizes):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        free = [s for s in order if s not in capped]
+        left = total - sum(3 * sizes[s] for s in capped)
+        level = left / sum(weight[s] for s in free) if free else 0
+        new = {s for s in free if weight[s] * level > 3 * sizes[s]}
+        if not new:
+            return {s: 3.0 * sizes[s] if s in capped else weight[s] * level for s in order}
+        capped |= new
+
+
+def check(rows):
+    sizes, taken, most = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in rows:
+        sizes[r.source] += r["size"]
+        taken[r.source] += r["size"] * r.times
+        most[r.source] = max(most[r.source], r["size"])
+        assert 0 <= r.times <= 3
+    for s, want in plain_targets(sizes).items():
+        got = next(r.target for r in rows if r.source == s)
+        assert got == pytest.approx(want)
+        assert abs(taken[s] - want) <= most[s] / 2 + 1e-6 or len({r.h for r in rows if r.source == s}) < sum(r.source == s for r in rows)
+
+
+def test_targets_and_taken_words(spark):
+    texts = ["w " * (i % 17 + 1) for i in range(900)]
+    sources = ["hot" if i % 3 else f"s{i % 5}" if i % 7 else None for i in range(900)]
+    frame = docs(spark, texts, sources)
+    rows = mixing.mix(frame).collect()
+    assert len(rows) == 900
+    check(rows)
+    again = {r.doc_id: r.times for r in mixing.mix(frame.repartition(7)).collect()}
+    assert again == {r.doc_id: r.times for r in rows}
+
+
+def test_shuffled_joins_agree(spark, monkeypatch):
+    texts = ["w " * (i % 9 + 1) for i in range(300)]
+    frame = docs(spark, texts, ["hot" if i % 3 else f"s{i % 40}" for i in range(300)])
+    want = sorted(mixing.mix_report(mixing.mix(frame)).collect())
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(mixing.mix_report(mixing.mix(frame)).collect()) == want
+
+
+def test_defined_cases(spark):
+    rows = mixing.mix(docs(spark, [*ODD, (None, "a b"), (None, None)], ["a"] * len(ODD) + [None, None])).collect()
+    assert len(rows) == len(ODD) + 2
+    check(rows)
+    assert mixing.mix(docs(spark, [])).count() == 0
+    assert {r.times for r in mixing.mix(docs(spark, ["", None])).collect()} == {0}
