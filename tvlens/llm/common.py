@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -24,6 +24,15 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row.
+
+    A plain column of an earlier projection may be pasted by the optimiser
+    into every place that uses it, lambdas included; a bound variable is not.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def crc_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's decimal text, modulo ``folds`` (NULL id: text '')."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

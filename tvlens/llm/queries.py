@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tvlens.llm import mixing, pii, simhash, token_counts
+from tvlens.llm import decontam, host_rules, mixing, pii, simhash, token_counts
 from tvlens.llm.common import read_table
 
 
@@ -20,6 +20,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.judge(read_table(spark, sf_dir, "documents")).drop("host", "host_ok")
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(mixing.mix(read_table(spark, sf_dir, "documents")))
 
@@ -29,9 +33,16 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op3_token_counts": op3_token_counts,
+    "op4_host_rules": op4_host_rules,
     "op5_mix_sources": op5_mix_sources,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op10_decontamination": op10_decontamination,
 }

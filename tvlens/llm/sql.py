@@ -47,4 +47,55 @@ JOIN g ON d.source IS NOT DISTINCT FROM g.source
 LEFT JOIN extra e ON d.h = e.h AND d.source IS NOT DISTINCT FROM e.source
 """
 
-SQL: dict[str, str] = {"op5_mix_sources": _MIX}
+_RULES = r"""
+WITH d AS (
+  SELECT doc_id, source AS host, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS lines
+  FROM documents
+),
+p AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+t AS (
+  SELECT doc_id, i, word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o AS tri
+  FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+),
+r AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+  FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, tri) AS n FROM t WHERE tri IS NOT NULL), range(3) AS s(k)
+  WHERE n > 1 GROUP BY doc_id
+),
+f AS (
+  SELECT doc_id, host, len(w) AS n_words, coalesce(length(array_to_string(w, '')), 0) AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM d LEFT JOIN r USING (doc_id)
+),
+j AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         10 * n_symbols > n_words AS f_symbols, n_dup_lines * 20 > n_words AS f_lines,
+         word_chars < 2 * n_words OR word_chars > 15 * n_words AS f_length
+  FROM f
+),
+h AS (
+  SELECT host, rule, count(*)::DOUBLE AS n, sum(bad::INT)::DOUBLE AS k
+  FROM (
+    SELECT host, unnest(['base', 'symbols', 'lines', 'length']) AS rule,
+           unnest([base_failed, f_symbols, f_lines, f_length]) AS bad
+    FROM j WHERE host IS NOT NULL
+  ) GROUP BY host, rule
+),
+m AS (SELECT rule, sum(k) / sum(n) AS mean, sum(k * k / n) / sum(n) - (sum(k) / sum(n)) * (sum(k) / sum(n)) AS spread FROM h GROUP BY rule),
+st AS (
+  SELECT rule, mean,
+         CASE WHEN spread * 1001 > mean * (1 - mean) THEN greatest(mean * (1 - mean) / spread - 1, 1.0) ELSE 1000.0 END AS s
+  FROM m
+),
+v AS (SELECT host, max((k + s * mean) / (n + s)) <= 0.5 AS host_ok FROM h JOIN st USING (rule) GROUP BY host)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND coalesce(host_ok, true) AS kept
+FROM j LEFT JOIN v USING (host)
+"""
+
+SQL: dict[str, str] = {"op4_host_rules": _RULES, "op5_mix_sources": _MIX}
