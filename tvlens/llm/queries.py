@@ -7,14 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tvlens.llm import decontam, host_rules, mixing, pii, simhash, token_counts
-from tvlens.llm.common import read_table
+from tvlens.llm import decontam, host_rules, langid, line_crf, mixing, pii, simhash, token_counts
+from tvlens.llm.common import crc_fold, read_table
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(pii.find_pii(read_table(spark, sf_dir, "documents")))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = crc_fold(F.col("doc_id"), 3) == 1
+    model = langid.train(docs.where(~held_out), "text", "lang")
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -33,6 +40,14 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = crc_fold(F.col("doc_id"), 4) == 2
+    model = line_crf.train(docs, labels, ~held_out)
+    scored = line_crf.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.drop("text_hash")
@@ -40,9 +55,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_language": op2_language,
     "op3_token_counts": op3_token_counts,
     "op4_host_rules": op4_host_rules,
     "op5_mix_sources": op5_mix_sources,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_line_crf": op8_line_crf,
     "op10_decontamination": op10_decontamination,
 }
