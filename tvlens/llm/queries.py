@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tvlens.llm import decontam, host_rules, langid, line_crf, mixing, pii, simhash, token_counts
+from tvlens.llm import decontam, host_rules, langid, line_crf, mixing, pii, sequences, simhash, token_counts
 from tvlens.llm.common import crc_fold, read_table
 
 
@@ -35,6 +35,11 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(mixing.mix(read_table(spark, sf_dir, "documents")))
 
 
+def op6_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = sequences.write_shards(read_table(spark, sf_dir, "documents"), sequences.new_folder(spark))
+    return index.drop("path")
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_host_rules": op4_host_rules,
     "op5_mix_sources": op5_mix_sources,
+    "op6_sequences": op6_sequences,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_line_crf": op8_line_crf,
     "op10_decontamination": op10_decontamination,
