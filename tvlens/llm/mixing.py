@@ -20,7 +20,7 @@ configuration of a mix) is the only thing ranked in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tvlens.llm.common import cut_lineage, words
@@ -35,14 +35,19 @@ HASH_BITS = 60
 BROADCAST_SOURCES = 100_000
 
 
-def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size, h): words and a 60-bit hash of id and text."""
+def row_hash(id_col: str, text_col: str) -> Column:
+    """60 bits of the MD5 of id and text."""
     key = F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.col(text_col)).cast("binary"))
+    return F.conv(F.substring(key, 1, 15), 16, 10).cast("bigint")
+
+
+def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """(doc_id, source, size, h): words of every row and its hash."""
     return docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
         F.size(words(F.col(text_col))).cast("bigint").alias("size"),
-        F.conv(F.substring(key, 1, 15), 16, 10).cast("bigint").alias("h"),
+        row_hash(id_col, text_col).alias("h"),
     )
 
 
@@ -134,6 +139,20 @@ def thresholds(rows: DataFrame, targets: DataFrame, small: bool) -> DataFrame:
     )
 
 
+def mix_plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """(plan_source, source_size, target, copies, h_cut) from sized rows; hinted
+    for broadcast when it was counted to be small."""
+    targets = cut_lineage(source_targets(rows, weights))
+    small = targets.count() <= BROADCAST_SOURCES
+    plan = cut_lineage(thresholds(rows, targets, small)).withColumnRenamed("source", "plan_source")
+    return F.broadcast(plan) if small else plan
+
+
+def times_taken() -> Column:
+    """Copies of a row with hash ``h`` under its source's plan."""
+    return F.col("copies") + (F.col("h") < F.col("h_cut")).cast("int")
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -144,14 +163,29 @@ def mix(
     """(doc_id, source, size, h, source_size, target, times): how often the
     mix takes each row."""
     rows = cut_lineage(sized(docs, id_col, text_col, source_col))
-    targets = cut_lineage(source_targets(rows, weights))
-    small = targets.count() <= BROADCAST_SOURCES
-    plan = cut_lineage(thresholds(rows, targets, small)).withColumnRenamed("source", "plan_source")
-    plan = F.broadcast(plan) if small else plan
-    times = F.col("copies") + (F.col("h") < F.col("h_cut")).cast("int")
+    plan = mix_plan(rows, weights)
     return rows.join(plan, rows["source"].eqNullSafe(F.col("plan_source")), "left").select(
-        "doc_id", "source", "size", "h", "source_size", "target", times.alias("times")
+        "doc_id", "source", "size", "h", "source_size", "target", times_taken().alias("times")
+    )
+
+
+def take(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it.  The plan is a
+    function of source and hash, so whole rows are never checkpointed."""
+    plan = mix_plan(cut_lineage(sized(docs, id_col, text_col, source_col)), weights)
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(source_col).alias("source"),
+        row_hash(id_col, text_col).alias("h"),
     )
+    taken = rows.join(plan, rows["source"].eqNullSafe(F.col("plan_source"))).where(times_taken() > 0)
+    return taken.select("row", F.explode(F.sequence(F.lit(1), times_taken()))).select("row.*")
 
 
 def mix_report(mixed: DataFrame) -> DataFrame:

@@ -16,9 +16,8 @@ mask.  Two of them are at distance d <= 2 exactly when flipping at most one
 unmasked bit in each gives a common value, so every fingerprint of a bucket
 with company lists these few values, equal values meet, and each links to the
 smallest fingerprint there; its distance is checked again.  At most
-1 + 64 fingerprints can meet at a value, whatever the bucket holds.  In
-general one side flips up to floor(radius / 2) bits (the centres, which are
-all within the radius of each other) and the other up to ceil(radius / 2).
+1 + 64 fingerprints can meet at a value, whatever the bucket holds.  (Radius
+1: one side, the centre, flips nothing.)
 
 Exact copies of a fingerprint are collapsed before the search.  Components of
 the links give ``component_id``, the smallest id reachable.
@@ -37,7 +36,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tvlens.llm.common import cut_lineage, text_slices
@@ -71,19 +70,22 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed 64-bit number."""
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, keep: tuple[Column, ...] = ()
+) -> DataFrame:
+    """(doc_id, <keep>, fp): fp is the fingerprint as a signed 64-bit number."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, "text", 8192, 32 << 20):
             fps = [fingerprint(t, shingle_words) for t in b.column("text").to_pylist()]
-            signed = np.array(fps, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(signed)], ["doc_id", "fp"])
+            names = [n for n in b.schema.names if n != "text"]
+            signed = pa.array(np.array(fps, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], signed], [*names, "fp"])
 
-    only = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
-    )
-    return only.mapInArrow(scan, "doc_id bigint, fp bigint")
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
+    only = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), *keep, text)
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in only.schema.fields if f.name != "text")
+    return only.mapInArrow(scan, f"{out}, fp bigint")
 
 
 def covering_masks(radius: int = RADIUS) -> list[int]:
@@ -101,6 +103,8 @@ def _signed(x: int) -> int:
 def links(distinct_fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fp`` such that the
     components of the links are those of all pairs within the radius."""
+    if not 0 <= radius <= 2:
+        raise ValueError("radius: 0 to 2 bits; beyond that the flips of a fingerprint become too many")
     masks = covering_masks(radius)
     tables = F.explode(
         F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for t, m in enumerate(masks)])
@@ -133,17 +137,19 @@ def near_duplicates(
     text_col: str = "text",
     shingle_words: int = SHINGLE_WORDS,
     radius: int = RADIUS,
+    keep: tuple[Column, ...] = (),
 ) -> DataFrame:
-    """(doc_id, fp, component_id), one row per input row."""
-    rows = cut_lineage(fingerprints(docs, id_col, text_col, shingle_words))
+    """(doc_id, <keep>, fp, root, component_id), one row per input row; ``root``
+    names the component by its smallest fingerprint."""
+    rows = cut_lineage(fingerprints(docs, id_col, text_col, shingle_words, keep))
     nodes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = connected_components(links(nodes.select("fp"), radius))
     member = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     names = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = member.join(names, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = member.join(names, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select(*rows.columns, "root", "component_id")
 
 
 def fingerprint_hex(fp_col: str = "fp"):
