@@ -12,7 +12,7 @@ document, and summed.
    ``1 / HOT_SHARE`` of the block's documents, and very long ones, are counted
    where they are (a block has a bounded number of the first, and the second
    rarely repeat); so no frequent unit gathers the whole corpus's rows.
-2. The other units are dealt out by hash and sorted; equal units are next to
+2. The other units are dealt out and sorted by hash; equal units are next to
    each other, so each distinct unit is tokenized once, and its count is
    multiplied with the frequencies into sums per block and document.
 3. The sums meet the block's own row (ids, byte lengths, sums of step 1).
@@ -44,7 +44,7 @@ from tvlens.llm.common import text_slices
 
 TOKENIZER = "byte_bpe_50k.json"
 BLOCK_DOCS, BLOCK_BYTES = 8192, 24 << 20
-HOT_SHARE = 32
+HOT_SHARE = 128
 LONG_UNIT = 200
 MAX_OPEN_BLOCKS = 512
 
@@ -54,8 +54,10 @@ _WHITE = r"\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\
 #: A space next to other white space or to an end of the text.
 _ODD_SPACE = f" [{_WHITE}]|[{_WHITE}] |^ | $"
 
-ROW_SCHEMA = "unit string, kind int, block bigint, ids array<bigint>, sums array<bigint>, posting binary"
-PART_SCHEMA = "block bigint, kind int, ids array<bigint>, sums array<bigint>, at array<int>, part array<bigint>"
+# Rows carry their numbers as bytes: Spark measures every batch it hands to
+# Python, and list columns that are mostly NULL make that quadratic.
+ROW_SCHEMA = "unit string, kind int, block bigint, posting binary"
+PART_SCHEMA = "block bigint, kind int, posting binary"
 OUT_SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint"
 _POST = np.dtype([("doc", "<u2"), ("times", "<u2")])
 
@@ -151,7 +153,7 @@ def block_rows(batch: pa.RecordBatch, block: int, pieces: Pieces) -> pa.RecordBa
     texts_of = coded.dictionary.take(pa.array(own >> 1))
     names = pc.if_else(pa.array(own % 2 == 1), texts_of, pc.binary_join_element_wise("", texts_of, " "))
     most = np.maximum.reduceat(times, start) if len(start) else size
-    here = (size >= max(HOT_SHARE, n // HOT_SHARE)) | (most > 65535)
+    here = (size >= max(32, n // HOT_SHARE)) | (most > 65535)
     here |= pc.greater(pc.utf8_length(names), LONG_UNIT).to_numpy(zero_copy_only=False).astype(bool)
     counted = np.zeros(len(own), np.int64)
     counted[here] = pieces.count(names.filter(pa.array(here)).to_pylist())
@@ -163,26 +165,24 @@ def block_rows(batch: pa.RecordBatch, block: int, pieces: Pieces) -> pa.RecordBa
     k = len(ends) - 1
     posting = pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(post)])
     head = pa.array([f"\x00{block}"], pa.string())
-    none = pa.nulls(k, pa.list_(pa.int64()))
     lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    ids = batch.column("doc_id")
+    # The block's own row: ids, which of them are NULL, sums, byte lengths.
+    own_row = np.concatenate((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), sums, lengths))
     return pa.RecordBatch.from_arrays(
         [
             pa.concat_arrays([head, names.filter(pa.array(~here)).cast(pa.string())]),
             pa.array(np.concatenate(([0], np.ones(k))), pa.int32()),
             pa.array(np.full(k + 1, block, np.int64)),
-            pa.concat_arrays([pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())), none]),
-            # sums and byte lengths of the block's documents, one after the other
-            pa.concat_arrays([pa.array([np.concatenate((sums, lengths))], pa.list_(pa.int64())), none]),
-            pa.concat_arrays([pa.nulls(1, pa.binary()), posting]),
+            pa.concat_arrays([pa.array([own_row.astype("<i8").tobytes()], pa.binary()), posting]),
         ],
-        ["unit", "kind", "block", "ids", "sums", "posting"],
+        ["unit", "kind", "block", "posting"],
     )
 
 
-def _part_batch(rows: list[tuple]) -> pa.RecordBatch:
-    types_ = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
-    names = ["block", "kind", "ids", "sums", "at", "part"]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types_)], names)
+def _part_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    types_ = [pa.int64(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types_)], ["block", "kind", "posting"])
 
 
 def count_tokens(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,15 +201,13 @@ def count_tokens(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc
             rows = []
             for block, held in open_sums.items():
                 at = np.flatnonzero(held)
-                rows.append((block, 1, None, None, at, held[at]))
+                rows.append((block, 1, np.stack((at, held[at])).astype("<i8").tobytes()))
             open_sums.clear()
             return _part_batch(rows)
 
         for b in batches:
             kind = b.column("kind").to_numpy(zero_copy_only=False)
-            heads = [
-                (r["block"], 0, r["ids"], r["sums"], None, None) for r in b.filter(pa.array(kind == 0)).to_pylist()
-            ]
+            heads = [(r["block"], 0, r["posting"]) for r in b.filter(pa.array(kind == 0)).to_pylist()]
             if heads:
                 yield _part_batch(heads)
             b = b.filter(pa.array(kind == 1))
@@ -234,18 +232,18 @@ def count_tokens(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc
             yield flush()
 
     def to_docs(table: pa.Table) -> pa.Table:
-        ids, sums, lengths = [], np.zeros(0, np.int64), np.zeros(0, np.int64)
-        head = table.filter(pc.equal(table["kind"], 0))
-        for row in head.to_pylist():
-            ids = row["ids"]
-            sums, lengths = np.split(np.array(row["sums"], np.int64), 2)
-        for part in table.filter(pc.equal(table["kind"], 1)).to_batches():
-            for at, add in zip(part.column("at"), part.column("part"), strict=True):
-                sums[at.values.to_numpy()] += add.values.to_numpy()
-        return pa.table([pa.array(ids, pa.int64()), pa.array(lengths), pa.array(sums)], ["doc_id", "n_bytes", "n_tokens"])
+        ids = missing = sums = lengths = np.zeros(0, np.int64)
+        numbers = lambda kind: [np.frombuffer(p, "<i8") for p in table.filter(pc.equal(table["kind"], kind))["posting"].to_pylist()]
+        for own in numbers(0):
+            ids, missing, sums, lengths = own.reshape(4, -1)
+        sums = sums.copy()
+        for part in numbers(1):
+            at, add = part.reshape(2, -1)
+            sums[at] += add
+        return pa.table([pa.array(ids, pa.int64(), mask=missing > 0), pa.array(lengths), pa.array(sums)], ["doc_id", "n_bytes", "n_tokens"])
 
     only = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    units = only.mapInArrow(to_units, ROW_SCHEMA).repartition("unit").sortWithinPartitions("unit")
+    units = only.mapInArrow(to_units, ROW_SCHEMA).repartition("unit").sortWithinPartitions(F.xxhash64("unit"))
     return units.mapInArrow(to_parts, PART_SCHEMA).groupBy("block").applyInArrow(to_docs, OUT_SCHEMA)
