@@ -22,6 +22,7 @@ def spark():
         app_name="tvlens-tests",
         extra_conf={
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "4000",
             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tvlens-test-ckpt-"),
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tvlens-test-warehouse-"),
         },

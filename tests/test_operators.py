@@ -1,4 +1,4 @@
-"""Invariants of the table operators and the two batch jobs."""
+"""Invariants of the table operators."""
 
 import datetime as dt
 from collections import Counter
@@ -7,19 +7,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, SF01
-from tvlens.operators import table_ops as T
-from tvlens.operators.overlap import overlap_ratio, overlap_ratio_literal
-from tvlens.plans import jobs
+from tests_support import T, overlap_ratio_literal
+from tvlens.operators.overlap import overlap_ratio
 from tvlens.sources.tables import crm, partner, read_table, viewing_logs
 
 AS_OF = dt.date(2024, 1, 31)
 
 
 def test_dense_index_is_1_to_n_and_stable(spark):
-    a = T.dense_index(spark.range(0, 3000, numPartitions=5).withColumnRenamed("id", "k"), ["k"], "rn", seed=1,
-                      buckets=64)
-    b = T.dense_index(spark.range(0, 3000, numPartitions=2).withColumnRenamed("id", "k"), ["k"], "rn", seed=1,
-                      buckets=64)
+    a = T.dense_index(spark.range(0, 3000, numPartitions=5).withColumnRenamed("id", "k"), ["k"], "rn", seed=1)
+    b = T.dense_index(spark.range(0, 3000, numPartitions=2).withColumnRenamed("id", "k"), ["k"], "rn", seed=1)
     ra = sorted((r.k, r.rn) for r in a.collect())
     rb = sorted((r.k, r.rn) for r in b.collect())
     assert ra == rb
@@ -41,8 +38,9 @@ def test_quota_sizes():
 
 def test_assign_quota_counts(spark):
     df = spark.range(1, 4001).withColumnRenamed("id", "ord")
-    sizes = T.quota_sizes(4000, 0.25, (8, 10, 7))
-    out = T.assign_quota(df, "ord", list(zip(("TRIPLE", "EMAIL", "PHONE"), sizes)), "NONE", "lab")
+    a, b, c = T.quota_sizes(4000, 0.25, (8, 10, 7))
+    bounds = [("TRIPLE", a), ("EMAIL", F.lit(a + b)), ("PHONE", a + b + c)]
+    out = T.assign_quota(df, "ord", bounds, "NONE", "lab")
     got = {r.lab: r["count"] for r in out.groupBy("lab").count().collect()}
     assert got == {"TRIPLE": 320, "EMAIL": 400, "PHONE": 280, "NONE": 3000}
 
@@ -86,19 +84,10 @@ def test_expand_rows(spark):
     assert sorted(r.seq for r in T.expand_rows(df, "n").where("g = 1").collect()) == [1, 2, 3]
 
 
-def test_weighted_cap_bounds(spark):
-    df = spark.createDataFrame([(h, d, j) for h in range(24) for d in range(7) for j in (0, 30)], "h int, d int, j int")
-    caps = [r.c for r in df.select(T.weighted_cap("h", "d", "j").alias("c")).collect()]
-    assert min(caps) >= 20 and max(caps) <= 600
-    # hour 21, weekday, jitter 0: round(100 * 12 / 10) = 120; weekend: 144
-    one = df.where("h = 21 and j = 0").select("d", T.weighted_cap("h", "d", "j").alias("c")).collect()
-    assert {r.d: r.c for r in one} == {0: 144, 1: 120, 2: 120, 3: 120, 4: 120, 5: 120, 6: 144}
-
-
 def test_capped_sample(spark):
     logs = viewing_logs(read_table(spark, SF01, "events"))
     cap = F.hour("slot_start_time") + F.lit(5)
-    out = T.capped_sample(logs, ["programme_id"], cap, 28, ["log_id"], seed=2)
+    out = T.capped_sample(logs, ["programme_id"], cap, ["log_id"], max_cap=28, seed=2)
     per = {r.programme_id: r["count"] for r in out.groupBy("programme_id").count().collect()}
     sizes = {
         r.programme_id: (r["n"], r.h)
@@ -139,56 +128,6 @@ def test_overlap_split_equals_literal(spark):
     assert a == pytest.approx(b) and a == pytest.approx(0.106, abs=1e-3)
 
 
-def test_crm_job_invariants(spark):
-    base = jobs.crm_base_from_customers(read_table(spark, SF01, "customer"))
-    out = jobs.build_crm(base, partner(read_table(spark, SF01, "supplier")), AS_OF)
-    rows = out.collect()
-    total = round(1500 / 0.9)
-    assert len(rows) == total
-    labels = Counter(r.overlap_type for r in rows)
-    ov = round(total * 0.25)
-    t = round(ov * 8 / 25)
-    e = round(ov * 10 / 25)
-    assert labels["TRIPLE"] == t and labels["EMAIL"] == e and labels["PHONE"] == ov - t - e
-    assert labels["DUPLICATE"] == total - 1500
-    ids = [r.customer_id for r in rows]
-    assert len(set(ids)) == len(ids)
-    part = {r.email for r in partner(read_table(spark, SF01, "supplier")).collect()}
-    for r in rows:
-        if r.overlap_type in ("TRIPLE", "EMAIL"):
-            assert r.email in part  # protected from blanking, taken from the partner
-    assert out.schema.names == [
-        "customer_id", "email", "phone", "first_name", "last_name", "gender", "profession", "date_joined",
-        "subscription_level", "overlap_type",
-    ]
-
-
-def test_slot_log_job_invariants(spark):
-    logs = viewing_logs(read_table(spark, SF001, "events"))
-    c = crm(read_table(spark, SF001, "customer"), AS_OF)
-    out = jobs.build_slot_logs(jobs.half_hour_slots(logs), c, AS_OF)
-    bad_time = out.where(
-        (F.col("event_time") < F.col("slot_start_time"))
-        | (F.col("event_time") >= F.timestamp_add("SECOND", F.lit(1800), F.col("slot_start_time")))
-    ).count()
-    assert bad_time == 0
-    assert out.where(F.col("ad_total_seconds") != F.col("ad_breaks") * 30).count() == 0
-    per_slot = [r["count"] for r in out.groupBy("slot_start_time").count().collect()]
-    assert min(per_slot) >= 20 and max(per_slot) <= 600
-    assert out.select("log_id").distinct().count() == out.count()
-    share = out.where(F.col("customer_id").isNotNull()).count() / out.count()
-    assert 0.25 < share < 0.35
-
-
-def test_determinism_across_partitioning(spark):
-    """Same seed, different partition counts: identical rows (retry safety)."""
-    base = jobs.crm_base_from_customers(read_table(spark, SF001, "customer"))
-    p = partner(read_table(spark, SF001, "supplier"))
-    a = sorted(map(tuple, jobs.build_crm(base.repartition(3), p, AS_OF).collect()))
-    b = sorted(map(tuple, jobs.build_crm(base.repartition(7), p.repartition(2), AS_OF).collect()))
-    assert a == b
-
-
 def test_dense_index_hot_duplicate_key(spark, monkeypatch):
     """A key holding a third of the rows: still 1..N, expanded in chunks."""
     import tvlens.operators.numbering as N
@@ -196,148 +135,86 @@ def test_dense_index_hot_duplicate_key(spark, monkeypatch):
     hot = spark.range(0, 1000).select(F.lit(7).cast("long").alias("k"))
     cold = spark.range(0, 2000).select(F.col("id").alias("k"))
     df = hot.unionByName(cold)
-    out = T.dense_index(df, ["k"], "rn", seed=5, buckets=32, unique_key=False)
+    out = T.dense_index(df, ["k"], "rn", seed=5)
     rows = out.collect()
     assert sorted(r.rn for r in rows) == list(range(1, 3001))
     assert Counter(r.k for r in rows)[7] == 1001
-    again = sorted((r.k, r.rn) for r in T.dense_index(df.repartition(3), ["k"], "rn", seed=5, buckets=32,
-                                                       unique_key=False).collect())
+    again = sorted((r.k, r.rn) for r in T.dense_index(df.repartition(3), ["k"], "rn", seed=5).collect())
     assert again == sorted((r.k, r.rn) for r in rows)
 
 
-def test_crm_job_reference_proportions(spark):
-    """Generated base of 3,600 rows: total 4,000 with 320/400/280 overlap rows
-    and 400 duplicates, the stated invariants scaled by 1/1000."""
-    base = jobs.generated_crm_base(spark, 3600, partitions=4)
-    out = jobs.build_crm(base, partner(read_table(spark, SF01, "supplier")), AS_OF)
-    labels = Counter(r.overlap_type for r in out.select("overlap_type").collect())
-    assert labels == {"TRIPLE": 320, "EMAIL": 400, "PHONE": 280, "NONE": 2600, "DUPLICATE": 400}
-    assert out.where(F.col("customer_id").rlike("^ID-[0-9]{10}(_DUP)?$")).count() == 4000
-
-
-def test_event_log_job_invariants(spark):
-    from tvlens.sources.tables import LOG_COLUMNS
-
-    ev = jobs.generated_event_base(spark, 5000, dt.datetime(2024, 1, 8), 2, partitions=3)
-    c = crm(read_table(spark, SF01, "customer"), AS_OF)
-    out = jobs.build_event_logs(ev, c)
-    assert out.columns == LOG_COLUMNS
-    rows = out.select("log_id", "customer_id", "event_time", "ad_breaks", "ad_total_seconds").collect()
-    assert len(rows) == 5000
-    with_cust = {int(r.log_id) for r in rows if r.customer_id is not None}
-    assert with_cust == {i for i in range(1, 5001) if i % 100 < 30}
-    ids = {r.customer_id for r in c.select("customer_id").collect()}
-    assert all(r.customer_id in ids for r in rows if r.customer_id is not None)
-    assert max(r.event_time for r in rows) == dt.datetime(2024, 1, 8) + dt.timedelta(seconds=2 * 4999)
-    # a fixed modulo larger than the pool leaves some events without customer
-    out2 = jobs.build_event_logs(ev, c, sample_percent=10.0, target_modulo=1000)
-    n2 = out2.where(F.col("customer_id").isNotNull()).count()
-    assert 0 < n2 < len(with_cust)
-
-
-def test_skew_split_join_equals_plain_join(spark):
+def test_null_spread_join_equals_plain_join(spark):
     rows = [(i, "hot" if i % 3 == 0 else (None if i % 5 == 0 else f"k{i % 40}")) for i in range(3000)]
     big = spark.createDataFrame(rows, "id int, key string")
     small = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("zz", 4)], "key string, v int")
     want = sorted(map(tuple, big.join(small, "key", "left").select("id", "key", "v").collect()), key=str)
-    got = T.skew_split_join(big, small, "key", "left", hot_divisor=10)
+    got = T.null_spread_join(big, small, "key", "left")
     assert sorted(map(tuple, got.select("id", "key", "v").collect()), key=str) == want
-    inner = T.skew_split_join(big, small, "key", "inner", hot_divisor=10).count()
+    inner = T.null_spread_join(big, small, "key", "inner").count()
     assert inner == big.join(small, "key").count()
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan
 
 
-def test_overlap_without_broadcast_uses_skew_split(spark):
-    c = crm(read_table(spark, SF01, "customer"), AS_OF)
-    p = partner(read_table(spark, SF01, "supplier"))
-    from tvlens.operators.overlap import overlap_flags
+def test_first_n_is_the_head_of_the_dense_order(spark):
+    df = spark.range(0, 500).select((F.col("id") % 200).alias("k"), F.col("id").alias("v"))
+    order = {(r.k, r.v): r.rn for r in T.dense_index(df, ["k"], "rn", seed=4).collect()}
+    for n in (0, 1, 7, 499, 500, 900):
+        got = {(r.k, r.v) for r in T.first_n(df, n, ["k"], seed=4).collect()}
+        assert got == {x for x, rn in order.items() if rn <= n}
+    hot = spark.range(0, 900).select(F.lit(1).alias("k"))
+    assert T.first_n(hot.unionByName(spark.range(0, 50).select(F.col("id").cast("int").alias("k"))), 333, ["k"]).count() == 333
 
-    a = overlap_flags(c, p, [("email", "email"), ("phone", "phone")], max_broadcast_rows=0)
-    b = overlap_flags(c, p, [("email", "email"), ("phone", "phone")])
-    assert sorted(map(tuple, a.select("customer_id", "in_partner").collect())) == sorted(
-        map(tuple, b.select("customer_id", "in_partner").collect())
-    )
 
+def test_capped_sample_keeps_min_of_cap_and_rows(spark):
+    df = spark.range(0, 100).select(F.lit("g").alias("g"), F.col("id").alias("k"))
+    for cap in (1, 28, 50, 200):
+        assert T.capped_sample(df, ["g"], F.lit(cap), ["k"]).count() == min(cap, 100)
+    with pytest.raises(Exception, match="cap above max_cap"):
+        T.capped_sample(df, ["g"], F.lit(50), ["k"], max_cap=28).count()
+
+
+def test_row_ordinal_with_gaps_outliers_and_nulls(spark):
+    keys = [i * 10 for i in range(700)] + [-5, 10**17, None, None, 30, 30]
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(5)
+    rows = T.row_ordinal(df, "k", "rn").collect()
+    assert sorted(r.rn for r in rows) == list(range(1, len(keys) + 1))
+    ordered = [r.k for r in sorted(rows, key=lambda r: r.rn)]
+    assert ordered == sorted((k for k in keys if k is not None)) + [None, None]
+    assert T.row_ordinal(df.limit(0), "k").count() == 0
 
-def test_crm_job_checkpointed_equals_lazy(spark):
-    base = jobs.crm_base_from_customers(read_table(spark, SF001, "customer"))
-    p = partner(read_table(spark, SF001, "supplier"))
-    lazy = sorted(map(tuple, jobs.build_crm(base, p, AS_OF).collect()))
-    cut = jobs.build_crm(base, p, AS_OF, checkpoint=True)
-    assert sorted(map(tuple, cut.collect())) == lazy
-    assert "LogicalRDD" in cut._jdf.queryExecution().optimizedPlan().toString()
-
-
-def test_size_estimate_and_bounded_count(spark):
-    small = spark.range(10)
-    assert isinstance(T.estimated_bytes(small), int) and T.estimated_bytes(small) > 0
-    assert T.small_enough(small, 10) and not T.small_enough(small, 9)
-    plan = T.join_checked(spark.range(100), small, "id", "left")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-
-
-def test_log_jobs_deterministic_across_partitioning(spark):
-    logs = viewing_logs(read_table(spark, SF001, "events"))
-    c = crm(read_table(spark, SF001, "customer"), AS_OF)
-    slots = jobs.half_hour_slots(logs)
-    a = sorted(map(tuple, jobs.build_slot_logs(slots.repartition(2), c, AS_OF).collect()))
-    b = sorted(map(tuple, jobs.build_slot_logs(slots.repartition(5), c.repartition(3), AS_OF).collect()))
-    assert a == b
-    ev = jobs.generated_event_base(spark, 2000, dt.datetime(2024, 1, 8), 2, partitions=2)
-    ev2 = jobs.generated_event_base(spark, 2000, dt.datetime(2024, 1, 8), 2, partitions=6)
-    assert sorted(map(tuple, jobs.build_event_logs(ev, c).collect())) == sorted(
-        map(tuple, jobs.build_event_logs(ev2, c.repartition(4)).collect())
-    )
 
+def test_quota_labels_on_keys_with_gaps(spark):
+    c = read_table(spark, SF01, "customer").withColumn("c_custkey", F.col("c_custkey") * 10)
+    got = Counter(r.overlap_type for r in crm(c, AS_OF).select("overlap_type").collect())
+    assert got == {"TRIPLE": 120, "EMAIL": 150, "PHONE": 105, "NONE": 1125}
+
+
+def test_cyclic_lookup_of_negative_keys(spark):
+    df = spark.createDataFrame([(-1,), (-3,)], "k bigint")
+    lk = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "rn bigint, v string")
+    assert {r.k: r.v for r in T.cyclic_lookup(df, "k", lk, "rn").collect()} == {-1: "c", -3: "a"}
 
-def test_job_entry_points_write_and_preview(spark):
-    import os
-    import tempfile
-
-    root = tempfile.mkdtemp(prefix="tvlens-jobs-")
-    base = jobs.generated_crm_base(spark, 900, partitions=2)
-    p = partner(read_table(spark, SF001, "supplier"))
-    crm_path = os.path.join(root, "crm")
-    preview = jobs.run_crm(base, p, AS_OF, crm_path)
-    assert preview.count() == 100
-    assert spark.read.parquet(crm_path).count() == 1000
-    jobs.run_crm(base, p, AS_OF, crm_path, overwrite=False)  # append: same rows once more
-    assert spark.read.parquet(crm_path).count() == 2000
-
-    written = spark.read.parquet(crm_path).dropDuplicates(["customer_id"])
-    ev = jobs.generated_event_base(spark, 3000, dt.datetime(2024, 1, 8), 2, partitions=3)
-    logs_path = os.path.join(root, "logs")
-    assert jobs.run_event_logs(ev, written, logs_path).count() == 100
-    stored = spark.read.parquet(logs_path)
-    assert stored.count() == 3000 and "event_date" in stored.columns
-    slots = jobs.half_hour_slots(stored.limit(0).unionByName(stored))
-    slot_path = os.path.join(root, "slot_logs")
-    preview = jobs.run_slot_logs(slots, written, AS_OF, slot_path)
-    assert preview.count() == min(100, spark.read.parquet(slot_path).count())
-
-
-def test_slot_log_device_object_has_nine_fields(spark):
-    import json
-
-    logs = viewing_logs(read_table(spark, SF001, "events"))
-    c = crm(read_table(spark, SF001, "customer"), AS_OF)
-    row = jobs.build_slot_logs(jobs.half_hour_slots(logs), c, AS_OF).select("device", "device_type").first()
-    obj = json.loads(row.device)
-    assert list(obj) == ["device_id", "session_id", "app_name", "app_version", "player_version", "resolution",
-                         "drm", "manufacturer", "model"]
-    assert obj["model"] == {"SmartTV": "QE55", "Mobile": "iPhone"}.get(row.device_type, "web")
-
-
-def test_slot_log_job_week_total(spark):
-    """336 half-hour slots of one week: 20..600 events each, 15,740..19,950 in total."""
-    week = jobs.generated_rows(spark, 336, "i", partitions=4).select(
-        F.timestamp_add("MINUTE", (F.col("i") - 1) * 30, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias(
-            "slot_start_ts"
-        )
+
+def test_views_see_files_added_between_calls(spark, tmp_path):
+    from tvlens.plans.shared import shared_logs
+
+    ev = read_table(spark, SF001, "events")
+    ev.write.parquet(str(tmp_path / "events.parquet"))
+    before = shared_logs(spark, str(tmp_path)).count()
+    ev.write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    assert shared_logs(spark, str(tmp_path)).count() == 2 * before == 2 * ev.count()
+
+
+def test_value_aggregates_on_ties_and_nulls(spark):
+    df = spark.createDataFrame(
+        [("a", "x", 10), ("a", "y", 9), ("a", None, None), ("a", "y", 2), ("a", "x", 2), ("b", None, None)],
+        "g string, v string, n int",
+    )
+    values = T.grouped_values(df, ["g"], {"v": F.col("v"), "n": F.col("n")}, {"n": F.col("n")})
+    out = T.with_ranks(values, ["g"], "n").groupBy("g").agg(
+        T.value_rows().alias("rows"), T.value_mode("v").alias("mode"), T.value_mode("n", "int").alias("top"),
+        T.value_distinct("n").alias("distinct"), T.value_median("n").alias("median"), T.value_mean("n").alias("mean"),
     )
-    c = crm(read_table(spark, SF001, "customer"), AS_OF)
-    out = jobs.build_slot_logs(week, c, AS_OF)
-    per_slot = [r["count"] for r in out.groupBy("slot_start_time").count().collect()]
-    assert len(per_slot) == 336 and min(per_slot) >= 20 and max(per_slot) <= 600
-    assert 15_740 <= sum(per_slot) <= 19_950
+    got = {r.g: tuple(r)[1:] for r in out.collect()}
+    assert got == {"a": (5, "x", 2, 3, 5.5, 5.75), "b": (1, None, None, 0, None, None)}

@@ -6,7 +6,7 @@ import tempfile
 import pytest
 
 from conftest import SF001
-from tvlens.plans import gold, jobs
+from tvlens.plans import gold
 from tvlens.sources import sinks
 from tvlens.sources.tables import read_table, viewing_logs
 
@@ -48,7 +48,7 @@ def test_fetch_is_bounded(spark):
 
 def test_materialise_under_checkpoint_dir(spark):
     df = spark.range(0, 100).selectExpr("id", "id * 2 AS twice")
-    back = jobs.materialise(df, "tvlens_test_materialise")
+    back = sinks.materialise(df, "tvlens_test_materialise")
     assert back.count() == 100
     ckpt = spark.sparkContext.getCheckpointDir()
     assert ckpt and "tvlens_test_materialise" in back.inputFiles()[0]
@@ -56,3 +56,16 @@ def test_materialise_under_checkpoint_dir(spark):
         return os.path.normpath(p.replace("file:", ""))
 
     assert local(back.inputFiles()[0]).startswith(local(ckpt))
+
+
+def test_named_tables_in_a_database(spark):
+    from tvlens.sources.sinks import create_database, materialise, write_named
+
+    create_database(spark, "tvlens_gold")
+    create_database(spark, "tvlens_gold")
+    df = spark.range(5)
+    assert write_named(df, "tvlens_gold.days").count() == 5
+    assert write_named(df, "tvlens_gold.days", mode="append").count() == 10
+    assert spark.sql("SELECT count(*) FROM tvlens_gold.days").first()[0] == 10
+    a, b = materialise(df, "x"), materialise(df.limit(0), "x")
+    assert a.count() == 5 and b.count() == 0 and a.columns == b.columns

@@ -55,7 +55,7 @@ def test_overlap_with_a_hot_email_and_many_nulls(spark):
     sc = spark.read.parquet(os.path.join(root, "crm"))
     sp = spark.read.parquet(os.path.join(root, "partner"))
 
-    got = overlap_flags(sc, sp, [("email", "email"), ("phone", "phone")], max_broadcast_rows=0)
+    got = overlap_flags(sc, sp, [("email", "email"), ("phone", "phone")])
     con = duckdb.connect()
     con.execute(f"CREATE VIEW crm AS SELECT * FROM read_parquet('{root}/crm/*.parquet')")
     con.execute(f"CREATE VIEW partner AS SELECT * FROM read_parquet('{root}/partner/*.parquet')")

@@ -18,3 +18,34 @@ def log_rows(specs):
              "play", "isp", "r1", "c1")
         )
     return rows, LOG_SCHEMA
+
+
+def _all_operators():
+    """All public functions of the operator modules under one name."""
+    from types import SimpleNamespace
+
+    from tvlens.operators import generators, joins, labels, numbering
+
+    found = {n: f for m in (generators, joins, labels, numbering) for n, f in vars(m).items() if callable(f)}
+    return SimpleNamespace(**found)
+
+
+T = _all_operators()
+
+
+def overlap_ratio_literal(crm, partner):
+    """The query exactly as written, through Spark SQL (for plan comparison).
+
+    Correct, but the OR inside EXISTS leaves a nested-loop semi join; use
+    ``overlap_ratio`` for large inputs.
+    """
+    spark = crm.sparkSession
+    crm.createOrReplaceTempView("_ov_crm")
+    partner.createOrReplaceTempView("_ov_partner")
+    return spark.sql(
+        """
+        SELECT CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM _ov_crm) AS overlap_ratio
+        FROM _ov_crm c
+        WHERE EXISTS (SELECT 1 FROM _ov_partner s WHERE s.email = c.email OR s.phone = c.phone)
+        """
+    )

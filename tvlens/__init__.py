@@ -7,14 +7,13 @@ functions/  Column helpers that fix the semantics of the source dialect
 sources/    Readers for the parquet inputs, the viewing-log, CRM and partner
             views derived from them, and sinks (overwrite / append once /
             partitioned / bucketed / view / bounded fetch).
-operators/  Reusable table operators: joins (proven broadcasts, skew split,
-            one-row relations, split distinct aggregates, cyclic lookup),
-            numbering (dense index, samples, caps), labels (quotas, fractions,
-            NULL and near-duplicate injection) and generators (expansion,
-            weighted caps, addresses, times), plus the OR-EXISTS overlap.
+operators/  Reusable table operators: joins (NULL keys spread, one-row
+            relations, one-pass grouped values, cyclic lookup), numbering (row
+            ordinals, dense index, samples, caps), labels (quotas, fractions,
+            NULL and near-duplicate injection), row expansion, overlap.
 plans/      The analytics themselves: customer 360, programme, peak-time and
             device analytics, daily summary, top-k and serving queries, SQL
-            views, the batch jobs, the query registry and its DuckDB oracle.
+            views, the query registry and its DuckDB oracle.
 streaming/  Structured Streaming refresh of the materialised daily summary.
 
 Every public function takes and returns lazy DataFrames; reference dates are

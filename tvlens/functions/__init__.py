@@ -3,7 +3,6 @@
 from tvlens.functions.columns import (  # noqa: F401
     DAY_NAMES,
     bands,
-    count_if,
     cycle,
     day_gap,
     day_name,
@@ -14,6 +13,7 @@ from tvlens.functions.columns import (  # noqa: F401
     hash_unit,
     hour_slot,
     json_object,
+    key_hash,
     mode_of,
     padded,
     per_hour,

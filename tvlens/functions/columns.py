@@ -117,10 +117,6 @@ def mode_of(col: ColumnLike) -> Column:
     return F.mode(_c(col), True)
 
 
-def count_if(pred: Column) -> Column:
-    return F.count_if(pred)
-
-
 def share_if(pred: Column) -> Column:
     """``COUNT_IF(pred)::double / COUNT(*)``."""
     return F.count_if(pred).cast("double") / F.count(F.lit(1))
@@ -168,12 +164,24 @@ def cycle(key: ColumnLike, values: Sequence[Any]) -> Column:
 
 
 # --- deterministic randomness ------------------------------------------------
-def hash_bucket(n: int, *cols: ColumnLike, seed: int = 0) -> Column:
-    """A stable bucket 0..n-1 from a hash of the key columns and a seed.
+HASH_BITS = 60
+
 
-    ``pmod`` keeps the result non-negative without ``abs(Long.MIN_VALUE)``.
+def key_hash(*cols: ColumnLike, seed: int = 0) -> Column:
+    """A stable 60-bit number from the text of the key columns and a seed.
+
+    MD5 of ``seed|col|col...`` (NULL as ``\\N``), its first 15 hex digits: any
+    SQL engine computes the same number, so every hash-ordered operator has
+    an oracle.
     """
-    return F.pmod(F.xxhash64(*[_c(c) for c in cols], F.lit(seed)), F.lit(n))
+    parts = [F.coalesce(_c(c).cast("string"), F.lit("\\N")) for c in cols]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
+    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("bigint")
+
+
+def hash_bucket(n: int, *cols: ColumnLike, seed: int = 0) -> Column:
+    """A stable bucket 0..n-1 from a hash of the key columns and a seed."""
+    return key_hash(*cols, seed=seed) % F.lit(n)
 
 
 def hash_unit(*cols: ColumnLike, seed: int = 0, resolution: int = 1_000_000) -> Column:

@@ -1,36 +1 @@
-"""Reusable table operators: joins, numbering, labels, generators, overlap."""
-
-from tvlens.operators.overlap import overlap_flags, overlap_ratio, overlap_ratio_literal  # noqa: F401
-from tvlens.operators.table_ops import (  # noqa: F401
-    ad_load,
-    assign_quota,
-    attach_fraction,
-    capped_sample,
-    cross_one_row,
-    cyclic_lookup,
-    dense_index,
-    dotted_address,
-    exact_sample,
-    expand_rows,
-    first_n,
-    fraction_sample,
-    group_index,
-    grouped_with_distinct,
-    hash_category,
-    hour_weight,
-    join_checked,
-    near_duplicates,
-    null_out,
-    one_row_columns,
-    padded_key,
-    past_date,
-    phone_text,
-    quota_sizes,
-    row_count_at_most,
-    skew_split_join,
-    small_enough,
-    spread_events,
-    substitute_from_source,
-    weighted_cap,
-    within_slot,
-)
+"""Reusable table operators: joins, numbering, labels, row expansion, overlap."""

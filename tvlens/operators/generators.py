@@ -1,24 +1,11 @@
-"""Row expansion and value builders for generated log and CRM rows.
-
-Exact per-row expansion, hour-weighted caps, ad load, dotted addresses,
-times inside a slot, past dates, evenly spread events, padded keys and
-phone texts - every value a function of row keys.
-"""
+"""Row expansion and value builders: exact per-row expansion, ad load, padded keys."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tvlens.functions.columns import (
-    ColumnLike,
-    _c,
-    bands,
-    hash_int,
-    padded,
-)
+from tvlens.functions.columns import ColumnLike, _c, padded
 
 
 def expand_rows(df: DataFrame, count: ColumnLike, name: str = "seq") -> DataFrame:
@@ -33,49 +20,6 @@ def expand_rows(df: DataFrame, count: ColumnLike, name: str = "seq") -> DataFram
     return df.withColumn(name, F.explode(seqs))
 
 
-# Audience weight per hour of day (hours 0-23 fully covered).
-HOUR_WEIGHTS = (
-    ((0, 5), 1),
-    ((6, 8), 3),
-    ((9, 12), 4),
-    ((13, 13), 6),
-    ((14, 17), 4),
-    ((18, 19), 6),
-    ((20, 20), 8),
-    ((21, 22), 12),
-    ((23, 23), 4),
-)
-HOUR_WEIGHT_OTHER = 3
-WEEKEND_FACTOR_TENTHS = 12  # x1.2 on Saturday and Sunday
-
-
-def hour_weight(hour: ColumnLike) -> Column:
-    """Audience weight of an hour of day (fixed table above)."""
-    h = _c(hour)
-    return bands([(h.between(lo, hi), w) for (lo, hi), w in HOUR_WEIGHTS], HOUR_WEIGHT_OTHER)
-
-
-def weighted_cap(
-    hour: ColumnLike,
-    dow: ColumnLike,
-    jitter: ColumnLike,
-    multiplier: int = 1,
-    lo: int = 20,
-    hi: int = 600,
-) -> Column:
-    """``clamp(round((100 + jitter) * w * multiplier / 10), lo, hi)``.
-
-    ``w`` is :func:`hour_weight`, times 1.2 on weekends (``dow`` 0 or 6,
-    Sunday-based).  Computed in integers (weights in tenths) so the half-up
-    rounding is exact.
-    """
-    tenths = F.when(_c(dow).isin(0, 6), F.lit(WEEKEND_FACTOR_TENTHS)).otherwise(F.lit(10))
-    numerator = (F.lit(100) + _c(jitter)).cast("long") * hour_weight(hour) * tenths * F.lit(multiplier)
-    # numerator / 100 rounded half up (all terms are non-negative)
-    rounded = F.floor((numerator + F.lit(50)) / F.lit(100)).cast("long")
-    return F.least(F.lit(hi), F.greatest(F.lit(lo), rounded))
-
-
 def ad_load(df: DataFrame, watch: str = "watch_seconds", seconds_per_break: int = 30) -> DataFrame:
     """``ad_breaks = floor(watch / 180)``, ``ad_total_seconds = breaks * 30``."""
     breaks = F.floor(F.col(watch) / F.lit(180)).cast("long")
@@ -84,54 +28,6 @@ def ad_load(df: DataFrame, watch: str = "watch_seconds", seconds_per_break: int
     )
 
 
-# Provider and address pattern by key % 3 (k = key).
-#   0  Orange    81.(50 + k % 14).(k % 256).(k * 7 % 256)
-#   1  Free      82.(70 + k % 50).(k % 256).(k * 11 % 256)
-#   2  Bouygues  90.(k % 256).(k * 3 % 256).(k * 13 % 256)
-PROVIDERS = ("Orange", "Free", "Bouygues")
-
-
-def dotted_address(key: ColumnLike) -> tuple[Column, Column]:
-    """An IPv4 text and its provider, both chosen by ``key % 3`` (table above)."""
-    k = _c(key)
-
-    def octet(expr: Column) -> Column:
-        return expr.cast("string")
-
-    patterns = (
-        F.concat_ws(".", F.lit("81"), octet(F.lit(50) + k % 14), octet(k % 256), octet(k * 7 % 256)),
-        F.concat_ws(".", F.lit("82"), octet(F.lit(70) + k % 50), octet(k % 256), octet(k * 11 % 256)),
-        F.concat_ws(".", F.lit("90"), octet(k % 256), octet(k * 3 % 256), octet(k * 13 % 256)),
-    )
-    which = k % 3
-    address = bands([(which == i, p) for i, p in enumerate(patterns)])
-    provider = bands([(which == i, name) for i, name in enumerate(PROVIDERS)])
-    return address, provider
-
-
-def within_slot(slot: ColumnLike, key: Sequence[ColumnLike], width_seconds: int = 1800, seed: int = 0) -> Column:
-    """A stable time inside ``[slot, slot + width)`` (whole seconds)."""
-    offset = hash_int(0, width_seconds - 1, *key, seed=seed)
-    return F.timestamp_add("SECOND", offset, _c(slot))
-
-
-def past_date(as_of, key: Sequence[ColumnLike], max_days: int = 3650, seed: int = 0) -> Column:
-    """A stable date between ``as_of - max_days`` and ``as_of``."""
-    return F.date_sub(F.lit(as_of).cast("date"), hash_int(0, max_days, *key, seed=seed).cast("int"))
-
-
-def spread_events(index: ColumnLike, start, step_seconds: int) -> Column:
-    """Event time ``start + (index - 1) * step`` for a 1-based index."""
-    start_col = start if isinstance(start, Column) else F.lit(start).cast("timestamp_ntz")
-    return F.timestamp_add("SECOND", (_c(index) - F.lit(1)) * F.lit(step_seconds), start_col)
-
-
 def padded_key(index: ColumnLike, prefix: str = "ID-", width: int = 10) -> Column:
     """``prefix || LPAD(index, width, '0')``."""
     return F.concat(F.lit(prefix), padded(index, width))
-
-
-def phone_text(key: Sequence[ColumnLike], area: ColumnLike, seed: int = 0) -> Column:
-    """``0<area> dd dd dd dd`` with stable two-digit groups 10..99."""
-    groups = [hash_int(10, 99, *key, seed=seed + i).cast("string") for i in range(4)]
-    return F.concat_ws(" ", F.concat(F.lit("0"), _c(area).cast("string")), *groups)

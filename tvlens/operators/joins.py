@@ -1,77 +1,26 @@
-"""Joins whose strategy is chosen for scale.
+"""Joins and grouped aggregates shaped for scale.
 
-* broadcasts only behind a proof of size: a bounded count, attempted only
-  when the optimizer's estimate makes it plausible (``join_checked``);
-* hot and NULL keys kept out of the shuffle (``skew_split_join``);
+* no job runs while a plan is built: strategies are left to adaptive
+  execution, which decides from measured sizes;
+* NULL keys of an outer join spread over all tasks (``null_spread_join``);
 * one-row relations as a single struct scalar subquery, never a cross join
   (``one_row_columns``, ``cross_one_row``);
-* ``mode``/``median`` next to exact distinct counts as two hash aggregates
-  joined on the key (``grouped_with_distinct``);
+* modes, medians and exact distinct counts from one count per (group, tag,
+  value) (``grouped_values``);
 * the cyclic lookup ``key % N + 1`` as an equi-join (``cyclic_lookup``).
 """
 
 from __future__ import annotations
+
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tvlens.functions.columns import (
-    ColumnLike,
-    _c,
-)
-
-# Largest side (rows) joined by broadcast after a size check.
-BROADCAST_MAX_ROWS = 2_000_000
-# Above this estimated size a side is not even counted for a broadcast.
-PLAUSIBLE_BROADCAST_BYTES = 512 * 1024 * 1024
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+from tvlens.functions.columns import ColumnLike, _c
 
-    Reads at most ``max_rows + 1`` rows' worth of work, never the whole table
-    into the driver: only one number comes back.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (no job runs), or None."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
-    except Exception:  # noqa: BLE001 - estimates are optional
-        return None
-
-
-def small_enough(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                 plausible_bytes: int | None = None) -> bool:
-    """A bounded count proves ``df`` small; attempted only when the optimizer's
-    estimate makes it plausible (no extra pass over a large input)."""
-    limit = PLAUSIBLE_BROADCAST_BYTES if plausible_bytes is None else plausible_bytes
-    est = estimated_bytes(df)
-    return est is not None and est <= limit and row_count_at_most(df, max_rows)
-
-
-def join_checked(
-    big: DataFrame,
-    small: DataFrame,
-    on,
-    how: str = "left",
-    max_rows: int = BROADCAST_MAX_ROWS,
-    plausible_bytes: int = PLAUSIBLE_BROADCAST_BYTES,
-) -> DataFrame:
-    """Join, broadcasting ``small`` only when a bounded count proves it small.
-
-    The count runs only when the optimizer's estimate makes a broadcast
-    plausible, so a large side costs no extra pass.  Otherwise the join is a
-    shuffle join; AQE may still turn it into a broadcast from the measured
-    shuffle size, and splits skewed partitions of the streamed side.
-    """
-    if small_enough(small, max_rows, plausible_bytes):
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+# Copies of a NULL key, so that rows that cannot match share no task.
+NULL_SPREAD = 4096
 
 
 def one_row_columns(one_row: DataFrame) -> dict[str, Column]:
@@ -85,37 +34,22 @@ def one_row_columns(one_row: DataFrame) -> dict[str, Column]:
     return {c: packed.getField(c) for c in one_row.columns}
 
 
-def skew_split_join(
-    big: DataFrame,
-    small: DataFrame,
-    key: str,
-    how: str = "left",
-    hot_divisor: int = 1000,
-) -> DataFrame:
-    """Equi-join on ``key`` that keeps hot and NULL keys out of the shuffle.
-
-    ``how`` is ``left`` or ``inner``; ``small`` must have at most one row per
-    key (e.g. a distinct key list with flags).  ``big`` is split three ways:
+def null_spread_join(big: DataFrame, small: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """``left`` or ``inner`` equi-join on ``key`` in one pass over ``big``.
 
-    * rows with a NULL key cannot match: they get NULL ``small`` columns
-      (left join) without being shuffled;
-    * rows whose key holds more than ``1 / hot_divisor`` of all rows (at most
-      ``hot_divisor`` such keys, so the hot-key list and the matching
-      ``small`` rows are bounded) join by broadcast, where they stay;
-    * all other rows take an ordinary shuffle join, now free of hot keys.
+    Rows of ``big`` with a NULL key cannot match.  An inner join drops them
+    before the shuffle; a left join gives each a salt, so that they spread
+    over all tasks instead of meeting in one.  Hot non-NULL keys are split by
+    adaptive execution's skew handling.
     """
-    counts = big.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_kn"))
-    total = big.select(F.count(F.lit(1))).scalar()
-    hot_keys = counts.where(F.col("_kn") * F.lit(hot_divisor) > total).select(key)
-    small_hot = small.join(F.broadcast(hot_keys), key, "left_semi")
-    keyed = big.where(F.col(key).isNotNull())
-    hot = keyed.join(F.broadcast(hot_keys), key, "left_semi").join(F.broadcast(small_hot), key, how)
-    cold = keyed.join(F.broadcast(hot_keys), key, "left_anti").join(small, key, how)
-    out = hot.unionByName(cold)
-    if how == "left":
-        extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema.fields if f.name != key]
-        out = out.unionByName(big.where(F.col(key).isNull()).select("*", *extra))
-    return out
+    if how == "inner":
+        return big.where(F.col(key).isNotNull()).join(small, key)
+    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*big.columns), F.lit(NULL_SPREAD)))
+    left = big.withColumn("_salt", F.coalesce(salt, F.lit(-1)))
+    right = small.where(F.col(key).isNotNull()).withColumnRenamed(key, "_key")
+    right = right.withColumn("_none", F.lit(-1).cast("bigint"))
+    same = (left[key] == right["_key"]) & (left["_salt"] == right["_none"])
+    return left.join(right, same, "left").drop("_key", "_salt", "_none")
 
 
 def cross_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -123,82 +57,99 @@ def cross_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.select("*", *[v.alias(k) for k, v in one_row_columns(one_row).items()])
 
 
-def partitioned_by(df: DataFrame, keys: Sequence[str]) -> bool:
-    """True when grouping ``df`` by ``keys`` needs no shuffle.
-
-    That holds when the input is already hash-partitioned on (a subset of)
-    the keys - typically a table bucketed by the group key.  Checked by
-    planning (not running) a count per key and looking for an exchange.
-    """
-    try:
-        plan = df.groupBy(*keys).agg(F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
-    except Exception:  # noqa: BLE001 - cannot plan: assume a shuffle is needed
-        return False
-    return "Exchange" not in plan
-
-
-def grouped_with_distinct(
+def grouped_values(
     df: DataFrame,
     keys: Sequence[str],
-    plain: Sequence[Column],
-    distinct: dict[str, Column],
-    order: Sequence[str] | None = None,
-    null_safe: bool = True,
+    values: dict[str, Column],
+    sums: dict[str, Column],
+    span: Column | None = None,
 ) -> DataFrame:
-    """One row per group with ordinary and exact distinct-count aggregates.
-
-    ``distinct`` maps output names to the expressions whose distinct non-NULL
-    values are counted.  Spark plans a single aggregate that mixes
-    ``mode``/``median`` with exact distinct counts as an ``Expand`` (one copy
-    of every row per distinct column) followed by a sort-based aggregate.  Two
-    aggregates over the same input - the ordinary one and the distinct counts
-    - joined on the group key are several times faster: both are hash
-    aggregates with map-side partial aggregation, both outputs are
-    hash-partitioned on the key, and the join compares one row per group on
-    each side.  Group keys are joined NULL-safely so a NULL group is kept
-    (``null_safe=False`` when the keys cannot be NULL keeps the join on the
-    raw key, which reuses the aggregates' hash partitioning).
-
-    When the input is already partitioned by the keys (a bucketed table),
-    every distinct count is a two-level aggregate - by (keys, value), then by
-    keys - which needs no shuffle at all, whereas ``Expand`` would lose the
-    partitioning.
+    """One scan of ``df`` for sums, modes, medians and distinct counts.
+
+    Every row is unpivoted into one row for each named value (tag, value as
+    text) and one for its sums; a hash aggregate with fixed-size state counts
+    rows by (keys, tag, value) and is combined before the shuffle, so a hot
+    group ships its distinct values only.  The result, a row for each distinct
+    value, has keys, ``_tag``, ``_value``, ``_n``, the sums ``s_*`` with their
+    counts ``c_*`` and the extremes ``_first`` / ``_last`` of ``span`` (filled
+    for the tag ``''`` only).  The ``value_*`` aggregates below fold it
+    into groups.
     """
-    a = df.groupBy(*keys).agg(*plain)
-    if partitioned_by(df, keys):
-        parts = [
-            df.select(*keys, expr.alias("_v")).distinct().groupBy(*keys).agg(F.count("_v").alias(name))
-            for name, expr in distinct.items()
-        ]
-    else:
-        parts = [df.groupBy(*keys).agg(*[F.count_distinct(e).alias(n) for n, e in distinct.items()])]
-    out = a
-    for i, d in enumerate(parts):
-        d = d.select(*[F.col(k).alias(f"_d{i}_{k}") for k in keys], *[c for c in d.columns if c not in keys])
-        cond = [out[k].eqNullSafe(d[f"_d{i}_{k}"]) if null_safe else out[k] == d[f"_d{i}_{k}"] for k in keys]
-        out = out.join(d, cond, "inner").drop(*[f"_d{i}_{k}" for k in keys])
-    return out.select(*order) if order else out
+    null_sums = [F.lit(None).cast("double").alias(f"s_{n}") for n in sums]
+    null_span = [F.lit(None).cast("timestamp_ntz").alias("_t")] if span is not None else []
+    base = F.struct(
+        F.lit("").alias("_tag"),
+        F.lit(None).cast("string").alias("_value"),
+        *[c.cast("double").alias(f"s_{n}") for n, c in sums.items()],
+        *([span.alias("_t")] if span is not None else []),
+    )
+    tagged = [
+        F.struct(F.lit(tag).alias("_tag"), c.cast("string").alias("_value"), *null_sums, *null_span)
+        for tag, c in values.items()
+    ]
+    rows = df.select(*keys, F.explode(F.array(base, *tagged)).alias("_v")).select(*keys, "_v.*")
+    rows = rows.where((F.col("_tag") == "") | F.col("_value").isNotNull())
+    return rows.groupBy(*keys, "_tag", "_value").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(f"s_{n}").alias(f"s_{n}") for n in sums],
+        *[F.count(f"s_{n}").alias(f"c_{n}") for n in sums],
+        *([F.min("_t").alias("_first"), F.max("_t").alias("_last")] if span is not None else []),
+    )
+
+
+# Aggregates over the rows of ``grouped_values``, grouped by its keys.
+def value_rows() -> Column:
+    """``COUNT(*)`` of the original rows."""
+    return F.coalesce(F.sum(F.when(F.col("_tag") == "", F.col("_n"))), F.lit(0)).cast("bigint")
+
+
+def value_sum(name: str) -> Column:
+    return F.sum(f"s_{name}")
+
+
+def value_mean(name: str) -> Column:
+    return F.sum(f"s_{name}") / F.sum(f"c_{name}")
+
+
+def value_distinct(tag: str) -> Column:
+    """``COUNT(DISTINCT value)``: one row for each distinct value."""
+    return F.count_if(F.col("_tag") == tag)
+
+
+def value_mode(tag: str, kind: str = "string") -> Column:
+    """Most frequent non-NULL value; the smallest one on ties."""
+    ranked = F.struct((-F.col("_n")).alias("n"), F.col("_value").cast(kind).alias("v"))
+    return F.min(F.when(F.col("_tag") == tag, ranked)).getField("v")
+
+
+def with_ranks(values: DataFrame, keys: Sequence[str], tag: str) -> DataFrame:
+    """Add ``_upto`` / ``_all``: rows of ``tag`` up to a numeric value, and all."""
+    own = F.when(F.col("_tag") == tag, F.col("_n"))
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("_tag", F.col("_value").try_cast("double")).rowsBetween(Window.unboundedPreceding, 0)
+    return values.withColumn("_upto", F.sum(own).over(upto)).withColumn("_all", F.sum(own).over(group))
+
+
+def value_median(tag: str) -> Column:
+    """Exact median of a numeric tag, over rows of :func:`with_ranks`."""
+    def at(rank: Column) -> Column:
+        inside = (F.col("_tag") == tag) & (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
+        return F.max(F.when(inside, F.col("_value").try_cast("double")))
+
+    return (at(F.floor((F.col("_all") + 1) / 2)) + at(F.floor(F.col("_all") / 2) + 1)) / 2
 
 
 def cyclic_lookup(
-    df: DataFrame,
-    key: ColumnLike,
-    lookup: DataFrame,
-    rn: str = "rn",
-    size: Column | None = None,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    df: DataFrame, key: ColumnLike, lookup: DataFrame, rn: str = "rn", size: Column | None = None
 ) -> DataFrame:
-    """Attach lookup row number ``key % N + 1`` (``N = MAX(rn)``) to each row.
-
-    ``lookup`` must be numbered 1..N in ``rn`` (see :func:`dense_index`).  An
-    empty lookup gives NULL columns, as ``% NULLIF(MAX(rn), 0)`` does.  ``N``
-    is an uncorrelated scalar subquery - ``MAX(rn)``, or ``size`` when the
-    caller knows a cheaper expression such as the row count of the input
-    before numbering - so nothing is collected to build the plan except a
-    bounded size check for the broadcast decision.
+    """Attach lookup row number ``key mod N + 1`` (``N = MAX(rn)``) to each row.
+
+    ``lookup`` must be numbered 1..N in ``rn`` (see ``dense_index``).  The
+    remainder is never negative.  An empty lookup gives NULL columns, as
+    ``% NULLIF(MAX(rn), 0)`` does.  ``N`` is an uncorrelated scalar subquery -
+    ``MAX(rn)``, or ``size`` when the caller knows a cheaper expression such
+    as the row count of the input before numbering.
     """
     n = size if size is not None else lookup.select(F.max(F.col(rn))).scalar()
-    target = _c(key) % F.when(n != 0, n) + F.lit(1)
-    keyed = df.withColumn("_lk", target)
-    joined = join_checked(keyed, lookup, keyed["_lk"] == lookup[rn], "left", max_broadcast_rows)
-    return joined.drop("_lk", rn)
+    keyed = df.withColumn("_lk", F.pmod(_c(key), F.when(n != 0, n)) + F.lit(1))
+    return keyed.join(lookup, keyed["_lk"] == lookup[rn], "left").drop("_lk", rn)

@@ -42,19 +42,16 @@ def quota_sizes(total: int, overall_share: float, weights: Sequence[int]) -> lis
 def assign_quota(
     df: DataFrame,
     ordinal: ColumnLike,
-    quotas: Sequence[tuple[str, int]],
+    bounds: Sequence[tuple[str, int | Column]],
     default: str,
     name: str,
 ) -> DataFrame:
-    """Label rows by cumulative ordinal thresholds.
+    """Label rows by cumulative ordinal bounds.
 
-    With quotas ``[(A, a), (B, b)]`` rows with ordinal ``<= a`` get A,
-    ``<= a + b`` get B, the rest ``default``.
+    With bounds ``[(A, a), (B, b)]`` rows with ordinal ``<= a`` get A, ``<= b``
+    get B, the rest ``default``.  A bound is a number or a scalar column.
     """
-    cases, bound = [], 0
-    for label, size in quotas:
-        bound += size
-        cases.append((_c(ordinal) <= F.lit(bound), label))
+    cases = [(_c(ordinal) <= (b if isinstance(b, Column) else F.lit(b)), label) for label, b in bounds]
     return df.withColumn(name, bands(cases, default))
 
 
@@ -69,7 +66,7 @@ def attach_fraction(
     p = min(Decimal(1), max(Decimal(0), Decimal(str(fraction))))
     threshold = p * 100
     lit = F.lit(int(threshold)) if threshold == threshold.to_integral_value() else F.lit(float(threshold))
-    return df.withColumn(name, F.when((_c(key) % F.lit(100)) < lit, _c(value)))
+    return df.withColumn(name, F.when(F.pmod(_c(key), F.lit(100)) < lit, _c(value)))
 
 
 def null_out(

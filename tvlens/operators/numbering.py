@@ -14,85 +14,66 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tvlens.functions.columns import (
-    ColumnLike,
-    _c,
-    hash_bucket,
-)
+from tvlens.functions.columns import HASH_BITS, ColumnLike, _c, hash_bucket, key_hash
 
-# Default number of hash buckets for dense numbering.  Each bucket becomes one
-# window group, so a bucket holds about rows / DEFAULT_BUCKETS rows; the
-# offsets table has at most this many rows (about 1 MB to broadcast).
-DEFAULT_BUCKETS = 1 << 16
+# Hash buckets of dense numbering: the top BUCKET_BITS of the hash, so buckets
+# are in hash order.  A bucket is one window group (rows / 65,536 of them); the
+# offsets table has one row for each bucket, so its broadcast is bounded.
+BUCKET_BITS = 16
+# Largest number of copies one task expands in the dense index.
+EXPAND_CHUNK = 1_000_000
 
 
-def dense_index(
-    df: DataFrame,
-    key: Sequence[str],
-    name: str = "rn",
-    seed: int = 0,
-    buckets: int = DEFAULT_BUCKETS,
-    unique_key: bool = True,
-) -> DataFrame:
-    """Number the rows 1..N in a stable pseudo-random order.
-
-    This is ``ROW_NUMBER() OVER (ORDER BY RANDOM())`` without the global
-    window: rows are spread over ``buckets`` hash buckets, each bucket is
-    numbered on its own (a window per bucket), and the bucket's offset is the
-    prefix sum of the bucket sizes before it.  The order is
-    ``(bucket, hash, key)``, a pure function of the key columns and ``seed``.
-    The offsets table has one row per bucket, so its broadcast is bounded.
-
-    With ``unique_key=False`` the key may repeat, even for a third of the
-    rows: identical rows are first collapsed to (row, multiplicity) with a
-    map-side partial aggregate, numbered as one weighted row, and expanded
-    back in chunks of at most ``EXPAND_CHUNK`` rows spread over all tasks.
-    """
-    if not unique_key:
-        return _dense_index_weighted(df, key, name, seed, buckets)
-    keys = [F.col(k) for k in key]
-    h = F.xxhash64(*keys, F.lit(seed))
-    tagged = df.withColumn("_h", h).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
-    offsets = _bucket_offsets(tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")))
-    within = Window.partitionBy("_b").orderBy(F.col("_h"), *keys)
-    numbered = tagged.withColumn("_r", F.row_number().over(within))
-    return (
-        numbered.join(F.broadcast(offsets), "_b")
-        .withColumn(name, (F.col("_off") + F.col("_r")).cast("long"))
-        .drop("_h", "_b", "_r", "_off")
-    )
-
-
-# Largest number of copies one task expands in the weighted dense index.
-EXPAND_CHUNK = 1_000_000
+def _bucket(hash_: ColumnLike) -> Column:
+    return F.shiftright(_c(hash_), HASH_BITS - BUCKET_BITS)
 
 
 def _bucket_offsets(counts: DataFrame) -> DataFrame:
-    """Prefix sums of per-bucket sizes ``_n`` (one row per bucket)."""
-    return counts.select(
-        "_b",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_off"),
-    )
+    """Prefix sums of per-bucket sizes ``_n`` (one row for each bucket)."""
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("_b", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+
 
+def row_ordinal(df: DataFrame, key: str, name: str = "rn", ranges: int = 32) -> DataFrame:
+    """``ROW_NUMBER() OVER (ORDER BY key)`` without a global window.
 
-def _dense_index_weighted(df: DataFrame, key: Sequence[str], name: str, seed: int, buckets: int) -> DataFrame:
+    Quantiles of the key (one aggregate, a scalar subquery) cut it into
+    ``ranges`` parts of about equal size; rows are numbered inside their part,
+    and a part starts after the sum of the parts before it.  Gaps in the key,
+    outliers and NULLs (last) make no difference; equal keys share a part.
+    """
+    shares = [i / ranges for i in range(1, ranges)]
+    bounds = df.select(F.percentile_approx(key, shares, 100 * ranges)).scalar()
+    above = [F.coalesce((F.col(key) > bounds.getItem(i)).cast("int"), F.lit(0)) for i in range(ranges - 1)]
+    part = F.when(F.col(key).isNull(), F.lit(ranges)).otherwise(sum(above[1:], above[0]))
+    tagged = df.withColumn("_b", part)
+    offsets = _bucket_offsets(tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))).drop("_n")
+    within = Window.partitionBy("_b").orderBy(F.col(key).asc_nulls_last())
+    numbered = tagged.withColumn("_r", F.row_number().over(within)).join(F.broadcast(offsets), "_b")
+    return numbered.withColumn(name, F.col("_off") + F.col("_r")).drop("_b", "_r", "_off")
+
+
+def dense_index(df: DataFrame, key: Sequence[str], name: str = "rn", seed: int = 0) -> DataFrame:
+    """Number the rows 1..N in the order of (hash of the key, key).
+
+    This is ``ROW_NUMBER() OVER (ORDER BY RANDOM())`` as a pure function of
+    the key columns and ``seed``, without a global window.  The key may
+    repeat, even for a third of the rows: identical rows are first collapsed
+    to (row, multiplicity) with a map-side partial aggregate, numbered as one
+    weighted row inside their hash bucket, shifted by the sizes of the buckets
+    before it, and expanded back in chunks of at most ``EXPAND_CHUNK`` rows
+    spread over all tasks.  Rows with equal keys are numbered by their other
+    columns.
+    """
     cols = df.columns
     distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
     keys = [F.col(k) for k in key]
     others = [F.col(c) for c in cols if c not in key]
-    h = F.xxhash64(*keys, F.lit(seed))
-    tagged = distinct.withColumn("_h", h).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
-    offsets = _bucket_offsets(tagged.groupBy("_b").agg(F.sum("_m").alias("_n")))
-    within = Window.partitionBy("_b").orderBy(F.col("_h"), *keys, *others).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = tagged.withColumn("_before", F.coalesce(F.sum("_m").over(within), F.lit(0))).join(
-        F.broadcast(offsets), "_b"
-    )
-    # Split every run of copies into chunks, spread the chunks, expand them.
+    tagged = distinct.withColumn("_h", key_hash(*key, seed=seed)).withColumn("_b", _bucket("_h"))
+    offsets = _bucket_offsets(tagged.groupBy("_b").agg(F.sum("_m").alias("_n"))).drop("_n")
+    order = Window.partitionBy("_b").orderBy(F.col("_h"), *keys, *others)
+    before = F.sum("_m").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = tagged.withColumn("_before", F.coalesce(before, F.lit(0))).join(F.broadcast(offsets), "_b")
     chunk = F.lit(EXPAND_CHUNK)
     n_chunks = F.floor((F.col("_m") - F.lit(1)) / chunk).cast("int")
     chunks = starts.withColumn("_c", F.explode(F.sequence(F.lit(0), n_chunks)))
@@ -104,37 +85,33 @@ def _dense_index_weighted(df: DataFrame, key: Sequence[str], name: str, seed: in
     return out.withColumn(name, (F.col("_first") + F.col("_i")).cast("long")).select(*cols, name)
 
 
-def group_index(
-    df: DataFrame,
-    group: Sequence[str],
-    key: Sequence[str],
-    name: str = "seq",
-    seed: int = 0,
-) -> DataFrame:
+def group_index(df: DataFrame, group: Sequence[str], key: Sequence[str], name: str = "seq", seed: int = 0) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY group ORDER BY RANDOM())``, stable.
 
-    The order inside a group is ``(hash(key, seed), key)``.
+    The order inside a group is ``(hash of the key, key)``.
     """
-    keys = [F.col(k) for k in key]
-    w = Window.partitionBy(*group).orderBy(F.xxhash64(*keys, F.lit(seed)), *keys)
+    w = Window.partitionBy(*group).orderBy(key_hash(*key, seed=seed), *[F.col(k) for k in key])
     return df.withColumn(name, F.row_number().over(w))
 
 
-def first_n(
-    df: DataFrame,
-    n: int | Column,
-    key: Sequence[str],
-    seed: int = 0,
-    buckets: int = DEFAULT_BUCKETS,
-) -> DataFrame:
+def first_n(df: DataFrame, n: int | Column, key: Sequence[str], seed: int = 0) -> DataFrame:
     """Exactly ``min(n, rows)`` rows picked in stable pseudo-random order.
 
-    ``QUALIFY ROW_NUMBER() OVER (ORDER BY RANDOM()) <= n`` for any ``n``:
-    numbering is distributed (:func:`dense_index`), so a large ``n`` does not
-    funnel rows through one task the way ``orderBy().limit(n)`` would.
+    ``QUALIFY ROW_NUMBER() OVER (ORDER BY RANDOM()) <= n`` for any ``n``.  Row
+    counts by hash bucket give the bucket in which the n-th row lies; rows of
+    the buckets before it are kept where they are, and only the rows of that
+    one bucket (1 / 65,536 of all) are numbered.
     """
     bound = n if isinstance(n, Column) else F.lit(n)
-    return dense_index(df, key, "_pick", seed, buckets).where(F.col("_pick") <= bound).drop("_pick")
+    cols = df.columns
+    tagged = df.withColumn("_b", _bucket(key_hash(*key, seed=seed)))
+    sizes = _bucket_offsets(tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")))
+    last = sizes.withColumn("_want", bound).where(F.col("_off") < F.col("_want"))
+    cut = last.agg(F.max(F.struct("_b", (F.col("_want") - F.col("_off")).alias("room"))).alias("c"))
+    cut_bucket, room = cut.select("c._b").scalar(), cut.select("c.room").scalar()
+    below = tagged.where(F.col("_b") < cut_bucket).select(*cols)
+    edge = dense_index(tagged.where(F.col("_b") == cut_bucket).select(*cols), key, "_pick", seed)
+    return below.unionByName(edge.where(F.col("_pick") <= room).drop("_pick"))
 
 
 def exact_sample(df: DataFrame, n: int, key: Sequence[str], seed: int = 0) -> DataFrame:
@@ -143,8 +120,7 @@ def exact_sample(df: DataFrame, n: int, key: Sequence[str], seed: int = 0) -> Da
     Planned as ``TakeOrderedAndProject``: each partition keeps its best ``n``
     rows, so at most ``n * partitions`` rows reach the final merge.
     """
-    keys = [F.col(k) for k in key]
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    return df.orderBy(key_hash(*key, seed=seed), *[F.col(k) for k in key]).limit(n)
 
 
 def fraction_sample(df: DataFrame, percent: float, key: Sequence[str], seed: int = 0) -> DataFrame:
@@ -157,16 +133,23 @@ def capped_sample(
     df: DataFrame,
     group: Sequence[str],
     cap: ColumnLike,
-    max_cap: int,
     key: Sequence[str],
+    max_cap: int | None = None,
     seed: int = 0,
     name: str = "seq",
 ) -> DataFrame:
     """At most ``cap`` rows per group, chosen in stable pseudo-random order.
 
-    ``max_cap`` is the largest value ``cap`` can take.  The constant bound lets
-    Spark plan a ``WindowGroupLimit`` before the shuffle, so even a group that
-    holds a third of the rows ships at most ``max_cap`` rows per map task.
+    ``max_cap`` is a promise that ``cap`` never exceeds it.  The constant lets
+    Spark plan a ``WindowGroupLimit`` before the shuffle, so that even a group
+    with a third of the rows ships at most ``max_cap`` rows per map task; a row
+    with a larger cap raises an error, nothing is dropped silently.
     """
-    out = group_index(df, group, key, name, seed)
-    return out.where(F.col(name) <= F.lit(max_cap)).where(F.col(name) <= _c(cap))
+    limit = _c(cap)
+    if max_cap is not None:
+        too_large = F.raise_error(F.concat(F.lit(f"cap above max_cap {max_cap}: "), limit.cast("string")))
+        limit = F.when(limit > max_cap, too_large.cast("bigint")).otherwise(limit)
+    out = group_index(df.withColumn("_cap", limit), group, key, name, seed)
+    if max_cap is not None:
+        out = out.where(F.col(name) <= F.lit(max_cap))
+    return out.where(F.col(name) <= F.col("_cap")).drop("_cap")

@@ -4,10 +4,9 @@
 plans as a nested-loop join (rows x rows) when written literally.  Here each
 disjunct becomes an equi-join against the partner's *distinct* keys, so no
 row of the customer table can fan out, duplicates in the customer table are
-kept (bag semantics), and both joins are hash joins.  Email values are
-heavily skewed (a few hundred values over millions of rows): the distinct
-key list is broadcast when a bounded count shows it is small, otherwise AQE's
-skew handling splits the hot partitions of the customer side.
+kept (bag semantics).  Customers without a value are spread over all tasks,
+and adaptive execution broadcasts a key list that measured small or splits
+the hot partitions of the customer side.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tvlens.operators.joins import BROADCAST_MAX_ROWS, skew_split_join, small_enough
+from tvlens.operators.joins import null_spread_join
 
 
 def overlap_flags(
@@ -25,7 +24,6 @@ def overlap_flags(
     right: DataFrame,
     pairs: Sequence[tuple[str, str]],
     name: str = "in_partner",
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Add a boolean ``name``: some ``left[a] = right[b]`` holds for a pair.
 
@@ -41,12 +39,7 @@ def overlap_flags(
             .distinct()
             .withColumn(flag, F.lit(True))
         )
-        if small_enough(keys, max_broadcast_rows):
-            out = out.join(F.broadcast(keys), out[lcol] == keys[f"_k{i}"], "left").drop(f"_k{i}")
-        else:
-            # Too many partner keys to broadcast: keep hot and NULL customer
-            # keys out of the shuffle.
-            out = skew_split_join(out.withColumn(f"_k{i}", F.col(lcol)), keys, f"_k{i}", "left").drop(f"_k{i}")
+        out = null_spread_join(out.withColumn(f"_k{i}", F.col(lcol)), keys, f"_k{i}").drop(f"_k{i}")
         flags.append(F.coalesce(F.col(flag), F.lit(False)))
     hit = flags[0]
     for f in flags[1:]:
@@ -68,21 +61,3 @@ def overlap_ratio(
     return flagged.agg(
         F.try_divide(F.count_if(F.col("in_partner")).cast("double"), F.count(F.lit(1))).alias("overlap_ratio")
     )
-
-
-def overlap_ratio_literal(crm: DataFrame, partner: DataFrame) -> DataFrame:
-    """The query exactly as written, through Spark SQL (for plan comparison).
-
-    Correct, but the OR inside EXISTS leaves a nested-loop semi join; use
-    :func:`overlap_ratio` for large inputs.
-    """
-    spark = crm.sparkSession
-    crm.createOrReplaceTempView("_ov_crm")
-    partner.createOrReplaceTempView("_ov_partner")
-    return spark.sql(
-        """
-        SELECT CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM _ov_crm) AS overlap_ratio
-        FROM _ov_crm c
-        WHERE EXISTS (SELECT 1 FROM _ov_partner s WHERE s.email = c.email OR s.phone = c.phone)
-        """
-    )

@@ -1 +1 @@
-"""Analytics (gold views), serving queries and batch jobs."""
+"""Analytics (gold views), serving queries and the query registry."""

@@ -3,19 +3,19 @@ analytics, daily summary and the ranking views built on them.
 
 Plan notes (checked with ``explain``):
 
-* ``viewing_summary`` filters the NULL-customer rows (about 70 %) before any
-  shuffle.  Its ordinary aggregates (counts, sums, min/max, ``mode`` as a
-  value -> count map) and its exact distinct counts are two hash aggregates
-  with map-side partial aggregation, joined on the customer key
-  (:func:`grouped_with_distinct`); a customer holding a third of the rows
-  ships one partial row per map task, not a third of the rows.  The same
-  split is used wherever ``mode``/``median`` meet distinct counts.
+* ``viewing_summary``, ``programme_analytics`` and ``device_analytics`` read the
+  logs once.  Rows are unpivoted to (group, tag, value) and counted by a hash
+  aggregate with fixed-size state, combined before the shuffle; distinct
+  counts, modes and medians are then taken from one row for each distinct
+  value (:func:`grouped_values`).  A customer with a third of the rows ships
+  its distinct values of each map task, not its rows.  ``viewing_summary``
+  drops the rows without a customer before that.
 * ``customer_360`` joins the CRM with the summary **once**.  The score, CLV
   and segment are functions of the joined row, so the second join of the
   original view (against a second copy of the summary) is not needed.
-* Period filters are on the grouping keys, so Catalyst pushes them below the
-  aggregate; they are written on the base timestamp column so they reach the
-  parquet scan when the log table is stored.
+* Period filters come with the predicates they imply on ``event_time`` and, in
+  a store partitioned by it, on ``event_date`` (:func:`recent_logs`), so they
+  prune partitions and row groups.
 """
 
 from __future__ import annotations
@@ -26,9 +26,7 @@ from pyspark.sql import functions as F
 from tvlens.functions.columns import (
     day_gap,
     day_name,
-    day_span,
     dow0,
-    mode_of,
     per_hour,
     per_minute,
     ratio,
@@ -38,7 +36,16 @@ from tvlens.functions.columns import (
     strict_least,
     value_map,
 )
-from tvlens.operators.joins import grouped_with_distinct
+from tvlens.operators.joins import (
+    grouped_values,
+    value_distinct,
+    value_mean,
+    value_median,
+    value_mode,
+    value_rows,
+    value_sum,
+    with_ranks,
+)
 
 # Overlap labels that make a customer cross-platform.
 CROSS_PLATFORM_LABELS = ("TRIPLE", "EMAIL", "PHONE", "NAME")
@@ -89,37 +96,55 @@ VIEWING_SUMMARY_COLUMNS = (
 ).split()
 
 
+def _quality() -> dict[str, Column]:
+    """Measures that every log view averages."""
+    return {
+        "watch": F.col("watch_seconds"),
+        "bitrate": F.col("bitrate_kbps"),
+        "buffer": F.col("buffer_events"),
+        "rebuffer": F.col("rebuffer_ratio"),
+    }
+
+
 def viewing_summary(logs: DataFrame) -> DataFrame:
     """One row per identified customer: volume, variety, QoE, habits, dates."""
     identified = logs.where(F.col("customer_id").isNotNull())
-    return grouped_with_distinct(
+    values = grouped_values(
         identified,
         ["customer_id"],
-        [
-            F.count(F.lit(1)).alias("total_events"),
-            F.sum("watch_seconds").alias("total_watch_seconds"),
-            F.avg("watch_seconds").alias("avg_watch_seconds"),
-            F.sum("ad_total_seconds").alias("total_ad_seconds"),
-            mode_of("device_type").alias("preferred_device"),
-            mode_of("connection_type").alias("preferred_connection"),
-            F.avg("bitrate_kbps").alias("avg_bitrate"),
-            F.avg("buffer_events").alias("avg_buffer_events"),
-            F.avg("rebuffer_ratio").alias("avg_rebuffer_ratio"),
-            mode_of("region").alias("region"),
-            mode_of("city").alias("city"),
-            mode_of("isp").alias("isp"),
-            F.min("event_time").alias("first_viewing_date"),
-            F.max("event_time").alias("last_viewing_date"),
-            day_span("event_time").alias("viewing_span_days"),
-        ],
         {
-            "active_days": F.to_date("event_time"),
-            "unique_programmes_watched": F.col("programme_id"),
-            "device_types_used": F.col("device_type"),
+            "device": F.col("device_type"),
+            "connection": F.col("connection_type"),
+            "region": F.col("region"),
+            "city": F.col("city"),
+            "isp": F.col("isp"),
+            "programme": F.col("programme_id"),
+            "day": F.to_date("event_time"),
         },
-        VIEWING_SUMMARY_COLUMNS,
-        null_safe=False,
+        {**_quality(), "ad": F.col("ad_total_seconds")},
+        F.col("event_time"),
     )
+    out = values.groupBy("customer_id").agg(
+        value_rows().alias("total_events"),
+        value_distinct("day").alias("active_days"),
+        value_distinct("programme").alias("unique_programmes_watched"),
+        value_sum("watch").cast("bigint").alias("total_watch_seconds"),
+        value_mean("watch").alias("avg_watch_seconds"),
+        value_sum("ad").cast("bigint").alias("total_ad_seconds"),
+        value_mode("device").alias("preferred_device"),
+        value_distinct("device").alias("device_types_used"),
+        value_mode("connection").alias("preferred_connection"),
+        value_mean("bitrate").alias("avg_bitrate"),
+        value_mean("buffer").alias("avg_buffer_events"),
+        value_mean("rebuffer").alias("avg_rebuffer_ratio"),
+        value_mode("region").alias("region"),
+        value_mode("city").alias("city"),
+        value_mode("isp").alias("isp"),
+        F.min("_first").alias("first_viewing_date"),
+        F.max("_last").alias("last_viewing_date"),
+    )
+    span = day_gap("first_viewing_date", "last_viewing_date") + F.lit(1)
+    return out.withColumn("viewing_span_days", span).select(*VIEWING_SUMMARY_COLUMNS)
 
 
 def engagement_score(watch_seconds: Column, active_days: Column, programmes: Column) -> Column:
@@ -182,9 +207,9 @@ def engagement_scores(crm: DataFrame, logs: DataFrame) -> DataFrame:
 def customer_360(crm: DataFrame, logs: DataFrame, as_of) -> DataFrame:
     """Every CRM row with its viewing behaviour, scores and activity status.
 
-    One left join of the CRM with :func:`viewing_summary`.  ``customer_id``
-    must be unique in the CRM (a key seen k times would come out k times per
-    summary row); see :func:`assert_unique`.
+    One left join of the CRM with :func:`viewing_summary`.  Every CRM row
+    comes out once, also where ``customer_id`` repeats (the summary has one row
+    for each customer); :func:`assert_unique` checks a CRM before it is stored.
     """
     c = customer_base(crm)
     v = viewing_summary(logs)
@@ -237,10 +262,6 @@ def assert_unique(df: DataFrame, key: str) -> None:
 
 
 # --- log analytics --------------------------------------------------------------
-def _device_counts() -> list[Column]:
-    return [F.count_if(F.col("device_type") == d).alias(f"{d.lower()}_viewers") for d in DEVICE_TYPES]
-
-
 PROGRAMME_COLUMNS = (
     "programme_id programme_date programme_hour total_events unique_viewers hours_with_activity "
     "total_watch_seconds avg_watch_seconds median_watch_seconds avg_bitrate avg_buffer_events "
@@ -250,42 +271,54 @@ PROGRAMME_COLUMNS = (
 
 
 def programme_analytics(logs: DataFrame) -> DataFrame:
-    """Programme x slot date x slot hour: 22 viewing, QoE, ad and event metrics.
-
-    The exact ``median`` and ``mode`` keep a value -> count map per group and
-    task, merged map-side: its size is the number of distinct watch seconds
-    (whole seconds of one viewing, at most 86,400) or regions, not the number
-    of rows, so a programme holding a third of all rows stays small.
-    """
+    """Programme x slot date x slot hour: 22 viewing, QoE, ad and event metrics."""
+    keys = ["programme_id", "programme_date", "programme_hour"]
     keyed = logs.withColumn("programme_date", F.to_date("slot_start_time")).withColumn(
         "programme_hour", F.hour("slot_start_time")
     )
-    out = grouped_with_distinct(
+    is_type = {"starts": "play_start", "ends": "play_end", "pauses": "pause", "seeks": "seek"}
+    values = grouped_values(
         keyed,
-        ["programme_id", "programme_date", "programme_hour"],
-        [
-            F.count(F.lit(1)).alias("total_events"),
-            F.sum("watch_seconds").alias("total_watch_seconds"),
-            F.avg("watch_seconds").alias("avg_watch_seconds"),
-            F.median("watch_seconds").alias("median_watch_seconds"),
-            F.avg("bitrate_kbps").alias("avg_bitrate"),
-            F.avg("buffer_events").alias("avg_buffer_events"),
-            F.avg("rebuffer_ratio").alias("avg_rebuffer_ratio"),
-            F.sum("ad_total_seconds").alias("total_ad_seconds"),
-            F.avg("ad_breaks").alias("avg_ad_breaks"),
-            *_device_counts(),
-            mode_of("region").alias("top_region"),
-            F.count_if(F.col("event_type") == "play_start").alias("play_starts"),
-            F.count_if(F.col("event_type") == "play_end").alias("play_ends"),
-            F.count_if(F.col("event_type") == "pause").alias("pauses"),
-            F.count_if(F.col("event_type") == "seek").alias("seeks"),
-        ],
+        keys,
         {
-            "unique_viewers": F.col("customer_id"),
-            "hours_with_activity": F.hour("event_time"),
-            "regions_reached": F.col("region"),
+            "viewer": F.col("customer_id"),
+            "hour": F.hour("event_time"),
+            "region": F.col("region"),
+            "watch": F.col("watch_seconds"),
+        },
+        {
+            **_quality(),
+            "ad": F.col("ad_total_seconds"),
+            "breaks": F.col("ad_breaks"),
+            **{d: (F.col("device_type") == d).cast("int") for d in DEVICE_TYPES},
+            **{name: (F.col("event_type") == t).cast("int") for name, t in is_type.items()},
         },
     )
+    total = lambda name: F.coalesce(value_sum(name), F.lit(0)).cast("bigint")
+    out = (
+        with_ranks(values, keys, "watch")
+        .groupBy(*keys)
+        .agg(
+            value_rows().alias("total_events"),
+            value_distinct("viewer").alias("unique_viewers"),
+            value_distinct("hour").alias("hours_with_activity"),
+            value_sum("watch").cast("bigint").alias("total_watch_seconds"),
+            value_mean("watch").alias("avg_watch_seconds"),
+            value_median("watch").alias("median_watch_seconds"),
+            value_mean("bitrate").alias("avg_bitrate"),
+            value_mean("buffer").alias("avg_buffer_events"),
+            value_mean("rebuffer").alias("avg_rebuffer_ratio"),
+            value_sum("ad").cast("bigint").alias("total_ad_seconds"),
+            value_mean("breaks").alias("avg_ad_breaks"),
+            *[total(d).alias(f"{d.lower()}_viewers") for d in DEVICE_TYPES],
+            value_mode("region").alias("top_region"),
+            value_distinct("region").alias("regions_reached"),
+            total("starts").alias("play_starts"),
+            total("ends").alias("play_ends"),
+            total("pauses").alias("pauses"),
+            total("seeks").alias("seeks"),
+        )
+    )
     return out.withColumn("completion_rate", ratio(F.col("play_ends"), F.col("play_starts"))).select(
         *PROGRAMME_COLUMNS
     )
@@ -336,29 +369,36 @@ DEVICE_COLUMNS = (
 
 def device_analytics(logs: DataFrame) -> DataFrame:
     """Device x OS x connection: usage, engagement, QoE, identification, habits."""
-    return grouped_with_distinct(
+    keys = ["device_type", "os_name", "connection_type"]
+    values = grouped_values(
         logs,
-        ["device_type", "os_name", "connection_type"],
-        [
-            F.count(F.lit(1)).alias("total_events"),
-            F.sum("watch_seconds").alias("total_watch_seconds"),
-            F.avg("watch_seconds").alias("avg_watch_seconds"),
-            F.avg("bitrate_kbps").alias("avg_bitrate"),
-            F.avg("buffer_events").alias("avg_buffer_events"),
-            F.avg("rebuffer_ratio").alias("avg_rebuffer_ratio"),
-            F.count_if(F.col("customer_id").isNotNull()).alias("identified_users"),
-            share_if(F.col("customer_id").isNotNull()).alias("identification_rate"),
-            mode_of("region").alias("top_region"),
-            mode_of(F.hour("event_time")).alias("peak_hour"),
-        ],
+        keys,
         {
-            "unique_users": F.col("customer_id"),
-            "unique_programmes": F.col("programme_id"),
-            "regions_used": F.col("region"),
-            "active_days": F.to_date("event_time"),
+            "user": F.col("customer_id"),
+            "programme": F.col("programme_id"),
+            "region": F.col("region"),
+            "hour": F.hour("event_time"),
+            "day": F.to_date("event_time"),
         },
-        DEVICE_COLUMNS,
+        {**_quality(), "identified": F.col("customer_id").isNotNull().cast("int")},
+    )
+    out = values.groupBy(*keys).agg(
+        value_rows().alias("total_events"),
+        value_distinct("user").alias("unique_users"),
+        value_distinct("programme").alias("unique_programmes"),
+        value_sum("watch").cast("bigint").alias("total_watch_seconds"),
+        value_mean("watch").alias("avg_watch_seconds"),
+        value_mean("bitrate").alias("avg_bitrate"),
+        value_mean("buffer").alias("avg_buffer_events"),
+        value_mean("rebuffer").alias("avg_rebuffer_ratio"),
+        value_sum("identified").cast("bigint").alias("identified_users"),
+        value_mean("identified").alias("identification_rate"),
+        value_distinct("region").alias("regions_used"),
+        value_mode("region").alias("top_region"),
+        value_mode("hour", "int").alias("peak_hour"),
+        value_distinct("day").alias("active_days"),
     )
+    return out.select(*DEVICE_COLUMNS)
 
 
 def daily_summary(logs: DataFrame, last_updated=None) -> DataFrame:
@@ -409,12 +449,27 @@ def top_customers(c360: DataFrame, k: int = 100, columns=TOP_CUSTOMER_COLUMNS) -
     )
 
 
+def recent_logs(logs: DataFrame, as_of, days: int, column: str = "event_time") -> DataFrame:
+    """Log rows whose ``column`` (``event_time`` or ``slot_start_time``) is in the
+    last ``days`` days.
+
+    An event is never before its slot, so a bound on the slot implies the same
+    bound on ``event_time``, which is stored and has statistics; in a store
+    partitioned by ``event_date`` the date's bound prunes partitions.
+    """
+    start = since(as_of, days)
+    out = logs.where(F.col(column) >= start.cast("timestamp_ntz"))
+    if column != "event_time":
+        out = out.where(F.col("event_time") >= start.cast("timestamp_ntz"))
+    return out.where(F.col("event_date") >= start) if "event_date" in logs.columns else out
+
+
 def top_programmes(logs: DataFrame, as_of, days: int = 7, k: int = 50, columns=None) -> DataFrame:
     """The ``k`` programmes of the last ``days`` days with most viewers.
 
-    The period filter is on the slot start (the grouping key's base column).
+    The period filter is on the slot start (see :func:`recent_logs`).
     """
-    recent = logs.where(F.col("slot_start_time") >= since(as_of, days).cast("timestamp_ntz"))
+    recent = recent_logs(logs, as_of, days, "slot_start_time")
     pa = programme_analytics(recent)
     cols = columns or [
         "programme_id",
@@ -444,7 +499,7 @@ def peak_hours(logs: DataFrame, as_of, days: int = 7) -> DataFrame:
     Unordered: a view's ORDER BY has no effect on its readers, who sort
     (e.g. :func:`tvlens.plans.serving.busiest_cells`).
     """
-    recent = logs.where(F.col("event_time") >= since(as_of, days).cast("timestamp_ntz"))
+    recent = recent_logs(logs, as_of, days)
     pt = peak_times(recent)
     return (
         pt.groupBy("viewing_hour", "day_name", "day_of_week")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tvlens.functions.columns import per_hour, since
-from tvlens.plans.gold import top_customers, top_programmes
+from tvlens.plans.gold import recent_logs, top_customers, top_programmes
 
 
 def _period(df: DataFrame, date_col: str, as_of, days: int | None) -> DataFrame:
@@ -87,9 +87,7 @@ def platform_kpis(daily: DataFrame, as_of, days: int | None, logs: DataFrame | N
     )
     if logs is None:
         return kpis
-    period_logs = logs if days is None else logs.where(
-        F.col("event_time") >= since(as_of, days).cast("timestamp_ntz")
-    )
+    period_logs = logs if days is None else recent_logs(logs, as_of, days)
     viewers = period_logs.select(F.count_distinct("customer_id")).scalar()
     return kpis.withColumn("unique_viewers", viewers)
 

@@ -1,9 +1,7 @@
-"""Derived views shared by the registered queries of one session.
+"""Derived views of a data folder, as lazy plans.
 
-Each view is built once per (session, data folder) and the lazy plan is
-reused: only the analysed plan is shared (no data is cached), so every query
-still reads its input files and computes everything; what is saved is
-building and analysing the same view again for each query.
+Each call builds the plan anew: a plan kept across calls would also keep the
+file listing of its tables and miss files added since.
 """
 
 from __future__ import annotations
@@ -18,56 +16,26 @@ from tvlens.sources.tables import FIXTURE_AS_OF, crm, partner, read_table, viewi
 AS_OF = FIXTURE_AS_OF
 LAST_UPDATED = _dt.datetime(2024, 1, 31, 0, 0, 0)
 
-_VIEW_CACHE: dict[tuple, DataFrame] = {}
 
-
-def _session_key(spark: SparkSession) -> int:
-    """Identity of the session (JVM session for classic Spark, else the object)."""
-    try:
-        return spark._jsparkSession.hashCode()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
-        return id(spark)
-
-
-def _shared(builder):
-    """Build a derived view once per (session, folder) and reuse the lazy plan."""
-
-    def get(spark: SparkSession, sf: str) -> DataFrame:
-        key = (builder.__name__, _session_key(spark), sf)
-        df = _VIEW_CACHE.get(key)
-        if df is None or df.sparkSession is not spark:
-            df = _VIEW_CACHE[key] = builder(spark, sf)
-        return df
-
-    get.__name__ = builder.__name__
-    return get
-
-
-@_shared
-def shared_logs(spark, sf):
+def shared_logs(spark: SparkSession, sf: str) -> DataFrame:
     return viewing_logs(read_table(spark, sf, "events"))
 
 
-@_shared
-def shared_crm(spark, sf):
+def shared_crm(spark: SparkSession, sf: str) -> DataFrame:
     return crm(read_table(spark, sf, "customer"), AS_OF)
 
 
-@_shared
-def shared_partner(spark, sf):
+def shared_partner(spark: SparkSession, sf: str) -> DataFrame:
     return partner(read_table(spark, sf, "supplier"))
 
 
-@_shared
-def shared_c360(spark, sf):
+def shared_c360(spark: SparkSession, sf: str) -> DataFrame:
     return gold.customer_360(shared_crm(spark, sf), shared_logs(spark, sf), AS_OF)
 
 
-@_shared
-def shared_daily(spark, sf):
+def shared_daily(spark: SparkSession, sf: str) -> DataFrame:
     return gold.daily_summary(shared_logs(spark, sf), LAST_UPDATED)
 
 
-@_shared
-def shared_device(spark, sf):
+def shared_device(spark: SparkSession, sf: str) -> DataFrame:
     return gold.device_analytics(shared_logs(spark, sf))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -11,9 +12,8 @@ from pyspark.sql import SparkSession
 # side whose *measured* shuffle output is small, split of skewed partitions,
 # coalescing of tiny shuffle partitions); UTC keeps timestamp_ntz <->
 # timestamp casts exact.  Static broadcasts from file-size estimates are off:
-# a broadcast is either bounded by construction (explicit hint), proven by a
-# bounded count (operators.table_ops.join_checked) or chosen by AQE from
-# measured sizes.
+# a broadcast is either bounded by construction (explicit hint) or chosen by
+# AQE from measured sizes.
 DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
@@ -29,26 +29,28 @@ DEFAULT_CONF = {
 
 def build_session(
     master: str | None = None,
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     app_name: str = "tvlens",
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the settings above.
 
-    ``master`` is only set when given, so on a cluster the launcher decides.
+    ``master`` is only set when given, so on a cluster the launcher decides;
+    so does the number of shuffle partitions (8 for a local master).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is None and master and master.startswith("local"):
+        shuffle_partitions = 8
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})  # e.g. cluster_conf(...) on a cluster
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if spark.sparkContext.master.startswith("local") or spark.conf.get("spark.checkpoint.dir", None):
-        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -76,9 +78,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """A location for an intermediate table under the shared checkpoint folder."""
+    """A fresh location for an intermediate table under the shared checkpoint
+    folder; two jobs that use the same name do not meet."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
+    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex}")
 
 
 def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 * 1024 * 1024, minimum: int = 8) -> int:

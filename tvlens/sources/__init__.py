@@ -14,7 +14,6 @@ from tvlens.sources.tables import (  # noqa: F401
     LOG_COLUMNS,
     TABLES,
     crm,
-    crm_with_quota,
     load_views,
     partner,
     read_table,

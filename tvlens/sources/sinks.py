@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from tvlens.session import scratch_table_path
+
 
 def write_table(
     df: DataFrame,
@@ -38,6 +40,31 @@ def write_bucketed(df: DataFrame, table: str, by: Sequence[str], buckets: int, m
     return df.sparkSession.table(table)
 
 
+def create_database(spark, name: str) -> None:
+    """``CREATE DATABASE IF NOT EXISTS name`` in the session's catalog."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+
+
+def write_named(
+    df: DataFrame, table: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None
+) -> DataFrame:
+    """Replace (or append to, creating it if missing) a catalog table such as
+    ``db.table``, and return it."""
+    writer = df.write.mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` to a fresh table in the shared checkpoint folder and read it
+    back: cuts the lineage, survives lost executors."""
+    path = scratch_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_written(spark, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 

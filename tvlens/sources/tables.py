@@ -2,10 +2,9 @@
 
 ``viewing_logs`` (22 columns), ``crm`` (10 columns) and ``partner`` (4
 columns) are derived from the driver tables ``events``, ``customer`` and
-``supplier``.  The derivation is the high-volume log job and the CRM job of
-the source system applied to existing rows instead of a row generator: every
-value is a function of the row's key, so the views are reproducible and can
-be recomputed partition by partition.
+``supplier``.  Every log column is a rule over the event's own columns (time,
+user, type, value, properties), so group sizes, ties and NULLs are those of
+the data; every value depends on its row only.
 """
 
 from __future__ import annotations
@@ -16,10 +15,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tvlens.functions.columns import cycle, hour_slot, padded, programme_key, value_map
-from tvlens.operators.generators import ad_load, dotted_address
+from tvlens.functions.columns import bands, cycle, hour_slot, padded, programme_key, value_map
+from tvlens.operators.generators import ad_load
 from tvlens.operators.joins import one_row_columns
-from tvlens.operators.labels import assign_quota, attach_fraction, quota_sizes
+from tvlens.operators.labels import assign_quota
+from tvlens.operators.numbering import row_ordinal
 
 # Reference date used by the fixtures (the driver data ends on 2024-01-30).
 FIXTURE_AS_OF = _dt.date(2024, 1, 31)
@@ -29,12 +29,19 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# Categorical domains of the viewing log, chosen by key modulo.
-DEVICE_TYPES = ("SmartTV", "Mobile", "Web", "Tablet")
-OS_NAMES = ("Tizen", "iOS", "ChromeOS", "Android")
-CONNECTION_TYPES = ("wifi", "ethernet", "cellular")
-EVENT_TYPES = {0: "play_start", 9: "play_end", 8: "pause", 7: "seek"}
-EVENT_TYPE_OTHER = "play"
+# How the fixture reads an event: device by the ``k`` of its properties, system
+# by its value, network and log event by its type.  Sign-ups have no customer
+# yet, errors no watch time.
+DEVICE_BELOW = ((40, "SmartTV"), (70, "Mobile"), (90, "Web"))
+DEVICE_OTHER = "Tablet"
+SYSTEM_BELOW = ((10.0, "tvOS"), (40.0, "Android"), (90.0, "iOS"))
+SYSTEM_OTHER = "webOS"
+NETWORKS = {"view": "ethernet", "click": "wifi", "purchase": "wifi"}
+NETWORK_OTHER = "cellular"
+LOG_EVENTS = {"view": "play_start", "purchase": "play_end", "error": "pause", "click": "seek"}
+LOG_EVENT_OTHER = "play"
+ANONYMOUS_TYPE = "signup"
+UNWATCHED_TYPE = "error"
 
 # CRM subscription level by market segment (others -> TRIAL,
 # a level the CLV price list does not know).
@@ -63,69 +70,43 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def event_log_columns(
-    df: DataFrame,
-    channel: str = "CH",
-    country: str = "FR",
-    id_col: str = "event_id",
-    time_col: str = "event_time",
-    device_col: str | None = None,
-) -> DataFrame:
-    """The 22 log columns of rows that carry an event id, a time and a customer.
+def viewing_logs(events: DataFrame, channel: str = "CH", country: str = "FR") -> DataFrame:
+    """The viewing-log table: one row for each event, all users kept.
 
-    Device, network, QoE, event type and geography follow ``event_id`` modulo
-    small domains; the address and its provider come from
-    :func:`dotted_address`; ``device`` is the given JSON column (or NULL).
+    ``customer_id`` is NULL for sign-ups, watch time (and with it ad load) for
+    errors; ``device`` is the event's JSON ``props`` text.
     """
-    eid = F.col(id_col)
-    address, provider = dotted_address(eid)
-    logs = df.select(
-        eid.cast("string").alias("log_id"),
+    k = F.get_json_object("props", "$.k").cast("int")
+    value = F.col("value")
+    logs = events.select(
+        F.col("event_id").cast("string").alias("log_id"),
         F.lit(channel).alias("channel"),
-        F.col(time_col).cast("timestamp_ntz").alias("event_time"),
-        hour_slot(time_col).alias("slot_start_time"),
-        programme_key(f"{channel}-", time_col).alias("programme_id"),
-        F.col("customer_id").cast("string").alias("customer_id"),
-        cycle(eid, DEVICE_TYPES).alias("device_type"),
-        cycle(eid, OS_NAMES).alias("os_name"),
-        cycle(eid, CONNECTION_TYPES).alias("connection_type"),
-        (F.lit(1000) + eid % F.lit(5000)).cast("long").alias("bitrate_kbps"),
-        (eid % F.lit(8)).cast("long").alias("buffer_events"),
-        ((eid % F.lit(50)).cast("double") / F.lit(1000.0)).alias("rebuffer_ratio"),
-        (F.lit(60) + eid % F.lit(1200)).cast("long").alias("watch_seconds"),
-        value_map(eid % F.lit(10), EVENT_TYPES, EVENT_TYPE_OTHER).alias("event_type"),
-        address.alias("ip_address"),
-        provider.alias("isp"),
+        F.col("ts").cast("timestamp_ntz").alias("event_time"),
+        hour_slot("ts").alias("slot_start_time"),
+        programme_key(f"{channel}-", "ts").alias("programme_id"),
+        F.when(F.col("event_type") != ANONYMOUS_TYPE, F.col("user_id").cast("string")).alias("customer_id"),
+        F.when(k.isNotNull(), bands([(k < top, name) for top, name in DEVICE_BELOW], DEVICE_OTHER)).alias("device_type"),
+        F.when(value.isNotNull(), bands([(value < top, name) for top, name in SYSTEM_BELOW], SYSTEM_OTHER)).alias(
+            "os_name"
+        ),
+        value_map("event_type", NETWORKS, NETWORK_OTHER).alias("connection_type"),
+        (F.lit(500) + F.floor(value * F.lit(40.0))).cast("long").alias("bitrate_kbps"),
+        F.floor(k / F.lit(12)).cast("long").alias("buffer_events"),
+        (value / F.lit(1000.0)).alias("rebuffer_ratio"),
+        F.when(F.col("event_type") != UNWATCHED_TYPE, F.floor(value * F.lit(60.0)).cast("long")).alias("watch_seconds"),
+        value_map("event_type", LOG_EVENTS, LOG_EVENT_OTHER).alias("event_type"),
+        F.concat_ws(".", F.lit("10"), k, F.col("user_id") % F.lit(256), F.col("event_id") % F.lit(256)).alias(
+            "ip_address"
+        ),
+        F.concat(F.lit("isp-"), (k % F.lit(5)).cast("string")).alias("isp"),
         F.lit(country).alias("country"),
-        F.concat(F.lit("region_"), (eid % F.lit(8)).cast("string")).alias("region"),
-        F.concat(F.lit("city_"), (eid % F.lit(10)).cast("string")).alias("city"),
-        (F.col(device_col) if device_col else F.lit(None).cast("string")).alias("device"),
+        F.concat(F.lit("region_"), (F.floor(value) % F.lit(8)).cast("string")).alias("region"),
+        F.concat(F.lit("city_"), (F.col("user_id") % F.lit(25)).cast("string")).alias("city"),
+        F.col("props").alias("device"),
     )
     return ad_load(logs).select(*LOG_COLUMNS)
 
 
-def viewing_logs(
-    events: DataFrame,
-    channel: str = "CH",
-    attach_share: float = 0.30,
-    country: str = "FR",
-) -> DataFrame:
-    """The viewing-log table derived from ``events`` (one log row per event).
-
-    ``customer_id`` is the event's user for ``event_id % 100 < 30`` (30 %),
-    else NULL; the other columns follow :func:`event_log_columns`; ``device``
-    is the event's JSON ``props`` text.
-    """
-    base = events.select(
-        "event_id",
-        F.col("ts").alias("event_time"),
-        F.col("user_id").cast("string").alias("_user"),
-        F.col("props"),
-    )
-    logs = attach_fraction(base, "_user", "event_id", attach_share, "customer_id")
-    return event_log_columns(logs, channel, country, device_col="props")
-
-
 def quota_thresholds(count: "F.Column") -> tuple:
     """Cumulative overlap thresholds for a table of ``count`` rows.
 
@@ -143,8 +124,8 @@ def crm(customer: DataFrame, as_of=FIXTURE_AS_OF) -> DataFrame:
     """The CRM table derived from ``customer``.
 
     Email is missing for 15 % (``key % 20 < 3``), phone for 20 %
-    (``key % 5 = 4``); the overlap label comes from the ordinal ``key + 1``
-    and cumulative quotas (see :func:`quota_thresholds`).
+    (``key % 5 = 4``); the overlap label comes from the row's ordinal in key
+    order and cumulative quotas (see :func:`quota_thresholds`).
     """
     key = F.col("c_custkey")
     # Thresholds from one count, evaluated once as a scalar subquery.
@@ -153,14 +134,9 @@ def crm(customer: DataFrame, as_of=FIXTURE_AS_OF) -> DataFrame:
             *[v.alias(f"t{i}") for i, v in enumerate(quota_thresholds(F.col("_n")))]
         )
     )
-    ordinal = key + F.lit(1)
-    label = (
-        F.when(ordinal <= t["t0"], "TRIPLE")
-        .when(ordinal <= t["t1"], "EMAIL")
-        .when(ordinal <= t["t2"], "PHONE")
-        .otherwise("NONE")
-    )
-    return customer.select(
+    bounds = [("TRIPLE", t["t0"]), ("EMAIL", t["t1"]), ("PHONE", t["t2"])]
+    labelled = assign_quota(row_ordinal(customer, "c_custkey", "_rn"), "_rn", bounds, "NONE", "overlap_type")
+    return labelled.select(
         key.cast("string").alias("customer_id"),
         F.when(key % F.lit(20) >= F.lit(3), F.concat(F.lit("c"), key.cast("string"), F.lit("@example.com"))).alias(
             "email"
@@ -172,21 +148,8 @@ def crm(customer: DataFrame, as_of=FIXTURE_AS_OF) -> DataFrame:
         F.concat(F.lit("profession-"), (key % F.lit(8)).cast("string")).alias("profession"),
         F.date_sub(F.lit(as_of).cast("date"), (key * F.lit(37) % F.lit(3651)).cast("int")).alias("date_joined"),
         value_map("c_mktsegment", SEGMENT_LEVELS, UNKNOWN_LEVEL).alias("subscription_level"),
-        label.alias("overlap_type"),
-    )
-
-
-def crm_with_quota(customer: DataFrame, as_of=FIXTURE_AS_OF) -> DataFrame:
-    """Same as :func:`crm` but labelled through :func:`assign_quota` with
-    Python-side quota sizes (needs the row count, one bounded action)."""
-    total = customer.count()
-    sizes = quota_sizes(total, 0.25, (8, 10, 7))
-    base = crm(customer, as_of).drop("overlap_type").withColumn(
-        "_ord", F.col("customer_id").cast("long") + F.lit(1)
+        "overlap_type",
     )
-    return assign_quota(
-        base, "_ord", list(zip(("TRIPLE", "EMAIL", "PHONE"), sizes)), "NONE", "overlap_type"
-    ).drop("_ord")
 
 
 def partner(supplier: DataFrame) -> DataFrame:
