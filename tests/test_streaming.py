@@ -53,41 +53,3 @@ def test_late_events_update_an_already_summarised_date(spark):
     start_daily_refresh(spark, logs_path, daily_path, ckpt).awaitTermination()
     assert _rows(read_daily(spark, daily_path)) == _rows(daily_summary(logs))
     assert read_daily(spark, daily_path).count() == daily_summary(logs).count()
-
-
-def test_incremental_refresh_matches_full_recomputation(spark):
-    from tvlens.streaming.daily import apply_batch_incrementally, start_incremental_daily_refresh
-
-    root = tempfile.mkdtemp(prefix="tvlens-stream-inc-")
-    logs_path, daily_path = os.path.join(root, "logs"), os.path.join(root, "daily")
-    state, ckpt = os.path.join(root, "state"), os.path.join(root, "ckpt")
-    logs = viewing_logs(read_table(spark, SF001, "events"))
-    on_time = logs.where(F.col("log_id").cast("long") % 2 == 0)
-    late = logs.where(F.col("log_id").cast("long") % 2 == 1)
-
-    write_logs_partitioned(on_time, logs_path, "overwrite")
-    start_incremental_daily_refresh(spark, logs_path, state, daily_path, ckpt).awaitTermination()
-    assert _rows(read_daily(spark, daily_path)) == _rows(daily_summary(on_time))
-
-    write_logs_partitioned(late, logs_path, "append")
-    start_incremental_daily_refresh(spark, logs_path, state, daily_path, ckpt).awaitTermination()
-    assert _rows(read_daily(spark, daily_path)) == _rows(daily_summary(logs))
-
-    # a replayed epoch changes nothing
-    replay = spark.read.parquet(logs_path).where(F.col("log_id").cast("long") % 2 == 1).drop("event_date")
-    apply_batch_incrementally(replay, 1, state, daily_path)
-    assert _rows(read_daily(spark, daily_path)) == _rows(daily_summary(logs))
-
-
-def test_incremental_state_refuses_another_checkpoint(spark):
-    import pytest
-
-    from tvlens.streaming.daily import start_incremental_daily_refresh
-
-    root = tempfile.mkdtemp(prefix="tvlens-stream-claim-")
-    logs_path = os.path.join(root, "logs")
-    write_logs_partitioned(viewing_logs(read_table(spark, SF001, "events")).limit(10), logs_path, "overwrite")
-    state, daily = os.path.join(root, "state"), os.path.join(root, "daily")
-    start_incremental_daily_refresh(spark, logs_path, state, daily, os.path.join(root, "c1")).awaitTermination()
-    with pytest.raises(ValueError):
-        start_incremental_daily_refresh(spark, logs_path, state, daily, os.path.join(root, "c2"))

@@ -1,17 +1,11 @@
 """Keep the materialised daily summary current as log files arrive.
 
-Two modes: :func:`start_daily_refresh` recomputes the touched dates from
-the log table; :func:`start_incremental_daily_refresh` folds each batch into
-per-date state (see :func:`apply_batch_incrementally`).
-
 The summary is a full-refresh table in the source system.  At scale only the
 days that received new events need refreshing: a Structured Streaming query
-watches the log folder and ``foreachBatch`` finds the dates a micro-batch
-touched.  The first mode recomputes those dates from the whole log table
-(exact distinct counts cannot be merged from partial counts), the second
-keeps the distinct (date, key) pairs themselves as state.  Either way only
-those date partitions of the summary are overwritten, and a replayed
-micro-batch after a failure leaves the same rows.
+watches the log folder, ``foreachBatch`` finds the dates a micro-batch touched,
+recomputes those dates from the log table (exact distinct counts cannot be
+merged from partial counts) and overwrites only those date partitions of the
+summary.  A replayed micro-batch after a failure leaves the same rows.
 
 The log table is expected to be stored partitioned by ``event_date`` so the
 recomputation reads only the touched partitions (the date filter is a
@@ -79,163 +73,3 @@ def start_daily_refresh(
 def read_daily(spark: SparkSession, daily_path: str) -> DataFrame:
     """The materialised summary with its original columns."""
     return spark.read.parquet(daily_path).drop("summary_date_part")
-
-
-# --- incremental refresh: per-epoch deltas and distinct-key tables ------------------
-def _sums() -> dict:
-    """Additive per-date metrics (Columns are built when a session exists)."""
-    return {
-        "n_events": F.count(F.lit(1)),
-        "sum_watch": F.sum("watch_seconds"),
-        "n_watch": F.count("watch_seconds"),
-        "sum_ad": F.sum("ad_total_seconds"),
-        "sum_bitrate": F.sum("bitrate_kbps"),
-        "n_bitrate": F.count("bitrate_kbps"),
-        "sum_buffer": F.sum("buffer_events"),
-        "n_buffer": F.count("buffer_events"),
-        "sum_rebuffer": F.sum("rebuffer_ratio"),
-        "n_rebuffer": F.count("rebuffer_ratio"),
-        "n_smarttv": F.count_if(F.col("device_type") == "SmartTV"),
-        "n_mobile": F.count_if(F.col("device_type") == "Mobile"),
-        "n_web": F.count_if(F.col("device_type") == "Web"),
-        "n_tablet": F.count_if(F.col("device_type") == "Tablet"),
-        "n_identified": F.count_if(F.col("customer_id").isNotNull()),
-    }
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, through Hadoop's FileSystem (shared storage too)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def _read_dates(spark: SparkSession, path: str, dates: list) -> DataFrame | None:
-    if not _exists(spark, path):
-        return None
-    return spark.read.parquet(path).where(F.col("summary_date").isin(dates))
-
-
-def apply_batch_incrementally(batch: DataFrame, epoch_id: int, state_path: str, daily_path: str) -> None:
-    """Fold one micro-batch of log rows into the state and the summary.
-
-    * additive metrics of the batch per date are appended as the delta of
-      ``epoch_id``; readers drop duplicate (epoch, date) rows, so replaying
-      an epoch after a failure changes nothing;
-    * (date, customer) and (date, programme) pairs not seen before are
-      appended; the exact distinct counts of a date are counted from them;
-    * the summary rows of the touched dates are rebuilt from the state and
-      replace those date partitions.
-
-    Work per batch is the batch plus the state of its dates (one row per
-    epoch and date, one row per distinct viewer or programme and date), not
-    the logs of those dates.
-    """
-    spark = batch.sparkSession
-    rows = batch.withColumn("summary_date", F.to_date("event_time"))
-    dates = [r[0] for r in rows.select("summary_date").distinct().collect()]  # a few days per batch
-    if not dates:
-        return
-    metrics = _sums()
-    deltas = rows.groupBy("summary_date").agg(*[v.alias(k) for k, v in metrics.items()])
-    deltas.withColumn("epoch_id", F.lit(epoch_id).cast("long")).write.mode("append").partitionBy(
-        "summary_date"
-    ).parquet(os.path.join(state_path, "deltas"))
-
-    for name, col in (("viewers", "customer_id"), ("programmes", "programme_id")):
-        path = os.path.join(state_path, name)
-        pairs = rows.where(F.col(col).isNotNull()).select("summary_date", F.col(col).alias("key")).distinct()
-        seen = _read_dates(spark, path, dates)
-        if seen is not None:
-            pairs = pairs.join(seen.select("summary_date", "key"), ["summary_date", "key"], "left_anti")
-        # materialised before the append: the anti join reads the same table
-        pairs.checkpoint(eager=True).write.mode("append").partitionBy("summary_date").parquet(path)
-
-    sums = (
-        _read_dates(spark, os.path.join(state_path, "deltas"), dates)
-        .dropDuplicates(["epoch_id", "summary_date"])
-        .groupBy("summary_date")
-        .agg(*[F.sum(k).alias(k) for k in metrics])
-    )
-    viewers = _read_dates(spark, os.path.join(state_path, "viewers"), dates)
-    programmes = _read_dates(spark, os.path.join(state_path, "programmes"), dates)
-    counts = [
-        (viewers, "unique_viewers"),
-        (programmes, "unique_programmes"),
-    ]
-    out = sums
-    for df, name in counts:
-        c = (
-            df.groupBy("summary_date").agg(F.count_distinct("key").alias(name))
-            if df is not None
-            else sums.select("summary_date", F.lit(0).cast("long").alias(name))
-        )
-        out = out.join(c, "summary_date", "left")
-    n = F.col("n_events").cast("double")
-    summary = out.select(
-        "summary_date",
-        F.col("n_events").alias("total_events"),
-        F.coalesce("unique_viewers", F.lit(0).cast("long")).alias("unique_viewers"),
-        F.coalesce("unique_programmes", F.lit(0).cast("long")).alias("unique_programmes"),
-        (F.col("sum_watch").cast("double") / F.lit(3600.0)).alias("total_watch_hours"),
-        (F.col("sum_watch").cast("double") / F.col("n_watch")).alias("avg_watch_seconds"),
-        (F.col("sum_ad").cast("double") / F.lit(60.0)).alias("total_ad_minutes"),
-        (F.col("sum_bitrate").cast("double") / F.col("n_bitrate")).alias("avg_bitrate"),
-        (F.col("sum_buffer").cast("double") / F.col("n_buffer")).alias("avg_buffer_events"),
-        (F.col("sum_rebuffer") / F.col("n_rebuffer")).alias("avg_rebuffer_ratio"),
-        (F.col("n_smarttv") / n).alias("smarttv_share"),
-        (F.col("n_mobile") / n).alias("mobile_share"),
-        (F.col("n_web") / n).alias("web_share"),
-        (F.col("n_tablet") / n).alias("tablet_share"),
-        (F.col("n_identified") / n).alias("identified_viewer_rate"),
-        F.current_timestamp().cast("timestamp_ntz").alias("last_updated"),
-        F.col("summary_date").alias("summary_date_part"),
-    )
-    (
-        summary.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("summary_date_part")
-        .parquet(daily_path)
-    )
-
-
-def _claim_state(spark: SparkSession, state_path: str, checkpoint: str) -> None:
-    """Tie the state folder to one stream checkpoint.
-
-    Epoch ids, and which files were already folded in, live in the stream's
-    checkpoint; the same state with another checkpoint would count files
-    twice, so that is refused.  The owner is a one-row text table in the
-    state folder.
-    """
-    marker = state_path.rstrip("/") + "/_stream_checkpoint"
-    if _exists(spark, marker):
-        owner = spark.read.text(marker).first()[0].strip()
-        if owner != checkpoint:
-            raise ValueError(f"state {state_path} belongs to the stream checkpointed at {owner}")
-        return
-    spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
-
-
-def start_incremental_daily_refresh(
-    spark: SparkSession,
-    logs_path: str,
-    state_path: str,
-    daily_path: str,
-    checkpoint: str | None = None,
-    available_now: bool = True,
-) -> StreamingQuery:
-    """Like :func:`start_daily_refresh`, but each micro-batch is folded in
-    with :func:`apply_batch_incrementally` instead of recomputing its dates
-    from the whole log table.  The state folder is tied to ``checkpoint``;
-    on a cluster both live on shared storage."""
-    schema = spark.read.parquet(logs_path).schema
-    checkpoint = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "daily_incremental")
-    _claim_state(spark, state_path, checkpoint)
-    stream = spark.readStream.schema(schema).parquet(logs_path)
-
-    def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        apply_batch_incrementally(batch, epoch_id, state_path, daily_path)
-
-    writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
-    return writer.start()
