@@ -35,7 +35,6 @@ def test_viterbi_equals_all_paths():
 
 def test_spans_of_mixed_text_and_scripts(spark):
     rows = texts(SF01, "text, lang")
-    train = docs(spark, [t for t, _ in rows]).drop("lang").withColumnRenamed("fingerprint", "lang")
     by_text = spark.createDataFrame([*rows, ("привет мир как дела", "ru"), (None, "en"), ("x y", None)], "text string, lang string")
     model = langid.train(by_text, "text", "lang")
     assert model.languages == ["de", "en", "es", "fr", "ru"]
@@ -44,7 +43,6 @@ def test_spans_of_mixed_text_and_scripts(spark):
     langs, scores, spans = langid.label_slice([english + " " + german, "мир дом", "1234 --", ""], model)
     assert langs == ["de", "ru", "und", "und"] and scores[2:] == [0, 0] and spans[2:] == [[], []]
     assert [s["lang"] for s in spans[0]] == ["en", "de"] and abs(spans[0][1]["start"] - len(english)) < 40
-    assert train.count() == len(rows)
 
 
 def test_defined_cases(spark):
@@ -52,7 +50,7 @@ def test_defined_cases(spark):
     model = langid.train(frame, "text", "lang")
     rows = langid.identify(frame, model).collect()
     assert len(rows) == len(ODD) + 3
-    assert {r.lang_pred for r in rows if r.doc_id in (0, 1, 2)} <= {"und"} or True
+    assert {(r.lang_pred, r.score) for r in rows if r.doc_id in (0, 1, 2)} == {("und", 0.0)}
     empty = langid.train(docs(spark, []), "text", "lang")
     assert {r.lang_pred for r in langid.identify(frame, empty).collect()} == {"und"}
     assert langid.identify(docs(spark, []), model).count() == 0
