@@ -50,13 +50,21 @@ def _columns(docs: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in docs.columns]
 
 
+def _without(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose key is not in ``bad`` (_llm_id, _llm_hash).  The
+    rejected keys are counted: few are broadcast, many join by shuffle."""
+    bad = cut_lineage(bad.distinct())
+    bad = F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad
+    keyed = docs.select(*_columns(docs), *_keyed())
+    return keyed.join(bad, ["_llm_id", "_llm_hash"], "left_anti").drop("_llm_id", "_llm_hash")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language."""
     model = langid.train(docs, "text", "lang")
-    row = F.struct(*_columns(docs)).alias("_llm_row")
-    found = langid.identify(docs, model, "doc_id", "text", row)
-    has_one = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return found.where(has_one).select("_llm_row.*")
+    found = langid.identify(docs, model, "doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    none = (F.col("lang_pred") == langid.UNKNOWN) | (F.col("score") < MIN_LANGUAGE_SCORE)
+    return _without(docs, found.where(none).select(*_keyed("text_hash")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,10 +82,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     found = decontam.overlaps(docs, read_table(spark, sf_dir, "benchmark"))
-    bad = cut_lineage(found.select(*_keyed("text_hash")).distinct())
-    bad = F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad
-    keyed = docs.select(*_columns(docs), *_keyed())
-    return keyed.join(bad, ["_llm_id", "_llm_hash"], "left_anti").drop("_llm_id", "_llm_hash")
+    return _without(docs, found.select(*_keyed("text_hash")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ SWITCH_PENALTY = 12.0
 MIN_SCRIPT = 0.01
 SMOOTHING = 0.2
 UNKNOWN = "und"
-SLICE_ROWS, SLICE_BYTES = 2048, 2 << 20
+SLICE_ROWS, SLICE_BYTES = 2048, 1 << 20
 
 # First code points of script ranges (fixed values): each range lasts to the
 # next entry; script 0 is everything without a script of its own.

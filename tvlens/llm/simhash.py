@@ -76,7 +76,7 @@ def fingerprints(
     """(doc_id, <keep>, fp): fp is the fingerprint as a signed 64-bit number."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches, "text", 8192, 32 << 20):
+        for b in text_slices(batches, "text", 8192, 8 << 20):
             fps = [fingerprint(t, shingle_words) for t in b.column("text").to_pylist()]
             names = [n for n in b.schema.names if n != "text"]
             signed = pa.array(np.array(fps, np.uint64).view(np.int64))
