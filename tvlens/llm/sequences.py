@@ -1,9 +1,8 @@
 """Token-id sequences in training order, in fixed-stride binary shards.
 
-1. Documents are tokenized (every distinct unit of a slice once, see
-   token_counts) and packed, each followed by END, into sequences of
-   ``seq_len`` ids; a sequence is named by its input partition and its number
-   there.
+1. Documents are tokenized and packed, each followed by END, into sequences
+   of ``seq_len`` ids; a sequence is named by its input partition and its
+   number there.
 2. A first pass counts the sequences of every partition, which gives every
    sequence an index in 0..N-1; a keyed Feistel permutation of that range
    (cycle-walking over the next power of four) gives its global slot.  The
@@ -31,6 +30,7 @@ writes no shard; other input columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import json
 import os
 import sys
@@ -40,7 +40,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.fs
 import xxhash
 import zstandard
@@ -49,74 +48,45 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tvlens.llm.common import cut_lineage, text_slices
-from tvlens.llm.token_counts import _block_units
 from tvlens.session import ensure_checkpoint_dir
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER = "byte_bpe_50k.tiktoken"
 END, PAD = 50256, 65535
 SEQ_LEN = 2048
 SHARD_SEQUENCES = 8192
-SLICE_ROWS, SLICE_BYTES = 4096, 8 << 20
+SLICE_ROWS, SLICE_BYTES = 4096, 2 << 20
 ROUNDS = 6
 
 PACKED = "part bigint, seq bigint, n_tokens int, doc_ids array<bigint>, ids binary"
 INDEX = "slot bigint, shard bigint, offset bigint, part bigint, seq bigint, n_tokens int, doc_ids array<bigint>, checksum bigint, path string"
 
 
-class Ids:
-    """Token ids of strings, one per Python worker; special strings are text."""
-
-    def __init__(self, name: str):
-        import public_tokenizers
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
-        tokenizer.encode_special_tokens = True
-        self.encode = tokenizer.encode_batch_fast
-        self.known: dict[str, bytes] = {}
-
-    def of(self, units: list[str]) -> list[bytes]:
-        if len(self.known) > 300_000:
-            self.known.clear()
-        new = [u for u in units if u not in self.known]
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for u, e in zip(part, self.encode(part, add_special_tokens=False), strict=True):
-                self.known[u] = np.array(e.ids, "<u2").tobytes()
-        return [self.known[u] for u in units]
-
-
-def ids_of(name: str) -> Ids:
+def encoder(name: str):
+    """The vocabulary's encoder; kept between tasks of the same worker.  It
+    has no special tokens, so their strings in a text are ordinary text."""
     kept = sys.modules.setdefault("tvlens_worker_state", types.ModuleType("tvlens_worker_state"))
-    held = kept.__dict__.setdefault("ids", {})
+    held = kept.__dict__.setdefault("encoders", {})
     if name not in held:
-        held[name] = Ids(name)
+        import public_tokenizers
+        import tiktoken
+
+        with open(name if os.path.isabs(name) else public_tokenizers.path(name), "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        held[name] = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     return held[name]
 
 
-def tokenize_slice(texts: pa.Array, ids: Ids) -> tuple[np.ndarray, np.ndarray]:
+def tokenize(texts: list[str], tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after the other, and how many each text has."""
-    units, doc, first, _ = _block_units(texts, [])
-    order = np.argsort(doc, kind="stable")  # texts with odd spaces come last
-    units, doc, first = units.take(pa.array(order)), doc[order], first[order]
-    coded = pc.dictionary_encode(units)
-    key = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * 2 + first
-    own, at = np.unique(key, return_inverse=True)
-    base = coded.dictionary.take(pa.array(own >> 1))
-    names = pc.if_else(pa.array(own % 2 == 1), base, pc.binary_join_element_wise("", base, " "))
-    blobs = ids.of(names.to_pylist())
-    table = np.frombuffer(b"".join(blobs), "<u2")
-    size = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 2
-    start = np.cumsum(size) - size
-    size, start = size[at], start[at]
-    ramp = np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
-    return table[ramp], np.bincount(doc, size, len(texts)).astype(np.int64)
+    encode = encoder(tokenizer).encode_to_numpy
+    parts = [encode(t, disallowed_special=()) for t in texts]
+    size = np.fromiter(map(len, parts), np.int64, len(parts))
+    return np.concatenate([np.zeros(0, np.uint32), *parts]).astype(np.uint16), size
 
 
 def _squeeze(ids: np.ndarray) -> bytes:
     """Low bytes, then high bytes, compressed."""
-    return zstandard.compress(ids.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), 6)
+    return zstandard.compress(ids.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
 
 
 def _expand(blob: bytes) -> np.ndarray:
@@ -128,7 +98,7 @@ def pack(docs: DataFrame, tokenizer: str, seq_len: int, id_col: str, text_col: s
     """The table of sequences (see PACKED)."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, part, seq = ids_of(tokenizer), TaskContext.get().partitionId(), 0
+        part, seq = TaskContext.get().partitionId(), 0
         rest, rest_docs = np.zeros(0, np.uint16), np.zeros(0, np.int64)
         doc_names: list[int | None] = []  # ids of the documents that rest_docs numbers
 
@@ -145,7 +115,7 @@ def pack(docs: DataFrame, tokenizer: str, seq_len: int, id_col: str, text_col: s
             return pa.RecordBatch.from_arrays(cols, ["part", "seq", "n_tokens", "doc_ids", "ids"])
 
         for b in text_slices(batches, "text", SLICE_ROWS, SLICE_BYTES):
-            tokens, size = tokenize_slice(b.column("text"), ids)
+            tokens, size = tokenize(b.column("text").to_pylist(), tokenizer)
             n = b.num_rows
             all_ids = np.full(len(tokens) + n, END, np.uint16)
             owner = np.repeat(np.arange(n), size + 1)
@@ -194,9 +164,9 @@ def count_sequences(docs: DataFrame, tokenizer: str, seq_len: int, text_col: str
     """(part, n): sequences of each input partition."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, part, total = ids_of(tokenizer), TaskContext.get().partitionId(), 0
+        encode, part, total = encoder(tokenizer).encode_to_numpy, TaskContext.get().partitionId(), 0
         for b in text_slices(batches, "text", SLICE_ROWS, SLICE_BYTES):
-            total += b.num_rows + len(tokenize_slice(b.column("text"), ids)[0])
+            total += b.num_rows + sum(len(encode(t, disallowed_special=())) for t in b.column("text").to_pylist())
         if total:
             yield pa.RecordBatch.from_pydict({"part": [part], "n": [-(-total // seq_len)]})
 
