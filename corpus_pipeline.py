@@ -4,8 +4,10 @@ Every stage is a function of (spark, docs, sf_dir) and is judged on its own
 input; its output is written as Parquet and reread as the next stage's docs.
 All stages but the last return the columns of their input.
 
-1. language: documents in none of the learned languages go (no letters, or a
-   text whose labelled letters are mostly doubtful).
+1. language: documents without a language go: no letters, a text with most
+   letters in scripts of no learned language, or one whose letters are, over
+   all its spans, doubtful.  Certain texts in several languages stay; so does
+   an unlearned language in a learned script, which looks like the closest.
 2. near_duplicates: one document of each SimHash group stays, the one with
    the smallest id (of repeated rows of that id: the one with the smallest
    hash of its text, once).
@@ -31,7 +33,8 @@ from tvlens.llm import decontam, langid, mixing, sequences, simhash
 from tvlens.llm.common import cut_lineage, read_table
 from tvlens.session import ensure_checkpoint_dir
 
-#: Documents whose language score is below this are taken for no language.
+#: Documents whose letters have a smaller mean posterior, in whatever learned
+#: languages they are (0 in a script of none), are taken for no language.
 MIN_LANGUAGE_SCORE = 0.3
 #: Rejected rows are broadcast when they were counted to be this few.
 BROADCAST_ROWS = 500_000
@@ -63,7 +66,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language."""
     model = langid.train(docs, "text", "lang")
     found = langid.identify(docs, model, "doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    none = (F.col("lang_pred") == langid.UNKNOWN) | (F.col("score") < MIN_LANGUAGE_SCORE)
+    total = lambda spans, part: F.aggregate(spans, F.lit(0.0), lambda a, s: a + s[part])
+    letters, sure = total("spans", "letters"), total("spans", "sure")
+    foreign = total(F.filter("spans", lambda s: s["lang"] == langid.UNKNOWN), "letters")
+    none = (letters == 0) | (foreign > letters / 2) | (sure < MIN_LANGUAGE_SCORE * letters)
     return _without(docs, found.where(none).select(*_keyed("text_hash")))
 
 

@@ -51,3 +51,20 @@ def test_defined_cases(spark):
     empty = docs(spark, [])
     for _, stage in P.STAGES:
         assert stage(spark, empty, SF01).count() == 0
+
+
+def test_language_rejects_foreign_scripts_and_keeps_certain_mixtures(spark):
+    own = {g: [t for t, x in texts(SF01, "text, lang") if x == g and len(t) > 400] for g in ("en", "de", "fr", "es")}
+    rows = [(i, t, g) for i, (t, g) in enumerate((t, g) for g, ts in own.items() for t in ts[:40])]
+    part = lambda g: own[g][0][:300].rsplit(" ", 1)[0]
+    odd = {
+        1001: "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему",
+        1002: "人人生而自由 在尊严和权利上一律平等 他们赋有理性和良心",
+        1003: "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια",
+        1004: part("en")[:60] + " Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему",
+        1005: " ".join(part(g) for g in own),
+        1006: part("en") + " и " + part("de"),
+    }
+    frame = spark.createDataFrame([*rows, *((i, t, None) for i, t in odd.items())], "doc_id bigint, text string, lang string")
+    left = {r.doc_id for r in P.language(spark, frame, SF01).collect()}
+    assert left == {i for i, _, _ in rows} | {1005, 1006}

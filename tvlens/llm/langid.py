@@ -8,16 +8,21 @@ languages, not by the corpus.
 
 A word's score for a language is the sum of its n-grams' log probabilities.
 Languages in which the word's script is rare (below MIN_SCRIPT of the letters)
-are no candidates for it.  Viterbi over the words of a text, with a penalty
-for switching, labels every word; neighbours with one label form a span.  The
-document gets the language with the most letters, and as score the share of
+are no candidates for it; a word without any candidate is ``und`` with
+posterior 0.  Viterbi over the other words of a text, with a penalty for
+switching, labels every word; neighbours with one label form a span, which
+has its letters and the sum of their posteriors (``sure``).  The document gets the label with the most letters, and as score the share of
 those letters times the mean posterior of its words.
 
+Posteriors compare the learned languages with each other: a language that was
+not learned but shares a script with one that was is taken for the closest.
+
 Everything inside a task is numpy over many words and documents at a time:
 the Viterbi step t handles word t of all documents of a slice together.
 
 Defined cases: a text that is NULL or has no letter is ``und`` with score 0
-and no spans; rows with a NULL language or text don't train; ties go to the
+and no spans; a text mostly in scripts of no learned language is ``und`` with
+score 0 and ``und`` spans; rows with a NULL language or text don't train; ties go to the
 first language by code point; without any training row every text is ``und``;
 NULL or repeated ids and repeated rows give one result row each; an empty
 table gives an empty result; other input columns are ignored.
@@ -181,17 +186,18 @@ def train(rows: DataFrame, text_col: str, lang_col: str) -> Model:
     return Model(languages, scores.astype(np.float32), allowed)
 
 
-def score_words(words: Words, model: Model) -> np.ndarray:
-    """(words, languages): log scores; languages that are no candidates for a
-    word's script get a floor below the others (unless none is a candidate)."""
+def score_words(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """(words, languages): log scores, and which words have a candidate.
+    Languages that are no candidates for a word's script get a floor below the
+    others; a word without any scores 0 for all, so it moves no neighbour."""
     total = np.zeros((len(words.codes), len(model.languages)), np.float32)
     for g in gram_buckets(words):
         total += model.scores[g]
     out = np.add.reduceat(total, words.start, axis=0) if len(words.start) else total[:0]
     ok = model.allowed[word_script(words)]
-    ok |= ~ok.any(axis=1, keepdims=True)
+    known = ok.any(axis=1)
     out -= out.max(axis=1, keepdims=True, initial=-1e30)
-    return np.where(ok, out, np.minimum(out, -50.0))
+    return np.where(ok, out, np.minimum(out, -50.0)) * known[:, None], known
 
 
 def viterbi(scores: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
@@ -241,31 +247,35 @@ def _posteriors(scores: np.ndarray) -> np.ndarray:
 
 def label_slice(texts: list[str], model: Model) -> tuple[list[str], list[float], list[list[dict]]]:
     """Language, score and spans of each text."""
-    n, names = len(texts), model.languages
+    n, names = len(texts), [*model.languages, UNKNOWN]
     words = find_words(texts)
-    if not len(words.start) or not names:
+    if not len(words.start) or not model.languages:
         return [UNKNOWN] * n, [0.0] * n, [[] for _ in texts]
-    scores = score_words(words, model)
-    labels = viterbi(scores, words.doc, n)
+    scores, known = score_words(words, model)
+    found = viterbi(scores, words.doc, n)
+    posterior = _posteriors(scores)[np.arange(len(found)), found] * known
+    labels = np.where(known, found, len(names) - 1)
     letters_by = np.bincount(words.doc * len(names) + labels, words.size, n * len(names)).reshape(n, -1)
     winner, total = letters_by.argmax(axis=1), letters_by.sum(axis=1)
     own = labels == winner[words.doc]
-    sure = _posteriors(scores)[np.arange(len(labels)), labels] * own * words.size
-    score = np.bincount(words.doc, sure, n) / np.maximum(total, 1)
+    score = np.bincount(words.doc, posterior * own * words.size, n) / np.maximum(total, 1)
     langs = [names[w] if t else UNKNOWN for w, t in zip(winner, total, strict=True)]
     first = np.flatnonzero(np.concatenate(([True], (words.doc[1:] != words.doc[:-1]) | (labels[1:] != labels[:-1]))))
     last = np.concatenate((first[1:], [len(labels)])) - 1
+    letters = np.add.reduceat(words.size, first)
+    sure = np.add.reduceat(words.size * posterior, first)
     spans: list[list[dict]] = [[] for _ in texts]
     ends = words.at + words.size
-    for d, s, e, k in zip(words.doc[first].tolist(), words.at[first].tolist(), ends[last].tolist(), labels[first].tolist(), strict=True):
-        spans[d].append({"start": s, "end": e, "lang": names[k]})
+    columns = (words.doc[first], words.at[first], ends[last], labels[first], letters, sure)
+    for d, s, e, k, m, c in zip(*(x.tolist() for x in columns), strict=True):
+        spans[d].append({"start": s, "end": e, "lang": names[k], "letters": m, "sure": c})
     return langs, np.clip(score, 0, 1).tolist(), spans
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", *keep: Column) -> DataFrame:
     """(doc_id, lang_pred, score, spans), one row per input row; further
     columns to keep may be given as expressions with own names."""
-    span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())])
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string()), ("letters", pa.int64()), ("sure", pa.float64())])
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, "text", SLICE_ROWS, SLICE_BYTES):
             langs, scores, spans = label_slice(b.column("text").to_pylist(), model)
@@ -277,4 +287,4 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     only = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *keep)
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in only.schema.fields if f.name != "text")
-    return only.mapInArrow(label, f"{out}, lang_pred string, score double, spans array<struct<start:bigint,end:bigint,lang:string>>")
+    return only.mapInArrow(label, f"{out}, lang_pred string, score double, spans array<struct<start:bigint,end:bigint,lang:string,letters:bigint,sure:double>>")
