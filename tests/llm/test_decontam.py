@@ -69,3 +69,23 @@ def test_defined_cases(spark):
     assert sorted(str(r.doc_id) for r in rows) == ["3", "None"] and {r.item_id for r in rows} == {None}
     assert D.overlaps(docs(spark, []), bench).count() == 0
     assert D.overlaps(docs(spark, [text]), bench.limit(0)).count() == 0
+
+
+def test_exact_passages_from_the_least_overlap_on(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    item = [word() for _ in range(40)]
+    wrap = lambda ws: " ".join([*[word() for _ in range(30)], *ws, *[word() for _ in range(30)]])
+    sizes = [8, 9, 10, 13, 14, 15, 16, 20, 25]
+    cases = [wrap(item[k : k + n]) for n in sizes for k in (0, 9, 40 - n)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id int, text string")
+    got = {r.doc_id: r for r in D.overlaps(docs(spark, cases), bench).collect()}
+    assert set(got) == {3 * i + k for i, n in enumerate(sizes) if n >= D.MIN_OVERLAP for k in range(3)}
+    assert all(D.MIN_OVERLAP <= r.aligned and r.matched >= D.SIMILARITY * r.aligned for r in got.values())
+
+
+def test_short_items_match_where_they_are_held_whole(spark):
+    bench = spark.createDataFrame([(1, "Why is it so?"), (2, "quux"), (3, "seven tokens are still less than eight"), (4, "?")], "item_id int, text string")
+    cases = ["he asked: why IS it, so often", "why is that so", "a quux, quux", "quuxes", "Seven tokens are still less than eight", "still less than eight", None, ""]
+    rows = D.overlaps(docs(spark, cases), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.matched, r.aligned) for r in rows) == [(0, 1, 4, 4), (2, 2, 1, 1), (4, 3, 7, 7)]

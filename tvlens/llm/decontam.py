@@ -4,10 +4,12 @@ Tokens are the runs of letters and digits of the lower-cased text.  A seed is
 ``SPAN`` tokens in a row with some positions ignored by a fixed mask; its hash
 is the same when only ignored tokens differ.  Hashes of the benchmark's seeds
 meet the hashes of every position of every document, and each hit is verified
-around itself: of the tokens of item and document aligned up to ``REACH``
-tokens beyond the seed on both sides, at least ``similarity`` must be equal,
-over at least ``min_overlap`` tokens (or the whole item, if shorter).  So
-substituted tokens are tolerated, in the seed and around it.
+around itself: item and document are aligned up to ``REACH`` tokens beyond the
+seed on both sides, and some stretch of at least ``MIN_OVERLAP`` tokens (or the
+whole item, if shorter) that holds the seed must have at least ``similarity``
+equal; the longest such stretch counts.  So substituted tokens are tolerated,
+in the seed and around it.  Items of fewer than SPAN tokens are one seed
+without ignored tokens: they are found where a document holds them whole.
 
 Built-in functions only.  Hashes of documents are tested against a bitmap of
 the benchmark's hashes first, inside the row; the bitmap has a fixed size
@@ -15,8 +17,8 @@ the benchmark's hashes first, inside the row; the bitmap has a fixed size
 passes it is joined by hash.  Benchmark seeds with equal surroundings are one
 row (the smallest item stands for them), so repeated items multiply nothing.
 
-Defined cases: NULL and empty texts have no tokens; items of fewer than SPAN
-tokens are too short to be evidence and match nothing; NULL or repeated ids
+Defined cases: NULL and empty texts have no tokens and match nothing; an item
+of one token matches every document that holds it; NULL or repeated ids
 and repeated rows are reported as they are (with the text's hash to tell them
 apart); empty tables give an empty result; other input columns are ignored.
 """
@@ -56,17 +58,52 @@ def _around(w: Column, pos: Column) -> Column:
     return F.struct(left.alias("left"), F.slice(w, pos - left + 1, left + SPAN + REACH).alias("win"))
 
 
+def _whole(w: Column) -> Column:
+    """A short item as a seed with nothing around it."""
+    return F.struct(F.lit(0).alias("left"), w.alias("win"))
+
+
+def _whole_hash(w: Column) -> Column:
+    return F.xxhash64(F.lit("whole"), F.array_join(w, " "))
+
+
+def _short_hits(w: Column, sizes: list[int], bitmap: Column) -> Column:
+    """Distinct marked runs of so many tokens, as the hits of short items."""
+    def runs(n: int) -> Column:
+        at = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.array_join(F.slice(w, i, n), " "))
+
+    marked = [F.array_distinct(F.filter(runs(n), lambda t: _marked(bitmap, F.xxhash64(F.lit("whole"), t)))) for n in sizes]
+    return F.transform(F.concat(*marked), lambda t: F.struct(_whole(F.split(t, " ")).alias("d"), F.array(F.xxhash64(F.lit("whole"), t)).alias("hs")))
+
+
+def _longest(equal: Column, before: Column, need: Column, similarity: float) -> Column:
+    """(aligned, matched) of the longest stretch of ``need`` or more tokens that
+    holds the seed with enough of them equal, or NULL.  ``equal``: 1 or 0 for
+    every aligned token; ``before`` of them precede the seed."""
+    count = lambda x: F.aggregate(x, F.lit(0), lambda a, e: a + e)
+    enough = lambda s: (s["aligned"] >= need) & (s["matched"] >= F.lit(similarity) * s["aligned"])
+    stretch = lambda first, n: F.struct(n.alias("aligned"), count(F.slice(equal, first + 1, n)).alias("matched"))
+    size = F.size(equal)
+    ends = F.sequence(F.least(before + SPAN, size), size)
+    every = F.flatten(F.transform(F.sequence(F.lit(0), before), lambda a: F.transform(ends, lambda e: stretch(a, e - a))))
+    most = count(equal)
+    return (
+        F.when(enough({"aligned": size, "matched": most}), F.struct(size.alias("aligned"), most.alias("matched")))
+        .when(most >= F.lit(similarity) * need, F.array_max(F.filter(every, enough)))
+    )
+
+
 def seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(h, item, around, item_tokens): distinct seeds of the benchmark."""
+    """(h, item, around, need): distinct seeds of the benchmark."""
     own = benchmark.select(F.col(id_col).alias("item"), tokens(F.col(text_col)).alias("w"))
     own = own.withColumn("th", F.transform("w", lambda x: F.xxhash64(x)))
     at = own.select("item", "w", "th", F.explode(_starts(F.size("w"))).alias("pos"))
     hashed = at.select("item", _around(F.col("w"), F.col("pos")).alias("around"), F.size("w").alias("n"), F.array(*_seed_hashes(F.col("th"), F.col("pos"))).alias("hs"))
-    return (
-        hashed.select("item", "around", "n", F.explode("hs").alias("h"))
-        .groupBy("h", "around", F.least("n", F.lit(MIN_OVERLAP)).alias("need"))
-        .agg(F.min("item").alias("item"))
-    )
+    long = hashed.select(F.explode("hs").alias("h"), "around", F.least("n", F.lit(MIN_OVERLAP)).alias("need"), "item")
+    w = F.col("w")
+    short = own.where((F.size(w) > 0) & (F.size(w) < SPAN)).select(_whole_hash(w).alias("h"), _whole(w).alias("around"), F.size(w).alias("need"), "item")
+    return long.unionByName(short).groupBy("h", "around", "need").agg(F.min("item").alias("item"))
 
 
 def _bitmap(hashes: DataFrame) -> Column:
@@ -102,35 +139,29 @@ def overlaps(
     of every document and benchmark item that have one."""
     known = seeds(benchmark, item_id_col, item_text_col)
     bitmap = _bitmap(known)
+    sizes = [r["n"] for r in known.where(F.col("need") < SPAN).select(F.col("need").alias("n")).distinct().collect()]  # below SPAN
 
     def hits(w: Column) -> Column:
-        """Positions of a token array with their hashes, where one is marked."""
+        """Surroundings and hashes of the positions of a token array where a hash is marked."""
         placed = lambda th: F.transform(
             _starts(F.size(th)), lambda i: F.struct(i.alias("pos"), F.array(*_seed_hashes(th, i)).alias("hs"))
         )
         all_at = let(F.transform(w, lambda x: F.xxhash64(x)), placed)
-        return F.filter(all_at, lambda x: F.exists(x["hs"], lambda h: _marked(bitmap, h)))
-
-    found = let(tokens(F.col(text_col)), lambda w: F.struct(w.alias("w"), hits(w).alias("hits")))
-    own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), found.alias("f"))
-    at = own.select("doc_id", "text_hash", F.col("f.w").alias("w"), F.explode_outer("f.hits").alias("hit")).where("hit IS NOT NULL")
-    seen = at.select("doc_id", "text_hash", _around(F.col("w"), F.col("hit.pos")).alias("d"), F.explode("hit.hs").alias("h"))
+        marked = F.filter(all_at, lambda x: F.exists(x["hs"], lambda h: _marked(bitmap, h)))
+        long = F.transform(marked, lambda x: F.struct(_around(w, x["pos"]).alias("d"), x["hs"].alias("hs")))
+        return F.concat(long, _short_hits(w, sizes, bitmap)) if sizes else long
+
+    found = let(tokens(F.col(text_col)), hits)
+    own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), found.alias("hits"))
+    at = own.select("doc_id", "text_hash", F.explode_outer("hits").alias("hit")).where("hit IS NOT NULL")
+    seen = at.select("doc_id", "text_hash", F.col("hit.d").alias("d"), F.explode("hit.hs").alias("h"))
     met = seen.join(known.withColumnRenamed("around", "b"), "h")
     left = F.least("d.left", "b.left")
     right = F.least(F.size("d.win") - F.col("d.left"), F.size("b.win") - F.col("b.left"))
-    same = F.aggregate(
-        F.sequence(F.lit(0), F.col("aligned") - 1),
-        F.lit(0),
-        lambda a, k: a
-        + (F.get(F.col("d.win"), F.col("d.left") - F.col("lead") + k) == F.get(F.col("b.win"), F.col("b.left") - F.col("lead") + k)).cast("int"),
-    )
-    verified = (
-        met.withColumn("lead", left)
-        .withColumn("aligned", left + right)
-        .where(F.col("aligned") >= F.col("need"))
-        .withColumn("matched", same)
-        .where(F.col("matched") >= F.lit(similarity) * F.col("aligned"))
-    )
+    side = lambda x: F.slice(f"{x}.win", F.col(f"{x}.left") - left + 1, left + right)
+    equal = F.zip_with(side("d"), side("b"), lambda x, y: (x == y).cast("int"))
+    longest = let(equal, lambda e: _longest(e, left, F.col("need"), similarity))
+    verified = met.withColumn("s", longest).where("s IS NOT NULL").select("doc_id", "text_hash", "item", "s.matched", "s.aligned")
     best = F.max(F.struct((F.col("matched") / F.col("aligned")).alias("share"), F.col("matched"), F.col("aligned"))).alias("best")
     return (
         verified.groupBy("doc_id", "text_hash", "item")
