@@ -87,7 +87,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    found = decontam.overlaps(docs, read_table(spark, sf_dir, "benchmark"))
+    found = decontam.contaminated(docs, read_table(spark, sf_dir, "benchmark"))
     return _without(docs, found.select(*_keyed("text_hash")))
 
 

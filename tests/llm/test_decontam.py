@@ -89,3 +89,17 @@ def test_short_items_match_where_they_are_held_whole(spark):
     cases = ["he asked: why IS it, so often", "why is that so", "a quux, quux", "quuxes", "Seven tokens are still less than eight", "still less than eight", None, ""]
     rows = D.overlaps(docs(spark, cases), bench).collect()
     assert sorted((r.doc_id, r.item_id, r.matched, r.aligned) for r in rows) == [(0, 1, 4, 4), (2, 2, 1, 1), (4, 3, 7, 7)]
+
+
+def test_every_item_of_a_shared_passage_is_reported(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    own, template = [[word() for _ in range(30)] for _ in range(2)], [word() for _ in range(24)]
+    whole = " ".join(own[0])
+    items = [(7, whole), (3, whole), (9, " ".join(template + own[1])), (4, " ".join(own[1][::-1] + template)), (5, "short item"), (6, "Short item!")]
+    bench = spark.createDataFrame([*items, (7, whole)], "item_id int, text string")
+    cases = [" ".join([word() for _ in range(30)] + ws) for ws in (own[0], template, own[1], ["short", "item"], [])]
+    frame = docs(spark, cases)
+    got = sorted((r.doc_id, r.item_id) for r in D.overlaps(frame, bench).collect())
+    assert got == [(0, 3), (0, 7), (1, 4), (1, 9), (2, 9), (3, 5), (3, 6)]
+    assert sorted(r.doc_id for r in D.contaminated(frame, bench).collect()) == [0, 1, 2, 3]

@@ -15,7 +15,10 @@ Built-in functions only.  Hashes of documents are tested against a bitmap of
 the benchmark's hashes first, inside the row; the bitmap has a fixed size
 (``BITMAP_BITS``) however large the benchmark is, it only saves work, and what
 passes it is joined by hash.  Benchmark seeds with equal surroundings are one
-row (the smallest item stands for them), so repeated items multiply nothing.
+row, with a digest of the set of items that have them in place of the items,
+so repeated items multiply nothing while hits are verified; a document's best
+overlap with each set is then joined to the set's members.  ``contaminated``
+stops before that.
 
 Defined cases: NULL and empty texts have no tokens and match nothing; an item
 of one token matches every document that holds it; NULL or repeated ids
@@ -95,7 +98,7 @@ def _longest(equal: Column, before: Column, need: Column, similarity: float) ->
 
 
 def seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(h, item, around, need): distinct seeds of the benchmark."""
+    """(h, around, need, item): seeds of the benchmark and the items that have them."""
     own = benchmark.select(F.col(id_col).alias("item"), tokens(F.col(text_col)).alias("w"))
     own = own.withColumn("th", F.transform("w", lambda x: F.xxhash64(x)))
     at = own.select("item", "w", "th", F.explode(_starts(F.size("w"))).alias("pos"))
@@ -103,7 +106,22 @@ def seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text")
     long = hashed.select(F.explode("hs").alias("h"), "around", F.least("n", F.lit(MIN_OVERLAP)).alias("need"), "item")
     w = F.col("w")
     short = own.where((F.size(w) > 0) & (F.size(w) < SPAN)).select(_whole_hash(w).alias("h"), _whole(w).alias("around"), F.size(w).alias("need"), "item")
-    return long.unionByName(short).groupBy("h", "around", "need").agg(F.min("item").alias("item"))
+    return long.unionByName(short).distinct()
+
+
+_SEED = ("h", "around", "need")
+_SET = ("set_a", "set_b")
+
+
+def _item_sets(held: DataFrame) -> DataFrame:
+    """(h, around, need, set_a, set_b): distinct seeds with the digest of their items."""
+    digests = [F.bit_xor(F.xxhash64(F.lit(s), "item")).alias(s) for s in _SET]
+    return held.groupBy(*_SEED).agg(*digests)
+
+
+def _members(held: DataFrame) -> DataFrame:
+    """(set_a, set_b, item): the items of every set."""
+    return held.join(_item_sets(held), list(_SEED)).select(*_SET, "item").distinct()
 
 
 def _bitmap(hashes: DataFrame) -> Column:
@@ -126,6 +144,12 @@ def _marked(bitmap: Column, h: Column) -> Column:
     return F.getbit(F.get(bitmap, slot), h.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
+def _best(rows: DataFrame, *by: str) -> DataFrame:
+    """The overlap with the highest share, then the most tokens, of each group."""
+    best = F.max(F.struct((F.col("matched") / F.col("aligned")).alias("share"), "matched", "aligned")).alias("best")
+    return rows.groupBy(*by).agg(best).select(*by, "best.matched", "best.aligned")
+
+
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -137,7 +161,28 @@ def overlaps(
 ) -> DataFrame:
     """(doc_id, text_hash, item_id, matched, aligned): the best verified overlap
     of every document and benchmark item that have one."""
-    known = seeds(benchmark, item_id_col, item_text_col)
+    held = seeds(benchmark, item_id_col, item_text_col)
+    found = _best(_verified(docs, _item_sets(held), id_col, text_col, similarity), "doc_id", "text_hash", *_SET)
+    linked = found.join(_members(held), list(_SET))
+    return _best(linked, "doc_id", "text_hash", "item").withColumnRenamed("item", "item_id")
+
+
+def contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    similarity: float = SIMILARITY,
+) -> DataFrame:
+    """(doc_id, text_hash): the documents with a verified overlap, once each."""
+    known = _item_sets(seeds(benchmark, item_id_col, item_text_col))
+    return _verified(docs, known, id_col, text_col, similarity).select("doc_id", "text_hash").distinct()
+
+
+def _verified(docs: DataFrame, known: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
+    """(doc_id, text_hash, set_a, set_b, matched, aligned): every verified hit."""
     bitmap = _bitmap(known)
     sizes = [r["n"] for r in known.where(F.col("need") < SPAN).select(F.col("need").alias("n")).distinct().collect()]  # below SPAN
 
@@ -161,10 +206,4 @@ def overlaps(
     side = lambda x: F.slice(f"{x}.win", F.col(f"{x}.left") - left + 1, left + right)
     equal = F.zip_with(side("d"), side("b"), lambda x, y: (x == y).cast("int"))
     longest = let(equal, lambda e: _longest(e, left, F.col("need"), similarity))
-    verified = met.withColumn("s", longest).where("s IS NOT NULL").select("doc_id", "text_hash", "item", "s.matched", "s.aligned")
-    best = F.max(F.struct((F.col("matched") / F.col("aligned")).alias("share"), F.col("matched"), F.col("aligned"))).alias("best")
-    return (
-        verified.groupBy("doc_id", "text_hash", "item")
-        .agg(best)
-        .select("doc_id", "text_hash", F.col("item").alias("item_id"), "best.matched", "best.aligned")
-    )
+    return met.withColumn("s", longest).where("s IS NOT NULL").select("doc_id", "text_hash", *_SET, "s.matched", "s.aligned")
