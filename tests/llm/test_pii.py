@@ -84,3 +84,17 @@ def test_defined_cases(spark):
     assert len(got) == len(ODD) + 3
     assert sum(len(r.spans) for r in got) == 3
     assert pii.find_pii(docs(spark, [])).count() == 0
+
+
+def test_ibans_end_before_what_follows():
+    ibans = lambda t: [t[s:e] for k, s, e, _ in pii.spans_of(t) if k == "iban"]
+    de, gb, no = "DE89370400440532013000", "GB82WEST12345698765432", "NO9386011117947"
+    for after in (" BIC COBADEFFXXX", " EUR 500", " 2024", "", ".", " Bank", f" {gb}"):
+        assert ibans(f"IBAN {de}{after}")[0] == de and len(ibans(f"IBAN {de}{after}")) == 1 + (gb in after)
+        assert ibans(f"IBAN {no}{after}")[0] == no
+    assert ibans("DE89 3704 0044 0532 0130 00 EUR 500") == ["DE89 3704 0044 0532 0130 00"]
+    assert ibans("GB82 WEST 1234 5698 7654 32 BIC WESTGB2L") == ["GB82 WEST 1234 5698 7654 32"]
+    assert ibans(f"{de}BIC {de}x {de[:-1]}1 AB12 {gb}") == [gb]
+    unlisted = next(f"ZZ{n:02d}12345678901ABC" for n in range(97) if pii.mod97(f"ZZ{n:02d}12345678901ABC"))
+    assert ibans(f"{unlisted} EUR") == [unlisted]
+    assert not set(pii._IBAN_SIZES.values()) - set(range(15, 35)) and all(len(k) == 2 for k in pii._IBAN_SIZES)

@@ -6,7 +6,9 @@ digit counts) confirm them, and context words nearby adjust a score.
 Base kinds (email, ip, card, phone) are kept whenever their validator holds.
 Further kinds (iban, short_card, ssn, local_phone) are kept only when their
 score reaches ``min_score`` and they do not overlap a base span or an earlier
-added one.  Offsets count code points, the end is exclusive.
+added one.  An iban has the length of its country's; of a country without a
+fixed one, the longest that ends at a word's end and passes the checksum.
+Offsets count code points, the end is exclusive.
 
 Defined cases: a NULL or empty text has no spans; NULL or repeated ids and
 repeated rows give one result row each; an empty table gives an empty result;
@@ -35,7 +37,23 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3,}+")
 _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9]){12,}+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+# Start of an account number, and what may follow; its end is found by length or checksum.
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+_IBAN_REST = re.compile(r"(?: ?[A-Z0-9]){11,30}")
+# Characters of an IBAN by country (the registry of ISO 13616).
+_IBAN_SIZES = {
+    country: int(size)
+    for size, countries in (
+        item.split(":")
+        for item in (
+            "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV "
+            "22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG "
+            "25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV "
+            "29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+        ).split()
+    )
+    for country in countries.split(",")
+}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")
 _DIGIT = re.compile(r"[0-9]")
@@ -144,7 +162,30 @@ def _ssns(text: str) -> list[tuple[int, int]]:
 
 
 def _ibans(text: str) -> list[tuple[int, int]]:
-    return [m.span() for m in _IBAN.finditer(text) if mod97(m.group().replace(" ", ""))]
+    found, m = [], _IBAN.search(text)
+    while m:
+        end = _iban_end(text, m)
+        if end:
+            found.append((m.start(), end))
+        m = _IBAN.search(text, end or m.end())
+    return found
+
+
+def _iban_end(text: str, head: re.Match) -> int | None:
+    """End of the account number that starts with ``head``, if there is one."""
+    rest = _IBAN_REST.match(text, head.end())
+    if not rest:
+        return None
+    size = _IBAN_SIZES.get(head.group()[:2])
+    ends = [i + 1 for i in range(rest.start(), rest.end()) if text[i] != " "]  # of 5, 6, ... characters
+    for n in [size] if size else range(len(ends) + 4, 14, -1):
+        if n - 4 > len(ends):
+            continue
+        end = ends[n - 5]
+        inside = text[end : end + 1]
+        if not (inside.isascii() and inside.isalnum()) and mod97(text[head.start() : end].replace(" ", "")):
+            return end
+    return None
 
 
 def score_span(kind: str, text: str, start: int, end: int) -> float:
