@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tvlens.llm import decontam, host_rules, langid, line_crf, mixing, pii, sequences, simhash, suffix_dedup, token_counts
+from tvlens.llm import decontam, filter_audit, host_rules, langid, line_crf, mixing, pii, sequences, simhash, suffix_dedup, token_counts
 from tvlens.llm.common import crc_fold, read_table
 
 
@@ -69,6 +69,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_hash")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = filter_audit.mark(read_table(spark, sf_dir, "documents"))
+    return filter_audit.audit(filter_audit.failure_classes(marked, read_table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
@@ -80,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_crf": op8_line_crf,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_decontamination": op10_decontamination,
+    "op12_filter_audit": op12_filter_audit,
 }

@@ -98,4 +98,47 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM j LEFT JOIN v USING (host)
 """
 
-SQL: dict[str, str] = {"op4_host_rules": _RULES, "op5_mix_sources": _MIX}
+_AUDIT = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS w
+  FROM documents
+),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS bits,
+         coalesce(good, false)::INT AS good, coalesce(toxic, false)::INT AS toxic
+  FROM d LEFT JOIN l USING (doc_id)
+),
+c AS (SELECT part, bits, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, bits),
+k AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM k a, k b, k c, k d, k e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+),
+s AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM o, range(1, 6) AS r(step)
+),
+a AS (
+  SELECT part, filter_order, step, any_value(bit) AS bit,
+         coalesce(sum(n) FILTER (bits & (before | bit) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (bits & before = 0 AND bits & bit <> 0), 0) AS removed,
+         coalesce(sum(n) FILTER (bits & before <> 0 AND bits & bit <> 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (bits = bit), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (bits & before = 0 AND bits & bit <> 0), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (bits & before = 0 AND bits & bit <> 0), 0) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, substr(filter_order, CAST(step AS INT), 1) AS filter,
+       CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM a
+"""
+
+SQL: dict[str, str] = {"op4_host_rules": _RULES, "op5_mix_sources": _MIX, "op12_filter_audit": _AUDIT}
