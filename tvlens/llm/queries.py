@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tvlens.llm import decontam, filter_audit, host_rules, langid, line_crf, mixing, pii, sequences, simhash, suffix_dedup, token_counts
+from tvlens.llm import decontam, filter_audit, hard_negatives, host_rules, langid, line_crf, mixing, pii, sequences, simhash, suffix_dedup, token_counts
 from tvlens.llm.common import crc_fold, read_table
 
 
@@ -69,6 +69,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_hash")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read_table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = filter_audit.mark(read_table(spark, sf_dir, "documents"))
     return filter_audit.audit(filter_audit.failure_classes(marked, read_table(spark, sf_dir, "labels")))
@@ -85,5 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_crf": op8_line_crf,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_filter_audit": op12_filter_audit,
 }

