@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tvlens.llm import decontam, filter_audit, hard_negatives, host_rules, langid, line_crf, mixing, pii, sequences, simhash, suffix_dedup, token_counts
+from tvlens.llm import (
+    decontam,
+    filter_audit,
+    hard_negatives,
+    host_rules,
+    langid,
+    line_crf,
+    mixing,
+    pii,
+    pitman_yor,
+    sequences,
+    simhash,
+    suffix_dedup,
+    token_counts,
+)
 from tvlens.llm.common import crc_fold, read_table
 
 
@@ -80,6 +94,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.failure_classes(marked, read_table(spark, sf_dir, "labels")))
 
 
+def op13_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(read_table(spark, sf_dir, "documents"), crc_fold(F.col("doc_id"), 5) == 1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
@@ -93,4 +111,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_filter_audit": op12_filter_audit,
+    "op13_pitman_yor": op13_pitman_yor,
 }
