@@ -20,9 +20,11 @@ from tvlens.functions.columns import (
     hash_bucket,
     hash_int,
     hash_unit,
+    key_hash,
 )
 
-from tvlens.operators.numbering import first_n
+from tvlens.operators.numbering import first_n, row_ordinal
+from tvlens.operators.selection import Rank, rank_flag, rank_labels, row_identity
 
 
 def quota_sizes(total: int, overall_share: float, weights: Sequence[int]) -> list[int]:
@@ -55,6 +57,23 @@ def assign_quota(
     return df.withColumn(name, bands(cases, default))
 
 
+def assign_quota_by_key(
+    df: DataFrame, key: str, ranks: Sequence[tuple[str, Rank]], default: str, name: str
+) -> DataFrame:
+    """Label rows by cumulative ranks in key order (NULL keys last).
+
+    ``ranks`` are functions of the row count.  Rows of a table scan are
+    compared with the selected bound rows, without numbering or shuffle; where
+    rows have no identity (not from files) they are numbered.
+    """
+    tie = row_identity(df)
+    if tie is not None:
+        return rank_labels(df, F.col(key), tie, ranks, default, name)
+    rows = df.select(F.count(F.lit(1))).scalar()
+    bounds = [(label, rank(rows)) for label, rank in ranks]
+    return assign_quota(row_ordinal(df, key, "_rn"), "_rn", bounds, default, name).drop("_rn")
+
+
 def attach_fraction(
     df: DataFrame, value: ColumnLike, key: ColumnLike, fraction: float, name: str
 ) -> DataFrame:
@@ -120,7 +139,7 @@ def hash_category(
 
 def near_duplicates(
     df: DataFrame,
-    n: int | Column,
+    n: int | Column | Rank,
     key: Sequence[str],
     eligible: Column,
     id_col: str,
@@ -131,34 +150,40 @@ def near_duplicates(
     suffix: str = "_DUP",
     seed: int = 0,
 ) -> DataFrame:
-    """Append exactly ``n`` mutated copies of eligible rows.
+    """Append exactly ``n`` mutated copies of eligible rows (all, if fewer).
 
-    A copy gets ``id || suffix``; with chance 1/2 (when not NULL) a digit is
-    inserted before every ``@`` of the email and the phone's last character is
-    replaced by a digit; its label becomes ``label``.
+    ``n`` is a number, a scalar column, or a function of the row count.  A copy
+    gets ``id || suffix``; with chance 1/2 (when not NULL) a digit is inserted
+    before every ``@`` of the email and the phone's last character is replaced
+    by a digit; its label becomes ``label``.  Rows of a table scan come out with
+    their copy in one pass.
     """
-    picked = first_n(df.where(eligible), n, key, seed)
-    k = [F.col(c) for c in key]
-    email = F.col(email_col)
-    phone = F.col(phone_col)
+    cols = df.columns
+    changes = _mutated(key, id_col, email_col, phone_col, F.lit(label), suffix, seed, label_col)
+    tie = row_identity(df)
+    if tie is None:
+        rows = df.select(F.count(F.lit(1))).scalar()
+        picked = first_n(df.where(eligible), n(rows) if callable(n) and not isinstance(n, Column) else n, key, seed)
+        return df.unionByName(picked.select(*[changes.get(c, F.col(c)).alias(c) for c in cols]))
+    rank = n if callable(n) and not isinstance(n, Column) else lambda rows: n if isinstance(n, Column) else F.lit(n)
+    flagged = rank_flag(df, key_hash(*key, seed=seed), tie, rank, "_picked", eligible)
+    copy = F.struct(*[changes.get(c, F.col(c)).alias(c) for c in cols])
+    both = F.array_compact(F.array(F.struct(*cols), F.when(F.col("_picked"), copy)))
+    return flagged.select(F.inline(both))
+
+
+def _mutated(key, id_col, email_col, phone_col, label, suffix, seed, label_col) -> dict[str, Column]:
+    """The columns of a copy that differ from its original."""
+    new_id = F.concat(F.col(id_col), F.lit(suffix))
+    k = [new_id if c == id_col else F.col(c) for c in key]
+    email, phone = F.col(email_col), F.col(phone_col)
     digit_e = hash_int(0, 9, *k, seed=seed + 2).cast("string")
     digit_p = hash_int(0, 9, *k, seed=seed + 4).cast("string")
-    dups = (
-        picked.withColumn(id_col, F.concat(F.col(id_col), F.lit(suffix)))
-        .withColumn(
-            email_col,
-            F.when(
-                (hash_bucket(2, *k, seed=seed + 1) == 0) & email.isNotNull(),
-                F.regexp_replace(email, "@", F.concat(digit_e, F.lit("@"))),
-            ).otherwise(email),
-        )
-        .withColumn(
-            phone_col,
-            F.when(
-                (hash_bucket(2, *k, seed=seed + 3) == 0) & phone.isNotNull(),
-                F.concat(F.expr(f"substr({phone_col}, 1, length({phone_col}) - 1)"), digit_p),
-            ).otherwise(phone),
-        )
-        .withColumn(label_col, F.lit(label))
-    )
-    return df.unionByName(dups)
+    marked = F.regexp_replace(email, "@", F.concat(digit_e, F.lit("@")))
+    redialled = F.concat(F.expr(f"substr({phone_col}, 1, length({phone_col}) - 1)"), digit_p)
+    return {
+        id_col: new_id,
+        email_col: F.when((hash_bucket(2, *k, seed=seed + 1) == 0) & email.isNotNull(), marked).otherwise(email),
+        phone_col: F.when((hash_bucket(2, *k, seed=seed + 3) == 0) & phone.isNotNull(), redialled).otherwise(phone),
+        label_col: label,
+    }

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tvlens.functions.columns import HASH_BITS, ColumnLike, _c, hash_bucket, key_hash
+from tvlens.operators.selection import order_place, rank_flag, row_identity
 
 # Hash buckets of dense numbering: the top BUCKET_BITS of the hash, so buckets
 # are in hash order.  A bucket is one window group (rows / 65,536 of them); the
@@ -22,6 +23,9 @@ from tvlens.functions.columns import HASH_BITS, ColumnLike, _c, hash_bucket, key
 BUCKET_BITS = 16
 # Largest number of copies one task expands in the dense index.
 EXPAND_CHUNK = 1_000_000
+# Parts of a table in key order, found in two steps of PART_STEP.
+PART_STEP = 32
+PARTS = PART_STEP * PART_STEP
 
 
 def _bucket(hash_: ColumnLike) -> Column:
@@ -34,23 +38,35 @@ def _bucket_offsets(counts: DataFrame) -> DataFrame:
     return counts.select("_b", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
 
 
-def row_ordinal(df: DataFrame, key: str, name: str = "rn", ranges: int = 32) -> DataFrame:
+def row_ordinal(df: DataFrame, key: str, name: str = "rn") -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY key)`` without a global window.
 
-    Quantiles of the key (one aggregate, a scalar subquery) cut it into
-    ``ranges`` parts of about equal size; rows are numbered inside their part,
-    and a part starts after the sum of the parts before it.  Gaps in the key,
-    outliers and NULLs (last) make no difference; equal keys share a part.
+    Equal rows are collapsed to (row, multiplicity); a sketch of the order of
+    (key, hash of the row) cuts them into ``PARTS`` parts of about equal size,
+    also inside a key that holds a third of the rows; rows are numbered inside
+    their part and shifted by the sizes of the parts before it.  NULL keys
+    come last, rows with equal keys are ordered by their hash.
     """
-    shares = [i / ranges for i in range(1, ranges)]
-    bounds = df.select(F.percentile_approx(key, shares, 100 * ranges)).scalar()
-    above = [F.coalesce((F.col(key) > bounds.getItem(i)).cast("int"), F.lit(0)) for i in range(ranges - 1)]
-    part = F.when(F.col(key).isNull(), F.lit(ranges)).otherwise(sum(above[1:], above[0]))
-    tagged = df.withColumn("_b", part)
-    offsets = _bucket_offsets(tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))).drop("_n")
-    within = Window.partitionBy("_b").orderBy(F.col(key).asc_nulls_last())
-    numbered = tagged.withColumn("_r", F.row_number().over(within)).join(F.broadcast(offsets), "_b")
-    return numbered.withColumn(name, F.col("_off") + F.col("_r")).drop("_b", "_r", "_off")
+    cols = df.columns
+    rows = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    rows = rows.withColumn("_t", F.shiftrightunsigned(F.xxhash64(*cols), 1))
+    rows = rows.withColumn("_at", order_place(df, key, F.col("_t")))
+    cuts = df.select(order_place(df, key, F.shiftrightunsigned(F.xxhash64(*cols), 1)).alias("_at")).select(
+        F.percentile_approx("_at", [i / PARTS for i in range(1, PARTS)], 10 * PARTS)
+    )
+    # Two steps of PART_STEP comparisons find the part.
+    steps = F.filter("_q", lambda x, i: (i + 1) % PART_STEP == 0)
+    first = F.size(F.filter("_s", lambda x: x < F.col("_at"))) * PART_STEP
+    inside = F.filter(F.slice("_q", F.col("_f") + 1, PART_STEP - 1), lambda x: x < F.col("_at"))
+    tagged = (
+        rows.withColumn("_q", cuts.scalar())
+        .withColumn("_s", steps)
+        .withColumn("_f", F.coalesce(F.when(F.col("_s").isNotNull(), first), F.lit(0)))
+        .withColumn("_b", F.col("_f") + F.coalesce(F.when(F.col("_q").isNotNull(), F.size(inside)), F.lit(0)))
+        .drop("_q", "_s", "_f", "_at")
+    )
+    order = [F.col(key).asc_nulls_last(), F.col("_t"), *[F.col(c) for c in cols if c != key]]
+    return _numbered(tagged, order, cols, name)
 
 
 def dense_index(df: DataFrame, key: Sequence[str], name: str = "rn", seed: int = 0) -> DataFrame:
@@ -70,9 +86,13 @@ def dense_index(df: DataFrame, key: Sequence[str], name: str = "rn", seed: int =
     keys = [F.col(k) for k in key]
     others = [F.col(c) for c in cols if c not in key]
     tagged = distinct.withColumn("_h", key_hash(*key, seed=seed)).withColumn("_b", _bucket("_h"))
+    return _numbered(tagged, [F.col("_h"), *keys, *others], cols, name)
+
+
+def _numbered(tagged: DataFrame, order: Sequence[Column], cols: Sequence[str], name: str) -> DataFrame:
+    """Number rows of multiplicity ``_m`` in ``order`` inside buckets ``_b``, buckets in order."""
     offsets = _bucket_offsets(tagged.groupBy("_b").agg(F.sum("_m").alias("_n"))).drop("_n")
-    order = Window.partitionBy("_b").orderBy(F.col("_h"), *keys, *others)
-    before = F.sum("_m").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("_m").over(Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
     starts = tagged.withColumn("_before", F.coalesce(before, F.lit(0))).join(F.broadcast(offsets), "_b")
     chunk = F.lit(EXPAND_CHUNK)
     n_chunks = F.floor((F.col("_m") - F.lit(1)) / chunk).cast("int")
@@ -97,21 +117,27 @@ def group_index(df: DataFrame, group: Sequence[str], key: Sequence[str], name: s
 def first_n(df: DataFrame, n: int | Column, key: Sequence[str], seed: int = 0) -> DataFrame:
     """Exactly ``min(n, rows)`` rows picked in stable pseudo-random order.
 
-    ``QUALIFY ROW_NUMBER() OVER (ORDER BY RANDOM()) <= n`` for any ``n``.  Row
-    counts by hash bucket give the bucket in which the n-th row lies; rows of
-    the buckets before it are kept where they are, and only the rows of that
-    one bucket (1 / 65,536 of all) are numbered.
+    ``QUALIFY ROW_NUMBER() OVER (ORDER BY RANDOM()) <= n`` for any ``n``.  Of a
+    table scan the row of rank ``n`` is selected and the others are compared
+    with it.  Of other rows the counts by hash bucket give the bucket in which
+    the n-th row lies; rows of the buckets before it are kept where they are,
+    and only the rows of that one bucket (1 / 65,536 of all) are numbered.
     """
     bound = n if isinstance(n, Column) else F.lit(n)
     cols = df.columns
+    tie = row_identity(df)
+    if tie is not None:
+        flagged = rank_flag(df, key_hash(*key, seed=seed), tie, lambda rows: bound, "_pick")
+        return flagged.where("_pick").select(*cols)
     tagged = df.withColumn("_b", _bucket(key_hash(*key, seed=seed)))
     sizes = _bucket_offsets(tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")))
     last = sizes.withColumn("_want", bound).where(F.col("_off") < F.col("_want"))
-    cut = last.agg(F.max(F.struct("_b", (F.col("_want") - F.col("_off")).alias("room"))).alias("c"))
-    cut_bucket, room = cut.select("c._b").scalar(), cut.select("c.room").scalar()
-    below = tagged.where(F.col("_b") < cut_bucket).select(*cols)
-    edge = dense_index(tagged.where(F.col("_b") == cut_bucket).select(*cols), key, "_pick", seed)
-    return below.unionByName(edge.where(F.col("_pick") <= room).drop("_pick"))
+    cut = last.agg(F.max(F.struct("_b", (F.col("_want") - F.col("_off")).alias("room"))).alias("c")).scalar()
+    placed = tagged.withColumn("_cut", cut)
+    below = placed.where(F.col("_b") < F.col("_cut._b")).select(*cols)
+    edge = placed.where(F.col("_b") == F.col("_cut._b")).select(*cols, F.col("_cut.room").alias("_room"))
+    picked = dense_index(edge, key, "_pick", seed).where(F.col("_pick") <= F.col("_room"))
+    return below.unionByName(picked.select(*cols))
 
 
 def exact_sample(df: DataFrame, n: int, key: Sequence[str], seed: int = 0) -> DataFrame:

@@ -12,14 +12,12 @@ from __future__ import annotations
 import datetime as _dt
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tvlens.functions.columns import bands, cycle, hour_slot, padded, programme_key, value_map
 from tvlens.operators.generators import ad_load
-from tvlens.operators.joins import one_row_columns
-from tvlens.operators.labels import assign_quota
-from tvlens.operators.numbering import row_ordinal
+from tvlens.operators.labels import assign_quota_by_key
 
 # Reference date used by the fixtures (the driver data ends on 2024-01-30).
 FIXTURE_AS_OF = _dt.date(2024, 1, 31)
@@ -107,17 +105,24 @@ def viewing_logs(events: DataFrame, channel: str = "CH", country: str = "FR") ->
     return ad_load(logs).select(*LOG_COLUMNS)
 
 
-def quota_thresholds(count: "F.Column") -> tuple:
-    """Cumulative overlap thresholds for a table of ``count`` rows.
+def quota_ranks() -> list:
+    """(label, cumulative rank of the row count) of the overlap labels.
 
     25 % of the rows overlap, split 8:10:7 into TRIPLE / EMAIL / PHONE; every
     split is rounded half to even, the last part takes the remainder.
-    Returned as Columns over the count, so nothing is collected to the driver.
     """
-    target = F.bround(count.cast("double") * F.lit(0.25), 0)
-    triple = F.bround(target * F.lit(8.0) / F.lit(25.0), 0)
-    email = F.bround(target * F.lit(10.0) / F.lit(25.0), 0)
-    return triple.cast("long"), (triple + email).cast("long"), target.cast("long")
+
+    def target(rows: Column) -> Column:
+        return F.bround(rows.cast("double") * F.lit(0.25), 0)
+
+    def part(rows: Column, weight: float) -> Column:
+        return F.bround(target(rows) * F.lit(weight) / F.lit(25.0), 0)
+
+    return [
+        ("TRIPLE", lambda rows: part(rows, 8.0)),
+        ("EMAIL", lambda rows: part(rows, 8.0) + part(rows, 10.0)),
+        ("PHONE", target),
+    ]
 
 
 def crm(customer: DataFrame, as_of=FIXTURE_AS_OF) -> DataFrame:
@@ -125,17 +130,10 @@ def crm(customer: DataFrame, as_of=FIXTURE_AS_OF) -> DataFrame:
 
     Email is missing for 15 % (``key % 20 < 3``), phone for 20 %
     (``key % 5 = 4``); the overlap label comes from the row's ordinal in key
-    order and cumulative quotas (see :func:`quota_thresholds`).
+    order and cumulative quotas (see :func:`quota_ranks`).
     """
     key = F.col("c_custkey")
-    # Thresholds from one count, evaluated once as a scalar subquery.
-    t = one_row_columns(
-        customer.agg(F.count(F.lit(1)).alias("_n")).select(
-            *[v.alias(f"t{i}") for i, v in enumerate(quota_thresholds(F.col("_n")))]
-        )
-    )
-    bounds = [("TRIPLE", t["t0"]), ("EMAIL", t["t1"]), ("PHONE", t["t2"])]
-    labelled = assign_quota(row_ordinal(customer, "c_custkey", "_rn"), "_rn", bounds, "NONE", "overlap_type")
+    labelled = assign_quota_by_key(customer, "c_custkey", quota_ranks(), "NONE", "overlap_type")
     return labelled.select(
         key.cast("string").alias("customer_id"),
         F.when(key % F.lit(20) >= F.lit(3), F.concat(F.lit("c"), key.cast("string"), F.lit("@example.com"))).alias(
