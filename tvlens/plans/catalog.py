@@ -150,6 +150,7 @@ SURVEY_IDS: dict[str, str] = {
     "exact_sample": "L6 S13",
     "fraction_sample": "L7",
     "half_hour_slots": "R11 F6 F20",
+    "slot_grid": "R11 F20 F21",
     "variant_fields": "F26",
     "case_map": "P4 P6 P7",
     "string_funcs": "F1-F5 F7",
@@ -168,6 +169,13 @@ def all_queries() -> dict[str, Query]:
     return {name: _rounded(fn) for name, fn in out.items()}
 
 
+def registered() -> dict[str, Query]:
+    """All queries, those of the dashboard over the stored tables."""
+    from tvlens.plans.stored import STORED
+
+    return all_queries() | {name: _rounded(fn) for name, fn in STORED.items()}
+
+
 def _rounded(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return round_doubles(fn(spark, sf_dir))

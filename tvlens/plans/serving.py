@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tvlens.functions.columns import per_hour, since
+from tvlens.operators.bitmaps import count_members
 from tvlens.plans.gold import recent_logs, top_customers, top_programmes
 
 
@@ -70,13 +71,16 @@ def crm_count(crm: DataFrame) -> DataFrame:
     return crm.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def platform_kpis(daily: DataFrame, as_of, days: int | None, logs: DataFrame | None = None) -> DataFrame:
+def platform_kpis(
+    daily: DataFrame, as_of, days: int | None, logs: DataFrame | None = None, viewers: DataFrame | None = None
+) -> DataFrame:
     """KPI tiles for a period over the daily summary.
 
     ``viewer_days`` sums the daily distinct viewers (a viewer active on three
     days counts three times) and the two ``avg_of_daily_*`` columns are
-    unweighted means of daily means, as the tiles define them.  With ``logs``
-    the true number of distinct viewers of the period is added beside them.
+    unweighted means of daily means, as the tiles define them.  With ``viewers``
+    (daily bitmaps) or ``logs`` the true number of distinct viewers of the
+    period is added beside them.
     """
     kpis = _period(daily, "summary_date", as_of, days).agg(
         F.sum("total_events").alias("total_events"),
@@ -85,11 +89,13 @@ def platform_kpis(daily: DataFrame, as_of, days: int | None, logs: DataFrame | N
         F.avg("avg_bitrate").alias("avg_of_daily_bitrate"),
         F.avg("identified_viewer_rate").alias("avg_of_daily_id_rate"),
     )
+    if viewers is not None:
+        members = count_members(_period(viewers, "summary_date", as_of, days), name="unique_viewers")
+        return kpis.withColumn("unique_viewers", members.scalar())
     if logs is None:
         return kpis
     period_logs = logs if days is None else recent_logs(logs, as_of, days)
-    viewers = period_logs.select(F.count_distinct("customer_id")).scalar()
-    return kpis.withColumn("unique_viewers", viewers)
+    return kpis.withColumn("unique_viewers", period_logs.select(F.count_distinct("customer_id")).scalar())
 
 
 def daily_trend(daily: DataFrame, as_of, days: int | None) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tvlens.plans import gold
+from tvlens.sources import versions
 
 VIEW_NAMES = (
     "customer_360",
@@ -60,11 +61,10 @@ def publish_gold(
 ) -> dict[str, DataFrame]:
     """Build the analytics layer: materialise the daily summary, register views.
 
-    The daily summary is written once (replaced, partitioned by date so
-    period filters prune files) and the serving views read the written table;
-    every other view stays lazy, recomputed on read.
+    The daily summary is written once (a new version that replaces the last
+    one as a whole, partitioned by date so that period filters prune files) and
+    the serving views read the written table; every other view stays lazy,
+    recomputed on read.
     """
-    daily = gold.daily_summary(logs, last_updated)
-    daily.write.mode("overwrite").partitionBy("summary_date").parquet(daily_path)
-    stored = spark.read.parquet(daily_path)
-    return register_views(spark, crm, logs, as_of, daily=stored.select(*daily.columns))
+    versions.replace(gold.daily_summary(logs, last_updated), daily_path, ["summary_date"])
+    return register_views(spark, crm, logs, as_of, daily=versions.read(spark, daily_path))

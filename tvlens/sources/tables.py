@@ -74,9 +74,9 @@ def viewing_logs(events: DataFrame, channel: str = "CH", country: str = "FR") ->
     ``customer_id`` is NULL for sign-ups, watch time (and with it ad load) for
     errors; ``device`` is the event's JSON ``props`` text.
     """
-    k = F.get_json_object("props", "$.k").cast("int")
-    value = F.col("value")
-    logs = events.select(
+    k, value = F.col("_k"), F.col("value")
+    # Used several times, so it stays a column of its own and is parsed once.
+    logs = events.withColumn("_k", F.get_json_object("props", "$.k").cast("int")).select(
         F.col("event_id").cast("string").alias("log_id"),
         F.lit(channel).alias("channel"),
         F.col("ts").cast("timestamp_ntz").alias("event_time"),
