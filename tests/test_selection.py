@@ -89,8 +89,8 @@ def test_row_identity_only_where_rows_come_from_files(spark):
 def test_a_bound_outside_its_bracket_is_an_error(spark, tmp_path, monkeypatch):
     """A sketch that lies must not give a wrong label."""
     df = stored(spark, tmp_path, [(i, 0) for i in range(1000)])
-    real = F.percentile_approx
-    monkeypatch.setattr(selection.F, "percentile_approx", lambda c, q, a: F.transform(real(c, q, a), lambda x: F.lit(3.5)))
+    real = selection.quantiles
+    monkeypatch.setattr(selection, "quantiles", lambda c, q, a: f"transform({real(c, q, a)}, x -> 3.5D)")
     out = selection.rank_flag(df, F.col("k"), selection.row_identity(df), fixed(500), "first")
     with pytest.raises(Exception, match="outside its bracket"):
         out.collect()

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from tvlens.functions.columns import ColumnLike, _c
 
+# Sums that share an unpivoted row.
+SUMS_A_ROW = 4
 # Copies of a NULL key, so that rows that cannot match share no task.
 NULL_SPREAD = 4096
 
@@ -67,34 +69,44 @@ def grouped_values(
     """One scan of ``df`` for sums, modes, medians and distinct counts.
 
     Every row is unpivoted into one row for each named value (tag, value as
-    text) and one for its sums; a hash aggregate with fixed-size state counts
-    rows by (keys, tag, value) and is combined before the shuffle, so a hot
-    group ships its distinct values only.  The result, a row for each distinct
-    value, has keys, ``_tag``, ``_value``, ``_n``, the sums ``s_*`` with their
-    counts ``c_*`` and the extremes ``_first`` / ``_last`` of ``span`` (filled
-    for the tag ``''`` only).  The ``value_*`` aggregates below fold it
-    into groups.
+    text) and one for every ``SUMS_A_ROW`` sums, so that rows and aggregation
+    buffers stay narrow; a hash aggregate with fixed-size state counts rows by
+    (keys, tag, value) and is combined before the shuffle, so a hot group ships
+    its distinct values only.  The result, a row for each distinct value, has
+    keys, ``_tag``, ``_value``, ``_n``, the sums ``s_*`` with their counts
+    ``c_*`` and the extremes ``_first`` / ``_last`` of ``span`` (filled for the
+    tag ``''`` only).  The ``value_*`` aggregates below fold it into groups.
     """
-    null_sums = [F.lit(None).cast("double").alias(f"s_{n}") for n in sums]
-    null_span = [F.lit(None).cast("timestamp_ntz").alias("_t")] if span is not None else []
-    base = F.struct(
-        F.lit("").alias("_tag"),
-        F.lit(None).cast("string").alias("_value"),
-        *[c.cast("double").alias(f"s_{n}") for n, c in sums.items()],
-        *([span.alias("_t")] if span is not None else []),
-    )
-    tagged = [
-        F.struct(F.lit(tag).alias("_tag"), c.cast("string").alias("_value"), *null_sums, *null_span)
-        for tag, c in values.items()
-    ]
-    rows = df.select(*keys, F.explode(F.array(base, *tagged)).alias("_v")).select(*keys, "_v.*")
-    rows = rows.where((F.col("_tag") == "") | F.col("_value").isNotNull())
-    return rows.groupBy(*keys, "_tag", "_value").agg(
+    names = list(sums)
+    chunks = [names[i : i + SUMS_A_ROW] for i in range(0, len(names), SUMS_A_ROW)] or [[]]
+    width = len(chunks[0])
+    no_sum, no_time = F.lit(None).cast("double"), F.lit(None).cast("timestamp_ntz")
+
+    def row(tag: str, value: Column, measured: Sequence[str], time: Column) -> Column:
+        x = [sums[n].cast("double") for n in measured] + [no_sum] * (width - len(measured))
+        fields = [F.lit(tag).alias("_tag"), value.alias("_value"), *[c.alias(f"_x{i}") for i, c in enumerate(x)]]
+        return F.struct(*fields, *([time.alias("_t")] if span is not None else []))
+
+    measures = [row("", F.lit(str(i)), c, span if i == 0 and span is not None else no_time) for i, c in enumerate(chunks)]
+    tagged = [row(tag, c.cast("string"), [], no_time) for tag, c in values.items()]
+    rows = df.select(*keys, F.inline(F.array(*measures, *tagged))).where(F.col("_value").isNotNull())
+    counted = rows.groupBy(*keys, "_tag", "_value").agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.sum(f"s_{n}").alias(f"s_{n}") for n in sums],
-        *[F.count(f"s_{n}").alias(f"c_{n}") for n in sums],
+        *[f(f"_x{i}").alias(f"{p}{i}") for i in range(width) for f, p in ((F.sum, "_s"), (F.count, "_c"))],
         *([F.min("_t").alias("_first"), F.max("_t").alias("_last")] if span is not None else []),
     )
+    place = {n: (str(i), k) for i, c in enumerate(chunks) for k, n in enumerate(c)}
+    own = [
+        f"CASE WHEN _tag = '' AND _value = '{place[n][0]}' THEN _{p}{place[n][1]} END AS `{p}_{n}`" for n in names for p in "sc"
+    ]
+    return counted.selectExpr(
+        *[f"`{k}`" for k in keys],
+        "_tag",
+        "_value",
+        "CASE WHEN _tag <> '' OR _value = '0' THEN _n END AS _n",
+        *own,
+        *(["_first", "_last"] if span is not None else []),
+    )
 
 
 # Aggregates over the rows of ``grouped_values``, grouped by its keys.

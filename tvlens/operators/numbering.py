@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tvlens.functions.columns import HASH_BITS, ColumnLike, _c, hash_bucket, key_hash
-from tvlens.operators.selection import order_place, rank_flag, row_identity
+from tvlens.operators.selection import place_of, quantiles, rank_flag, row_identity
 
 # Hash buckets of dense numbering: the top BUCKET_BITS of the hash, so buckets
 # are in hash order.  A bucket is one window group (rows / 65,536 of them); the
@@ -48,22 +48,21 @@ def row_ordinal(df: DataFrame, key: str, name: str = "rn") -> DataFrame:
     come last, rows with equal keys are ordered by their hash.
     """
     cols = df.columns
-    rows = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-    rows = rows.withColumn("_t", F.shiftrightunsigned(F.xxhash64(*cols), 1))
-    rows = rows.withColumn("_at", order_place(df, key, F.col("_t")))
-    cuts = df.select(order_place(df, key, F.shiftrightunsigned(F.xxhash64(*cols), 1)).alias("_at")).select(
-        F.percentile_approx("_at", [i / PARTS for i in range(1, PARTS)], 10 * PARTS)
+    tie = F.shiftrightunsigned(F.xxhash64(*cols), 1)
+    rows = place_of(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m")).withColumn("_t", tie), key)
+    sketch = place_of(df.withColumn("_t", tie), key).selectExpr(
+        f"{quantiles('_at', [i / PARTS for i in range(1, PARTS)], 10 * PARTS)} AS q"
+    )
+    # Two steps of PART_STEP comparisons find the part; an empty table has no cuts.
+    none = "CAST(array() AS ARRAY<DOUBLE>)"
+    cuts = sketch.selectExpr(
+        f"named_struct('q', coalesce(q, {none}), 's', coalesce(filter(q, (x, i) -> (i + 1) % {PART_STEP} = 0), {none})) AS c"
     )
-    # Two steps of PART_STEP comparisons find the part.
-    steps = F.filter("_q", lambda x, i: (i + 1) % PART_STEP == 0)
-    first = F.size(F.filter("_s", lambda x: x < F.col("_at"))) * PART_STEP
-    inside = F.filter(F.slice("_q", F.col("_f") + 1, PART_STEP - 1), lambda x: x < F.col("_at"))
     tagged = (
-        rows.withColumn("_q", cuts.scalar())
-        .withColumn("_s", steps)
-        .withColumn("_f", F.coalesce(F.when(F.col("_s").isNotNull(), first), F.lit(0)))
-        .withColumn("_b", F.col("_f") + F.coalesce(F.when(F.col("_q").isNotNull(), F.size(inside)), F.lit(0)))
-        .drop("_q", "_s", "_f", "_at")
+        rows.withColumn("_c", cuts.scalar())
+        .selectExpr("*", f"size(filter(_c.s, x -> x < _at)) * {PART_STEP} AS _f")
+        .selectExpr("*", f"_f + size(filter(slice(_c.q, _f + 1, {PART_STEP - 1}), x -> x < _at)) AS _b")
+        .drop("_c", "_f", "_at")
     )
     order = [F.col(key).asc_nulls_last(), F.col("_t"), *[F.col(c) for c in cols if c != key]]
     return _numbered(tagged, order, cols, name)

@@ -68,95 +68,105 @@ def order_key(df: DataFrame, key: Column) -> Column:
     raise TypeError(f"no exact order number for {kind.simpleString()}")
 
 
-def _place(key: Column, tie: Column) -> Column:
-    """A double that never falls along the order of (key, tie)."""
-    part = tie.cast("double") / F.lit(2.0**63)
-    return F.when(key.isNull(), F.lit(1e300) * (F.lit(1.0) + part)).otherwise(key.cast("double") + part)
+# Expressions are given as text where they are long: every function call of the
+# Column API is a round trip to the JVM, and a plan may be built for a query
+# that then prunes the label.
+#: A double that never falls along the order of (key, tie).
+_PLACE = "CASE WHEN key IS NULL THEN 1e300D * (1D + tie / 9.223372036854775808e18D) ELSE CAST(key AS DOUBLE) + tie / 9.223372036854775808e18D END"
 
 
-def order_place(df: DataFrame, key: str, tie: Column) -> Column:
-    """A double that never falls along the order of (key, tie), NULL keys last;
-    for keys that are no whole numbers along the order of the key."""
+def place_of(df: DataFrame, key: str, name: str = "_at", tie: str = "_t") -> DataFrame:
+    """Add a double that never falls along the order of (key, tie), NULL keys
+    last; for keys that are no whole numbers along the order of the key."""
     try:
-        return _place(order_key(df, F.col(key)), tie)
+        keyed = df.withColumn("_key", order_key(df, F.col(key)))
     except TypeError:
-        return F.coalesce(F.col(key).cast("double"), F.lit(float("inf")))
+        return df.withColumn(name, F.coalesce(F.col(key).cast("double"), F.lit(float("inf"))))
+    return keyed.selectExpr(*_names(df), f"{_PLACE.replace('key', '_key').replace('tie', tie)} AS {name}")
 
 
-def _brackets(df: DataFrame, key: Column, tie: Column, among: Column, ranks: Sequence[Rank]) -> Column:
+def _names(df: DataFrame) -> list[str]:
+    return [f"`{c}`" for c in df.columns]
+
+
+def quantiles(column: str, shares: Sequence[float], accuracy: int) -> str:
+    return f"percentile_approx({column}, array({', '.join(f'{s!r}D' for s in shares)}), {accuracy})"
+
+
+def _brackets(rows: DataFrame, ranks: Sequence[Rank]) -> Column:
     """Array of (rank, low, high), one for each rank: bounds of the place of its row."""
-    grid = [i / GRID for i in range(GRID + 1)]
-    sketch = df.select(F.when(among, _place(key, tie)).alias("at")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count("at").alias("n"),
-        F.percentile_approx("at", grid, ACCURACY).alias("q"),
+    sketch = rows.selectExpr("CASE WHEN among THEN at END AS at").selectExpr(
+        "count(1) AS rows", "count(at) AS n", f"{quantiles('at', [i / GRID for i in range(GRID + 1)], ACCURACY)} AS q"
     )
-    edge = float("inf")
-
     wanted = [F.least(rank(F.col("rows")).cast("bigint"), F.col("n")).alias(f"r{i}") for i, rank in enumerate(ranks)]
-    sketch = sketch.select("n", "q", *wanted)
-
-    def bracket(r: Column) -> Column:
-        share = r / F.col("n") * GRID
-        low, high = F.floor(share).cast("int") - 1, F.ceil(share).cast("int") + 1
-        return F.struct(
-            r.alias("rank"),
-            F.when(low < 0, -edge).otherwise(F.get("q", low)).alias("low"),
-            F.when(high > GRID, edge).otherwise(F.get("q", high)).alias("high"),
+
+    def bracket(r: str) -> str:
+        low, high = f"CAST(floor({r} / n * {GRID}) AS INT) - 1", f"CAST(ceil({r} / n * {GRID}) AS INT) + 1"
+        return (
+            f"named_struct('rank', {r}, 'low', CASE WHEN {low} < 0 THEN -double('infinity') ELSE get(q, {low}) END, "
+            f"'high', CASE WHEN {high} > {GRID} THEN double('infinity') ELSE get(q, {high}) END)"
         )
 
-    found = F.when(F.col("n") > 0, F.array(*[bracket(F.col(f"r{i}")) for i in range(len(ranks))]))
-    return sketch.select(found.alias("brackets")).scalar()
+    each = ", ".join(bracket(f"r{i}") for i in range(len(ranks)))
+    return sketch.select("n", "q", *wanted).selectExpr(f"CASE WHEN n > 0 THEN array({each}) END AS brackets").scalar()
 
 
 def bound_rows(df: DataFrame, key: Column, tie: Column, ranks: Sequence[Rank], among: Column | None = None) -> Column:
     """Map of rank number -> (key, tie) of its row, as one scalar subquery.
 
     To be kept in a column and used from there, so that it stands in the plan
-    once.
-
-    Only rows for which ``among`` holds have an order; each rank is a function
-    of the number of all rows.  A rank below 1 has no entry, one beyond the
-    last row that row's."""
+    once.  Only rows for which ``among`` holds have an order; each rank is a
+    function of the number of all rows.  A rank below 1 has no entry, one beyond
+    the last row that row's."""
     among = F.lit(True) if among is None else F.coalesce(among, F.lit(False))
-    key = order_key(df, key)
     # No filter on ``among``: pushed down, it would repeat what the column is computed from.
-    rows = df.select(key.alias("key"), tie.alias("tie"), among.alias("among"))
-    rows = rows.withColumn("at", _place(F.col("key"), F.col("tie")))
-    at = F.col("at")
+    rows = df.select(order_key(df, key).alias("key"), tie.alias("tie"), among.alias("among"))
+    rows = rows.selectExpr("*", f"{_PLACE} AS at")
 
-    def seen(i: int) -> Column:
+    def seen(i: int) -> str:
         """A row as a bracket sees it: before (no key, no tie), inside, or not at all."""
-        b = F.col("brackets")[i]
-        inside = at >= b["low"]
-        row = F.struct(
-            F.lit(i).alias("i"),
-            b["rank"].alias("rank"),
-            inside.alias("inside"),
-            F.when(inside, F.col("key")).alias("key"),
-            F.when(inside, F.col("tie")).alias("tie"),
+        b = f"brackets[{i}]"
+        inside = f"at >= {b}.low"
+        return (
+            f"CASE WHEN among AND at <= {b}.high AND {b}.rank > 0 THEN named_struct('i', {i}, 'rank', {b}.rank, "
+            f"'inside', {inside}, 'key', CASE WHEN {inside} THEN key END, 'tie', CASE WHEN {inside} THEN tie END) END"
         )
-        return F.when(F.col("among") & (at <= b["high"]) & (b["rank"] > 0), row)
 
-    each = F.array_compact(F.array(*[seen(i) for i in range(len(ranks))]))
-    counted = (
-        rows.withColumn("brackets", _brackets(df, key, tie, among, ranks))
-        .select(F.explode(each).alias("s")).select("s.*")
-        .groupBy("i", "rank", "inside", "key", "tie").agg(F.count(F.lit(1)).alias("n"))
-    )
-    order = Window.partitionBy("i").orderBy("inside", F.col("key").asc_nulls_last(), "tie")
-    upto = counted.withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    is_bound = F.col("inside") & (F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank"))
-    missing = F.raise_error(F.lit("a rank is outside its bracket")).cast("struct<key: bigint, tie: bigint>")
-    bounds = upto.groupBy("i").agg(F.coalesce(F.max(F.when(is_bound, F.struct("key", "tie"))), missing).alias("bound"))
-    return bounds.agg(F.map_from_entries(F.collect_list(F.struct("i", "bound"))).alias("m")).scalar()
+    each = ", ".join(seen(i) for i in range(len(ranks)))
+    upto = (
+        rows.withColumn("brackets", _brackets(rows, ranks))
+        .selectExpr(f"explode(array_compact(array({each}))) AS s")
+        .selectExpr("s.*")
+        .groupBy("i", "rank", "inside", "key", "tie")
+        .agg(F.expr("count(1) AS n"))
+        .selectExpr(
+            "*",
+            "sum(n) OVER (PARTITION BY i ORDER BY inside, key ASC NULLS LAST, tie "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto",
+        )
+    )
+    bound = "max(CASE WHEN inside AND upto >= rank AND upto - n < rank THEN named_struct('key', key, 'tie', tie) END)"
+    missing = "CAST(raise_error('a rank is outside its bracket') AS STRUCT<key: BIGINT, tie: BIGINT>)"
+    bounds = upto.groupBy("i").agg(F.expr(f"coalesce({bound}, {missing}) AS bound"))
+    return bounds.selectExpr("map_from_entries(collect_list(struct(i, bound))) AS m").scalar()
+
+
+def _reached(i: int) -> str:
+    """Whether a row (_key, _tie) is at or before bound ``i`` of ``_bounds`` (False without one)."""
+    b = f"try_element_at(_bounds, {i})"
+    return (
+        f"coalesce(CASE WHEN {b} IS NULL THEN false WHEN _key IS NULL THEN {b}.key IS NULL AND _tie <= {b}.tie "
+        f"ELSE {b}.key IS NULL OR _key < {b}.key OR (_key = {b}.key AND _tie <= {b}.tie) END, false)"
+    )
 
 
-def at_or_before(key: Column, tie: Column, bound: Column) -> Column:
-    """Whether a row is at or before a bound of :func:`bound_rows` (False without one)."""
-    within_key = F.when(key.isNull(), bound["key"].isNull()).otherwise(F.coalesce(key == bound["key"], F.lit(False)))
-    before = key.isNotNull() & F.coalesce(key < bound["key"], F.lit(True))
-    return bound.isNotNull() & (before | (within_key & (tie <= bound["tie"])))
+def _compared(
+    df: DataFrame, key: Column, tie: Column, ranks: Sequence[Rank], among: Column | None, name: str, text: str
+) -> DataFrame:
+    """Add ``name``, an expression over the bounds, the row's key and tie, and ``_among``."""
+    own = {"_bounds": bound_rows(df, key, tie, ranks, among), "_key": order_key(df, key), "_tie": tie}
+    own["_among"] = F.lit(True) if among is None else F.coalesce(among, F.lit(False))
+    return df.withColumns(own).selectExpr(*_names(df), f"{text} AS `{name}`")
 
 
 def rank_labels(
@@ -170,18 +180,11 @@ def rank_labels(
 ) -> DataFrame:
     """Add ``name``: the label of the first rank that reaches the row in key
     order, else ``default``; rows outside ``among`` get the default too."""
-    number = order_key(df, key)
-    out = F.lit(default)
-    for i, (label, _) in reversed(list(enumerate(ranks))):
-        out = F.when(at_or_before(number, tie, F.try_element_at("_bounds", F.lit(i))), label).otherwise(out)
-    out = out if among is None else F.when(among, out).otherwise(F.lit(default))
-    bounds = bound_rows(df, key, tie, [r for _, r in ranks], among)
-    return df.withColumn("_bounds", bounds).withColumn(name, out).drop("_bounds")
+    text = lambda v: "NULL" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    cases = " ".join(f"WHEN _among AND {_reached(i)} THEN {text(label)}" for i, (label, _) in enumerate(ranks))
+    return _compared(df, key, tie, [r for _, r in ranks], among, name, f"CASE {cases} ELSE {text(default)} END")
 
 
 def rank_flag(df: DataFrame, key: Column, tie: Column, rank: Rank, name: str, among: Column | None = None) -> DataFrame:
     """Add ``name``: whether the row is one of the first ``rank`` rows in key order."""
-    number, wanted = order_key(df, key), F.lit(True) if among is None else F.coalesce(among, F.lit(False))
-    bounds = bound_rows(df, key, tie, [rank], among)
-    flag = wanted & at_or_before(number, tie, F.try_element_at("_bounds", F.lit(0)))
-    return df.withColumn("_bounds", bounds).withColumn(name, F.coalesce(flag, F.lit(False))).drop("_bounds")
+    return _compared(df, key, tie, [rank], among, name, f"_among AND {_reached(0)}")

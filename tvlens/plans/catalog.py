@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from tvlens.operators.overlap import overlap_ratio
@@ -40,14 +39,9 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     outputs in both engines (Spark's own ``round(x, d)`` rounds the decimal
     form and can differ at half-way points).
     """
-    scale = F.lit(float(10**digits))
-    cols = [
-        (F.round(F.col(f.name) * scale) / scale).alias(f.name)
-        if isinstance(f.dataType, (DoubleType, FloatType))
-        else F.col(f.name)
-        for f in df.schema.fields
-    ]
-    return df.select(*cols)
+    scale = f"{float(10**digits)}D"
+    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))}
+    return df.selectExpr(*[f"round(`{c}` * {scale}) / {scale} AS `{c}`" if c in doubles else f"`{c}`" for c in df.columns])
 
 
 _logs = shared_logs

@@ -100,8 +100,7 @@ def gold_session(spark: SparkSession, sf: str) -> tuple[SparkSession, str]:
     tables = {"crm": f"{database}.crm", "logs": f"{database}.viewing_logs", "daily": f"{database}.stored_daily"}
     versions.name_version(spark, f"{root}/crm", tables["crm"])
     versions.name_version(spark, f"{root}/daily_summary", tables["daily"])
-    log_text = view_sql.LOG_VIEW.format(path=f"{sf}/events.parquet")
-    spark.sql(f"CREATE OR REPLACE VIEW {tables['logs']} AS {log_text}")
+    spark.sql(f"CREATE OR REPLACE VIEW {tables['logs']} AS {view_sql.log_view(f'{sf}/events.parquet')}")
     view_sql.create_views(spark, database, tables, AS_OF)
     return spark.newSession(), database
 

@@ -15,7 +15,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tvlens.functions.columns import bands, cycle, hour_slot, padded, programme_key, value_map
+from tvlens.functions.columns import padded
 from tvlens.operators.generators import ad_load
 from tvlens.operators.labels import assign_quota_by_key
 
@@ -68,40 +68,54 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def _below(column: str, bounds, other: str) -> str:
+    """CASE text: the first bound above the column, ``other`` beyond the last, NULL for NULL."""
+    cases = " ".join(f"WHEN {column} < {top} THEN '{name}'" for top, name in bounds)
+    return f"CASE {cases} WHEN {column} IS NOT NULL THEN '{other}' END"
+
+
+def _mapped(column: str, mapping, other: str) -> str:
+    return f"CASE {column} {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())} ELSE '{other}' END"
+
+
+def log_rules(channel: str = "CH", country: str = "FR") -> dict[str, str]:
+    """The log columns as SQL text over an event's columns and ``_k``, the ``k`` of its properties."""
+    return {
+        "log_id": "CAST(event_id AS STRING)",
+        "channel": f"'{channel}'",
+        "event_time": "CAST(ts AS TIMESTAMP_NTZ)",
+        "slot_start_time": "CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ)",
+        "programme_id": f"concat('{channel}-', date_format(ts, 'yyyyMMdd-HH'))",
+        "customer_id": f"CASE WHEN event_type <> '{ANONYMOUS_TYPE}' THEN CAST(user_id AS STRING) END",
+        "device_type": _below("_k", DEVICE_BELOW, DEVICE_OTHER),
+        "os_name": _below("value", [(f"{top}D", name) for top, name in SYSTEM_BELOW], SYSTEM_OTHER),
+        "connection_type": _mapped("event_type", NETWORKS, NETWORK_OTHER),
+        "bitrate_kbps": "CAST(500 + floor(value * 40D) AS BIGINT)",
+        "buffer_events": "CAST(floor(_k / 12) AS BIGINT)",
+        "rebuffer_ratio": "value / 1000D",
+        "watch_seconds": f"CASE WHEN event_type <> '{UNWATCHED_TYPE}' THEN CAST(floor(value * 60D) AS BIGINT) END",
+        "event_type": _mapped("event_type", LOG_EVENTS, LOG_EVENT_OTHER),
+        "ip_address": "concat_ws('.', '10', _k, user_id % 256, event_id % 256)",
+        "isp": "concat('isp-', CAST(_k % 5 AS STRING))",
+        "country": f"'{country}'",
+        "region": "concat('region_', CAST(floor(value) % 8 AS STRING))",
+        "city": "concat('city_', CAST(user_id % 25 AS STRING))",
+        "device": "props",
+    }
+
+
+#: The ``k`` of an event's properties; a column of its own, so that it is parsed once.
+EVENT_K = "CAST(get_json_object(props, '$.k') AS INT)"
+
+
 def viewing_logs(events: DataFrame, channel: str = "CH", country: str = "FR") -> DataFrame:
     """The viewing-log table: one row for each event, all users kept.
 
     ``customer_id`` is NULL for sign-ups, watch time (and with it ad load) for
     errors; ``device`` is the event's JSON ``props`` text.
     """
-    k, value = F.col("_k"), F.col("value")
-    # Used several times, so it stays a column of its own and is parsed once.
-    logs = events.withColumn("_k", F.get_json_object("props", "$.k").cast("int")).select(
-        F.col("event_id").cast("string").alias("log_id"),
-        F.lit(channel).alias("channel"),
-        F.col("ts").cast("timestamp_ntz").alias("event_time"),
-        hour_slot("ts").alias("slot_start_time"),
-        programme_key(f"{channel}-", "ts").alias("programme_id"),
-        F.when(F.col("event_type") != ANONYMOUS_TYPE, F.col("user_id").cast("string")).alias("customer_id"),
-        F.when(k.isNotNull(), bands([(k < top, name) for top, name in DEVICE_BELOW], DEVICE_OTHER)).alias("device_type"),
-        F.when(value.isNotNull(), bands([(value < top, name) for top, name in SYSTEM_BELOW], SYSTEM_OTHER)).alias(
-            "os_name"
-        ),
-        value_map("event_type", NETWORKS, NETWORK_OTHER).alias("connection_type"),
-        (F.lit(500) + F.floor(value * F.lit(40.0))).cast("long").alias("bitrate_kbps"),
-        F.floor(k / F.lit(12)).cast("long").alias("buffer_events"),
-        (value / F.lit(1000.0)).alias("rebuffer_ratio"),
-        F.when(F.col("event_type") != UNWATCHED_TYPE, F.floor(value * F.lit(60.0)).cast("long")).alias("watch_seconds"),
-        value_map("event_type", LOG_EVENTS, LOG_EVENT_OTHER).alias("event_type"),
-        F.concat_ws(".", F.lit("10"), k, F.col("user_id") % F.lit(256), F.col("event_id") % F.lit(256)).alias(
-            "ip_address"
-        ),
-        F.concat(F.lit("isp-"), (k % F.lit(5)).cast("string")).alias("isp"),
-        F.lit(country).alias("country"),
-        F.concat(F.lit("region_"), (F.floor(value) % F.lit(8)).cast("string")).alias("region"),
-        F.concat(F.lit("city_"), (F.col("user_id") % F.lit(25)).cast("string")).alias("city"),
-        F.col("props").alias("device"),
-    )
+    rules = log_rules(channel, country)
+    logs = events.selectExpr("*", f"{EVENT_K} AS _k").selectExpr(*[f"{text} AS {name}" for name, text in rules.items()])
     return ad_load(logs).select(*LOG_COLUMNS)
 
 
@@ -132,20 +146,17 @@ def crm(customer: DataFrame, as_of=FIXTURE_AS_OF) -> DataFrame:
     (``key % 5 = 4``); the overlap label comes from the row's ordinal in key
     order and cumulative quotas (see :func:`quota_ranks`).
     """
-    key = F.col("c_custkey")
     labelled = assign_quota_by_key(customer, "c_custkey", quota_ranks(), "NONE", "overlap_type")
-    return labelled.select(
-        key.cast("string").alias("customer_id"),
-        F.when(key % F.lit(20) >= F.lit(3), F.concat(F.lit("c"), key.cast("string"), F.lit("@example.com"))).alias(
-            "email"
-        ),
-        F.when(key % F.lit(5) != F.lit(4), F.concat(F.lit("06 "), padded(key, 8))).alias("phone"),
-        F.col("c_name").alias("first_name"),
-        F.concat(F.lit("nation-"), F.col("c_nationkey").cast("string")).alias("last_name"),
-        cycle(key, ("Male", "Female")).alias("gender"),
-        F.concat(F.lit("profession-"), (key % F.lit(8)).cast("string")).alias("profession"),
-        F.date_sub(F.lit(as_of).cast("date"), (key * F.lit(37) % F.lit(3651)).cast("int")).alias("date_joined"),
-        value_map("c_mktsegment", SEGMENT_LEVELS, UNKNOWN_LEVEL).alias("subscription_level"),
+    return labelled.selectExpr(
+        "CAST(c_custkey AS STRING) AS customer_id",
+        "CASE WHEN c_custkey % 20 >= 3 THEN concat('c', CAST(c_custkey AS STRING), '@example.com') END AS email",
+        "CASE WHEN c_custkey % 5 <> 4 THEN concat('06 ', lpad(CAST(c_custkey AS STRING), 8, '0')) END AS phone",
+        "c_name AS first_name",
+        "concat('nation-', CAST(c_nationkey AS STRING)) AS last_name",
+        "CASE pmod(c_custkey, 2) WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' END AS gender",
+        "concat('profession-', CAST(c_custkey % 8 AS STRING)) AS profession",
+        f"date_sub(DATE'{as_of}', CAST(c_custkey * 37 % 3651 AS INT)) AS date_joined",
+        f"{_mapped('c_mktsegment', SEGMENT_LEVELS, UNKNOWN_LEVEL)} AS subscription_level",
         "overlap_type",
     )
 
