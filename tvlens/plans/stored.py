@@ -92,16 +92,19 @@ def gold_session(spark: SparkSession, sf: str) -> tuple[SparkSession, str]:
     The CRM and the daily summary are stored tables with names; the logs are a
     view over the event file.
     """
-    root = _root(spark, sf)
+    root, marks = _root(spark, sf), [_mark(spark, sf, t) for t in ("customer", "events")]
     serving_tables(spark, sf)
-    _kept(spark, f"{root}/crm", _mark(spark, sf, "customer"), lambda: shared_crm(spark, sf))
-    database = "tvlens_" + os.path.basename(root).replace("-", "_")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/catalog'")
-    tables = {"crm": f"{database}.crm", "logs": f"{database}.viewing_logs", "daily": f"{database}.stored_daily"}
-    versions.name_version(spark, f"{root}/crm", tables["crm"])
-    versions.name_version(spark, f"{root}/daily_summary", tables["daily"])
-    spark.sql(f"CREATE OR REPLACE VIEW {tables['logs']} AS {view_sql.log_view(f'{sf}/events.parquet')}")
-    view_sql.create_views(spark, database, tables, AS_OF)
+    _kept(spark, f"{root}/crm", marks[0], lambda: shared_crm(spark, sf))
+    # One database for each state of the source tables; its last view tells that it is complete.
+    name = hashlib.sha256("".join([root, *marks]).encode()).hexdigest()[:16]
+    database = f"tvlens_{name}"
+    if not spark.catalog.tableExists(f"{database}.{list(view_sql.VIEWS)[-1]}"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/catalog-{name}'")
+        tables = {"crm": f"{database}.crm", "logs": f"{database}.viewing_logs", "daily": f"{database}.stored_daily"}
+        versions.name_version(spark, f"{root}/crm", tables["crm"])
+        versions.name_version(spark, f"{root}/daily_summary", tables["daily"])
+        spark.sql(f"CREATE OR REPLACE VIEW {tables['logs']} AS {view_sql.log_view(f'{sf}/events.parquet')}")
+        view_sql.create_views(spark, database, tables, AS_OF)
     return spark.newSession(), database
 
 
