@@ -6,7 +6,7 @@ from itertools import permutations
 import duckdb
 import numpy as np
 import pytest
-from tests.llm.support import ODD, SF, docs
+from llm.support import ODD, SF, docs
 
 from tvlens.llm import filter_audit as fa
 from tvlens.llm.queries import QUERIES

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from tests.llm.support import SF
+from llm.support import SF
 
 from tvlens.llm import hard_negatives as hn
 from tvlens.llm.queries import QUERIES

@@ -54,3 +54,16 @@ def test_defined_cases(spark):
     empty = langid.train(docs(spark, []), "text", "lang")
     assert {r.lang_pred for r in langid.identify(frame, empty).collect()} == {"und"}
     assert langid.identify(docs(spark, []), model).count() == 0
+
+
+def test_script_narrows_also_for_long_words():
+    """A word whose script one language admits gets that language, whatever the n-grams say."""
+    rng = np.random.default_rng(2)
+    scores = np.stack((rng.normal(-2, 1, langid.BUCKETS), rng.normal(-9, 1, langid.BUCKETS)), axis=1).astype(np.float32)
+    allowed = np.ones((langid.N_SCRIPTS, 2), bool)
+    allowed[1, 0] = False  # Latin: only bb
+    model = langid.Model(["aa", "bb"], scores, allowed)
+    for word in ("ab", "abcdefghijklmnopqrstuvwx", "z" * 3000):
+        langs, score, spans = langid.label_slice([word, f"{word} мир мир {word}"], model)
+        assert langs[0] == "bb" and score[0] > 0.99
+        assert [s["lang"] for s in spans[1]] == ["bb", "aa", "bb"]

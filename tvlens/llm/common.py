@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -49,6 +50,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system, where the C
+    library can; a worker lives on after its task, next to others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str, max_rows: int, max_bytes: int
 ) -> Iterator[pa.RecordBatch]:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tvlens.llm.common import text_slices
+from tvlens.llm.common import give_back, text_slices
 
 ORDER = 3
 GAP = ORDER - 1  # zeros after a word, so that no n-gram sees two words
@@ -47,6 +47,7 @@ BUCKETS = 1 << 16
 SWITCH_PENALTY = 12.0
 MIN_SCRIPT = 0.01
 SMOOTHING = 0.2
+FLOOR = -1e9
 UNKNOWN = "und"
 SLICE_ROWS, SLICE_BYTES = 2048, 1 << 20
 
@@ -159,6 +160,7 @@ def train(rows: DataFrame, text_col: str, lang_col: str) -> Model:
                     own += np.bincount(g, minlength=BUCKETS)
                 seen = scripts.setdefault(name, np.zeros(N_SCRIPTS, np.int64))
                 seen += np.bincount(word_script(words), words.size, N_SCRIPTS).astype(np.int64)
+        give_back()
         for kind, held in enumerate((grams, scripts)):
             for name, counts in held.items():
                 at = np.flatnonzero(counts)
@@ -188,16 +190,17 @@ def train(rows: DataFrame, text_col: str, lang_col: str) -> Model:
 
 def score_words(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """(words, languages): log scores, and which words have a candidate.
-    Languages that are no candidates for a word's script get a floor below the
-    others; a word without any scores 0 for all, so it moves no neighbour."""
+    Scores are relative to the best candidate of the word's script; the other
+    languages get a floor that no candidate reaches, however long the word.  A
+    word without any candidate scores 0 for all, so it moves no neighbour."""
     total = np.zeros((len(words.codes), len(model.languages)), np.float32)
     for g in gram_buckets(words):
         total += model.scores[g]
     out = np.add.reduceat(total, words.start, axis=0) if len(words.start) else total[:0]
     ok = model.allowed[word_script(words)]
     known = ok.any(axis=1)
-    out -= out.max(axis=1, keepdims=True, initial=-1e30)
-    return np.where(ok, out, np.minimum(out, -50.0)) * known[:, None], known
+    out -= np.where(ok, out, FLOOR).max(axis=1, keepdims=True, initial=FLOOR)
+    return np.where(ok, np.maximum(out, FLOOR / 2), np.float32(FLOOR)) * known[:, None], known
 
 
 def viterbi(scores: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
@@ -284,6 +287,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 [b.column("doc_id"), *[b.column(m) for m in more], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, pa.list_(span))],
                 ["doc_id", *more, "lang_pred", "score", "spans"],
             )
+        give_back()
 
     only = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *keep)
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in only.schema.fields if f.name != "text")

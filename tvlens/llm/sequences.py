@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tvlens.llm.common import cut_lineage, text_slices
+from tvlens.llm.common import cut_lineage, give_back, text_slices
 from tvlens.session import ensure_checkpoint_dir
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -133,6 +133,7 @@ def pack(docs: DataFrame, tokenizer: str, seq_len: int, id_col: str, text_col: s
                 yield rows(all_ids[:whole], owner[:whole])
         if len(rest):
             yield rows(rest, rest_docs)
+        give_back()
 
     only = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return only.mapInArrow(fill, PACKED)
@@ -167,6 +168,7 @@ def count_sequences(docs: DataFrame, tokenizer: str, seq_len: int, text_col: str
         encode, part, total = encoder(tokenizer).encode_to_numpy, TaskContext.get().partitionId(), 0
         for b in text_slices(batches, "text", SLICE_ROWS, SLICE_BYTES):
             total += b.num_rows + sum(len(encode(t, disallowed_special=())) for t in b.column("text").to_pylist())
+        give_back()
         if total:
             yield pa.RecordBatch.from_pydict({"part": [part], "n": [-(-total // seq_len)]})
 
