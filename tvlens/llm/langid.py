@@ -192,15 +192,17 @@ def score_words(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """(words, languages): log scores, and which words have a candidate.
     Scores are relative to the best candidate of the word's script; the other
     languages get a floor that no candidate reaches, however long the word.  A
-    word without any candidate scores 0 for all, so it moves no neighbour."""
+    word without any candidate has the floor for all, so it scores 0 for all and
+    moves no neighbour."""
     total = np.zeros((len(words.codes), len(model.languages)), np.float32)
     for g in gram_buckets(words):
         total += model.scores[g]
     out = np.add.reduceat(total, words.start, axis=0) if len(words.start) else total[:0]
     ok = model.allowed[word_script(words)]
     known = ok.any(axis=1)
-    out -= np.where(ok, out, FLOOR).max(axis=1, keepdims=True, initial=FLOOR)
-    return np.where(ok, np.maximum(out, FLOOR / 2), np.float32(FLOOR)) * known[:, None], known
+    np.copyto(out, FLOOR, where=~ok)
+    out -= out.max(axis=1, keepdims=True, initial=2 * FLOOR)
+    return out, known
 
 
 def viterbi(scores: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
