@@ -1,6 +1,6 @@
 """Summarise the executed physical plan of every registered query (manual tool).
 
-Usage: python tests/plan_report.py [sf_dir] > PLANS.md
+Usage: python tests/plan_report.py [sf_dir] [name ...]
 
 Runs each query (collect, small scale factor) so AQE plans are final, then counts shuffle
 exchanges, broadcasts, joins by kind, aggregates by kind, windows, sorts,
@@ -74,8 +74,9 @@ def main(argv):
     )
     print("| query | shuffles | single | broadcasts | joins | aggregates | windows | codegen | python | scans |")
     print("|---|---|---|---|---|---|---|---|---|---|")
-    for name, fn in entry.queries().items():
-        df = fn(spark, sf)
+    queries = entry.queries()
+    for name in argv[2:] or queries:
+        df = queries[name](spark, sf)
         df.collect()  # runs this DataFrame's own query execution, so its AQE plan is final
         s = summarise(df._jdf.queryExecution().executedPlan().toString())
         print(
