@@ -43,7 +43,7 @@ from __future__ import annotations
 
 import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -122,12 +122,8 @@ def contexts(words: list[bytes]) -> np.ndarray:
     return fold(tail & np.uint64(0xFFFF)) * 64 + fold(tail)
 
 
-def block_sheets(
-    block: int, texts: pa.Array, meta: tuple, train: np.ndarray, parts: int, before: bytes = b"", ended: bool = True
-) -> Iterator[tuple]:
-    """The rows of one block of documents, or of a piece of one.
-
-    ``before`` is the word before the piece; ``ended`` says that the text ends."""
+def word_tokens(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct words, number of each token in them, text of each token)."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     flat, n = pc.list_flatten(lists), len(texts)
     doc = np.repeat(np.arange(n), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
@@ -139,6 +135,17 @@ def block_sheets(
     place = np.empty(len(sorted_), np.int64)
     place[sorted_.to_numpy()] = np.arange(len(sorted_))
     words = coded.dictionary.take(sorted_).cast(pa.binary()).to_pylist()
+    return words, place[coded.indices.to_numpy(zero_copy_only=False)], doc
+
+
+def block_sheets(
+    block: int, texts: pa.Array, meta: tuple, train: np.ndarray, parts: int, before: bytes = b"", ended: bool = True
+) -> Iterator[tuple]:
+    """The rows of one block of documents, or of a piece of one.
+
+    ``before`` is the word before the piece; ``ended`` says that the text ends."""
+    words, token, doc = word_tokens(texts)
+    n = len(texts)
     # The end is the empty word; so is, as a context, the start.
     words.append(b"")
     after = contexts(words)
@@ -146,7 +153,6 @@ def block_sheets(
     order = np.argsort(home, kind="stable")
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
-    token = place[coded.indices.to_numpy(zero_copy_only=False)]
     first = np.concatenate(([True], doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, bool)
     context = np.where(first, contexts([before])[0], after[np.concatenate(([0], token[:-1]))]) if len(doc) else doc
     if ended:
@@ -180,14 +186,14 @@ def _small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.min_scalar_type(int(x.max(initial=0))))
 
 
-def sheets(docs: DataFrame, held_out: Column, parts: int, id_col: str, text_col: str) -> DataFrame:
+def sheets(docs: DataFrame, held_out: Column, parts: int, id_col: str, text_col: str, listed: Callable = block_sheets) -> DataFrame:
     def to_sheets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = row = TaskContext.get().partitionId() << 40
         for b in text_slices(batches, "text", BLOCK_DOCS, BLOCK_BYTES):
             train = ~b.column("held_out").to_numpy(zero_copy_only=False)
             meta = row, b.column("doc_id").to_pylist(), b.column("held_out").to_pylist()
             for texts, before, ended in _pieces(b.column("text")):
-                for sheet in block_sheets(block, texts, meta, train, parts, before, ended):
+                for sheet in listed(block, texts, meta, train, parts, before, ended):
                     yield _batch(SHEET, [sheet])
                 block += 1
             row += b.num_rows
