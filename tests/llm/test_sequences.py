@@ -51,3 +51,23 @@ def test_round_trip_and_resume(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     assert S.write_shards(docs(spark, []), str(tmp_path / "e")).collect() == []
     assert list(S.read_slots(str(tmp_path / "e"), 0, 5)) == []
+
+
+def test_pieces_are_those_of_the_given_pattern():
+    """Any white space beside a space, a word or the end."""
+    import itertools
+
+    import tiktoken
+
+    own = S.encoder(S.TOKENIZER)
+    given = tiktoken.Encoding("given", pat_str=public_tokenizers.PATTERN, mergeable_ranks=own._mergeable_ranks, special_tokens={})
+    odd = [" ", "\n", "\t", "\x1c", "\x85", "\u00a0", "\u3000", "\u200b", "a", "'s", "'S", "7", ".", "漢", "é", "<|endoftext|>"]
+    rows = [str(t or "") for t in ODD] + ["".join(x) for x in itertools.product(odd, repeat=4)]
+    ids, size = S.tokenize(rows, S.TOKENIZER)
+    want = [given.encode_ordinary(t) for t in rows]
+    assert size.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_no_python_worker_beside_the_packing_one(spark, tmp_path):
+    plan = S.write_shards(docs(spark, [(1, "a b")]), str(tmp_path / "p"))._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" not in plan and "Broadcast" not in plan

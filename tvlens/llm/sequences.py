@@ -3,8 +3,8 @@
 1. Documents are tokenized and packed, each followed by END, into sequences
    of ``seq_len`` ids; a sequence is named by its input partition and its
    number there.
-2. A first pass counts the sequences of every partition, which gives every
-   sequence an index in 0..N-1; a keyed Feistel permutation of that range
+2. A first pass counts the sequences of every partition (one number each goes
+   through the driver), which gives every sequence an index in 0..N-1; a keyed Feistel permutation of that range
    (cycle-walking over the next power of four) gives its global slot.  The
    ids themselves are made in a second pass: tokenizing twice is cheaper than
    keeping a second copy of all ids.  ``docs`` must therefore be a table scan
@@ -44,10 +44,10 @@ import pyarrow.fs
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tvlens.llm.common import cut_lineage, give_back, text_slices
+from tvlens.llm.common import give_back, text_slices
 from tvlens.session import ensure_checkpoint_dir
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -56,8 +56,12 @@ SEQ_LEN = 2048
 SHARD_SEQUENCES = 8192
 SLICE_ROWS, SLICE_BYTES = 4096, 2 << 20
 ROUNDS = 6
+#: The pieces of ``public_tokenizers.PATTERN`` without its steps back: runs are
+#: taken whole; where white space is followed by a word, its last character is
+#: a piece or begins one.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 
-PACKED = "part bigint, seq bigint, n_tokens int, doc_ids array<bigint>, ids binary"
+PACKED = "slot bigint, part bigint, seq bigint, n_tokens int, doc_ids array<bigint>, ids binary"
 INDEX = "slot bigint, shard bigint, offset bigint, part bigint, seq bigint, n_tokens int, doc_ids array<bigint>, checksum bigint, path string"
 
 
@@ -72,16 +76,16 @@ def encoder(name: str):
 
         with open(name if os.path.isabs(name) else public_tokenizers.path(name), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        held[name] = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        held[name] = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     return held[name]
 
 
 def tokenize(texts: list[str], tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after the other, and how many each text has."""
-    encode = encoder(tokenizer).encode_to_numpy
-    parts = [encode(t, disallowed_special=()) for t in texts]
+    encode = encoder(tokenizer).encode_ordinary
+    parts = [np.array(encode(t), np.uint16) for t in texts]
     size = np.fromiter(map(len, parts), np.int64, len(parts))
-    return np.concatenate([np.zeros(0, np.uint32), *parts]).astype(np.uint16), size
+    return np.concatenate([np.zeros(0, np.uint16), *parts]), size
 
 
 def _squeeze(ids: np.ndarray) -> bytes:
@@ -94,8 +98,9 @@ def _expand(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u2")
 
 
-def pack(docs: DataFrame, tokenizer: str, seq_len: int, id_col: str, text_col: str) -> DataFrame:
-    """The table of sequences (see PACKED)."""
+def pack(docs: DataFrame, tokenizer: str, seq_len: int, id_col: str, text_col: str, first: dict[int, int], total: int, key: int) -> DataFrame:
+    """The table of sequences (see PACKED).  ``first``: index of the first
+    sequence of each input partition, of ``total`` in all."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
@@ -112,7 +117,10 @@ def pack(docs: DataFrame, tokenizer: str, seq_len: int, id_col: str, text_col: s
                 seq += 1
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
             cols = [pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)]
-            return pa.RecordBatch.from_arrays(cols, ["part", "seq", "n_tokens", "doc_ids", "ids"])
+            if part not in first or first[part] + seq > total:
+                raise RuntimeError(f"partition {part} has more sequences than were counted: the input's partitions changed")
+            slots = feistel(np.arange(seq - len(out), seq) + first[part], total, key)
+            return pa.RecordBatch.from_arrays([pa.array(slots), *cols], ["slot", "part", "seq", "n_tokens", "doc_ids", "ids"])
 
         for b in text_slices(batches, "text", SLICE_ROWS, SLICE_BYTES):
             tokens, size = tokenize(b.column("text").to_pylist(), tokenizer)
@@ -165,9 +173,9 @@ def count_sequences(docs: DataFrame, tokenizer: str, seq_len: int, text_col: str
     """(part, n): sequences of each input partition."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, total = encoder(tokenizer).encode_to_numpy, TaskContext.get().partitionId(), 0
+        encode, part, total = encoder(tokenizer).encode_ordinary, TaskContext.get().partitionId(), 0
         for b in text_slices(batches, "text", SLICE_ROWS, SLICE_BYTES):
-            total += b.num_rows + sum(len(encode(t, disallowed_special=())) for t in b.column("text").to_pylist())
+            total += b.num_rows + sum(len(encode(t)) for t in b.column("text").to_pylist())
         give_back()
         if total:
             yield pa.RecordBatch.from_pydict({"part": [part], "n": [-(-total // seq_len)]})
@@ -175,23 +183,6 @@ def count_sequences(docs: DataFrame, tokenizer: str, seq_len: int, text_col: str
     return docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(count, "part bigint, n bigint")
 
 
-def order_sequences(packed: DataFrame, counts: DataFrame, n: int, key: int, shard_sequences: int) -> DataFrame:
-    """Packed rows with their slot and shard."""
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col("part").alias("of_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-
-    @F.pandas_udf("bigint")
-    def slot(index):
-        import pandas as pd
-
-        return pd.Series(feistel(index.to_numpy(), n, key))
-
-    # ``offsets`` has one row for each input partition.
-    placed = packed.join(F.broadcast(offsets), packed["part"] == offsets["of_part"]).drop("of_part")
-    placed = placed.withColumn("slot", slot(F.col("first") + F.col("seq"))).drop("first")
-    return placed.withColumn("shard", F.floor(F.col("slot") / shard_sequences))
-
-
 def write_shards(
     docs: DataFrame,
     folder: str,
@@ -204,9 +195,12 @@ def write_shards(
 ) -> DataFrame:
     """Index of the sequences (see INDEX); its evaluation writes the shards and
     writes them anew, byte for byte, if it is evaluated again."""
-    counts = cut_lineage(count_sequences(docs, tokenizer, seq_len, text_col))
-    n = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    placed = order_sequences(pack(docs, tokenizer, seq_len, id_col, text_col), counts, n, key, shard_sequences)
+    counts = count_sequences(docs, tokenizer, seq_len, text_col)
+    first, n = {}, 0
+    for r in sorted(counts.collect()):  # one row for each input partition
+        first[r.part], n = n, n + r.n
+    placed = pack(docs, tokenizer, seq_len, id_col, text_col, first, n, key)
+    placed = placed.withColumn("shard", F.floor(F.col("slot") / shard_sequences))
     stride = 2 * seq_len
     system, base = pyarrow.fs.FileSystem.from_uri(_uri(folder))
     system.create_dir(base, recursive=True)
