@@ -1,7 +1,9 @@
 """op13: restaurants are whole words, their probabilities recomputed from the seating."""
 
 import math
+import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,9 +12,10 @@ from llm.support import docs, texts
 from llm.test_pitman_yor import base, found, held, held_out, odd_rows, tokens
 
 from tvlens.llm import word_contexts as wc
-from tvlens.llm.common import cut_lineage
+from tvlens.llm.common import cut_and_tidy, cut_lineage
 from tvlens.llm.pitman_yor import _listed, sheets
 from tvlens.llm.queries import QUERIES
+from tvlens.llm.restaurants import Level
 
 
 def test_words_with_one_ending_are_different_contexts(spark, tmp_path):
@@ -110,3 +113,60 @@ def test_block_lists_every_token_once():
         for w, n in zip(np.repeat(np.arange(len(each)), each), counts.tolist(), strict=True):
             learned[_listed(words, lengths)[w]] += n
     assert +learned == Counter(w for t, ok in zip(rows, train, strict=True) if ok for w in tokens(t))
+
+
+def checkpoints(spark):
+    return set(Path(spark.sparkContext.getCheckpointDir().removeprefix("file:")).glob("rdd-*"))
+
+
+def test_replaced_states_are_deleted(spark, monkeypatch):
+    monkeypatch.setattr(wc, "PART_BYTES", 30_000)
+    asked = cut_lineage(sheets(docs(spark, texts()), held_out(), 3, "doc_id", "text", wc.block_sheets)).where("part >= 0")
+    before = checkpoints(spark)
+    state, _ = wc.learn(asked, 3)
+    assert len(checkpoints(spark) - before) == 1
+    assert state.count() == 3
+
+
+def test_shuffle_files_go_with_the_checkpoint(spark):
+    def files():
+        held = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {n for i in range(held.size()) if (n := held.apply(i).getName()).startswith("shuffle_")}
+
+    before = files()
+    out = cut_and_tidy(spark.range(1000).repartition("id"))
+    for _ in range(100):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert out.count() == 1000
+
+
+def test_turns_give_the_same_scores(spark, monkeypatch):
+    monkeypatch.setattr(wc, "PART_BYTES", 30_000)
+    table = docs(spark, texts()[:150] + odd_rows())
+    rows = lambda: sorted(map(tuple, wc.score(table, held_out()).collect()), key=str)
+    whole = rows()
+    monkeypatch.setattr(wc, "TURN_PARTS", 1)
+    assert rows() == whole
+
+
+def test_moves_apart_from_still_rows():
+    """Levels move some rows apart: customers add up, single ones stay, tables are in order."""
+    rng = np.random.default_rng(5)
+    c = rng.integers(1, 30, 500) * (rng.random(500) < 0.4) + 1
+    level, a = Level(c), np.full(500, 3.0)
+    level.seat(c, a, 0.6, rng)
+    for to in (c, np.maximum(1, c - 9), c + 2 * (c % 7 == 0)):
+        level.change(to, a, 0.6, rng)
+        level.gibbs(a, 0.6, 3, rng)
+        assert (level.c == to).all() and (np.bincount(level.row, level.size, 500) == to).all()
+        assert (np.diff(level.row) >= 0).all() and (level.size > 0).all()
+
+
+def test_steps_within_words():
+    each = np.array([0, 2, 0, 1, 3, 0])
+    x = np.array([4, 9, 2, 0, 1, 70000])
+    assert wc._stepped(wc._small(wc._steps(x, each)), each).tolist() == x.tolist()
+    assert wc._stepped(wc._small(wc._steps(x[:0], each[:0])), each[:0]).tolist() == []

@@ -57,7 +57,7 @@ from tvlens.llm.common import cut_lineage, text_slices
 from tvlens.llm.restaurants import Level, discount, once_and_twice
 
 PARENTS, LEAVES = 64, 64 * 64
-BLOCK_DOCS, BLOCK_BYTES, PIECE_BYTES, PART_BYTES = 8192, 12 << 20, 6 << 20, 12 << 20
+BLOCK_DOCS, BLOCK_BYTES, PIECE_BYTES, PART_BYTES = 8192, 16 << 20, 6 << 20, 12 << 20
 ROUNDS, SAMPLES, MOVES, STRENGTH = 3, 2, 4, 1.0
 
 #: A row for documents (part -1) or for what a block asks of a part.
@@ -81,7 +81,7 @@ def _put(*values) -> bytes:
             v = (v.dtype.str, planes.tobytes())
         out.append(v)
     raw = pickle.dumps(out, protocol=5)
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True)
 
 
 def _get(data: bytes) -> list:

@@ -10,6 +10,9 @@ table of n customers weighs n - discount.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 
 
@@ -55,15 +58,17 @@ class Level:
         self.c = c.astype(np.int64)
         self.row, self.size = first_seating(self.c, a, d, rng)
 
-    def _random_tables(self, rows: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    def _ends(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of all customers in order: the first of each row, the end of each table."""
+        return np.cumsum(self.c) - self.c, np.cumsum(self.size)
+
+    def _random_tables(self, rows: np.ndarray, start: np.ndarray, ends: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         """The table of a random customer in each of the rows."""
-        ends = np.cumsum(self.size)
-        start = np.cumsum(self.c) - self.c
         customer = start[rows] + (rng.random(len(rows)) * self.c[rows]).astype(np.int64)
         return np.searchsorted(ends, customer, "right")
 
     def _leave(self, rows: np.ndarray, rng: np.random.Generator) -> None:
-        self.size[self._random_tables(rows, rng)] -= 1
+        self.size[self._random_tables(rows, *self._ends(), rng)] -= 1
         self.c[rows] -= 1
         kept = self.size > 0
         if not kept.all():
@@ -72,10 +77,10 @@ class Level:
     def _sit(self, rows: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator) -> None:
         weight = a[rows]
         new = rng.random(len(rows)) * (weight + self.c[rows] - d * self.t[rows]) < weight
-        joins, taken = rows[~new], []
+        joins, taken, ends = rows[~new], [], self._ends()
         while len(joins):
             # A random customer's table, kept with (size - d) / size: weight size - d.
-            table = self._random_tables(joins, rng)
+            table = self._random_tables(joins, *ends, rng)
             ok = rng.random(len(joins)) * self.size[table] >= d
             taken.append(table[ok])
             joins = joins[~ok]
@@ -83,24 +88,55 @@ class Level:
             self.size[np.concatenate(taken)] += 1
         self.c[rows] += 1
         if new.any():
-            self.row = np.concatenate((self.row, rows[new]))
-            self.size = np.concatenate((self.size, np.ones(int(new.sum()), np.int64)))
-            order = np.argsort(self.row, kind="stable")
-            self.row, self.size = self.row[order], self.size[order]
+            at = np.searchsorted(self.row, rows[new], "right")
+            self.row, self.size = np.insert(self.row, at, rows[new]), np.insert(self.size, at, 1)
+
+    @contextmanager
+    def _only(self, rows: np.ndarray) -> Iterator[Level]:
+        """Some rows as a level of their own, which is put back at the end."""
+        apart = np.zeros(len(self.c), bool)
+        apart[rows] = True
+        own = apart[self.row]
+        part = Level(self.c[rows], np.searchsorted(rows, self.row[own]), self.size[own])
+        yield part
+        self.c[rows] = part.c
+        row = np.concatenate((self.row[~own], rows[part.row]))
+        order = np.argsort(row, kind="stable")
+        self.row, self.size = row[order], np.concatenate((self.size[~own], part.size))[order]
+
+    def _shrink(self, c: np.ndarray, rng: np.random.Generator) -> None:
+        while len(rows := np.flatnonzero(self.c > c)):
+            if 2 * len(rows) > len(c):
+                self._leave(rows, rng)
+            else:
+                with self._only(rows) as part:
+                    part._shrink(c[rows], rng)
+
+    def _grow(self, c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator) -> None:
+        while len(rows := np.flatnonzero(self.c < c)):
+            if 2 * len(rows) > len(c):
+                self._sit(rows, a, d, rng)
+            else:
+                with self._only(rows) as part:
+                    part._grow(c[rows], a[rows], d, rng)
 
     def change(self, c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator) -> None:
         """Random customers leave, or new ones sit down, until each row has ``c``."""
-        while len(rows := np.flatnonzero(self.c > c)):
-            self._leave(rows, rng)
-        while len(rows := np.flatnonzero(self.c < c)):
-            self._sit(rows, a, d, rng)
+        self._shrink(c, rng)
+        self._grow(c, a, d, rng)
 
     def gibbs(self, a: np.ndarray, d: float, moves: int, rng: np.random.Generator) -> None:
-        """In every row a random customer leaves and sits down again, ``moves`` times."""
+        """In every row a random customer leaves and sits down again, ``moves`` times.
+
+        Rows of one customer, most of them, cannot change and stay out of it."""
         rows = np.flatnonzero(self.c > 1)
-        for _ in range(moves if len(rows) else 0):
-            self._leave(rows, rng)
-            self._sit(rows, a, d, rng)
+        if not len(rows) or not moves:
+            return
+        with self._only(rows) as part:
+            every = np.arange(len(rows))
+            for _ in range(moves):
+                part._leave(every, rng)
+                part._sit(every, a[rows], d, rng)
 
 
 def once_and_twice(c: np.ndarray) -> list[int]:
